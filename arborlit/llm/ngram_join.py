@@ -16,10 +16,15 @@ classes follows the set's size in powers of two, and a set indexes every level
 that a partner's size may have.
 
 Sets that share a signature are compared in two rounds.  First each with a
-centre of its posting list; the verified links are contracted.  Then all pairs
-whose ends still lie in different components.  A pair left out is connected
-already, so components are exact and no near-copy group is expanded into all of
-its pairs.  Equal sets are one node from the start.
+centre of its posting list, the set whose lists are the longest altogether; the
+verified links are contracted.  Then all pairs whose ends still lie in different
+components.  A pair left out is connected already, so components are exact and no
+near-copy group is expanded into all of its pairs.  Equal sets are one node from
+the start.
+
+A pair is first held against parity bitmaps of about one bit a token, whose
+distance is a lower bound of the symmetric difference; only pairs that pass it
+are verified on the tokens themselves.
 """
 
 from __future__ import annotations
@@ -37,6 +42,7 @@ from arborlit.llm.session import durable, parts
 from arborlit.llm.textblocks import U64, blocks, mix, shingle_sets
 
 FLUSH_TOKENS = 4 << 20
+TILE = 2048
 
 
 def needed(n: int, percent: int) -> int:
@@ -49,6 +55,19 @@ def set_id(tokens: np.ndarray) -> int:
     return int(mix(np.array([np.sum(mix(tokens ^ U64(0xA5A5A5A55A5A5A5A))), len(tokens)], dtype=U64)).sum().astype(np.int64))
 
 
+def sketch(tokens: np.ndarray) -> bytes:
+    """Parities of how many tokens fall into each of 2**k cells, at least as many as there are tokens."""
+    bits = max(64, 1 << (len(tokens) - 1).bit_length()) if len(tokens) else 64
+    return np.packbits(np.bincount((tokens & U64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1).tobytes()
+
+
+def distance(x: bytes, y: bytes) -> int:
+    """A lower bound of the symmetric difference of two sketched sets."""
+    size = min(len(x), len(y))
+    x, y = (np.bitwise_xor.reduce(np.frombuffer(v, dtype=np.uint8).reshape(-1, size)) for v in (x, y))
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def class_counts(n: int, percent: int) -> list[int]:
     """How many hash classes frequent tokens are dealt into: each power of two that a partner of a set of ``n`` may use."""
     level = lambda m: 1 << max(0, (m // 16).bit_length() - 1)
@@ -137,7 +156,7 @@ def _frequent(docs: DataFrame, width: int, least: int) -> np.ndarray:
 
 
 def _postings(docs: DataFrame, width: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """(sig, set_id, n, center): each set of a posting list that has a partner of fitting size there, and its list's centre."""
+    """(sig, set_id, n, size): each set of a posting list that has a partner of fitting size there, and the size of the list."""
     n_parts = parts(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
@@ -192,15 +211,80 @@ def _postings(docs: DataFrame, width: int, percent: int, frequent: np.ndarray) -
         keep[1:] |= near
         keep[:-1] |= near
         sig, owner, n = sig[keep], owner[keep], n[keep]
-        center = np.full(len(sig), -1, dtype=np.int64)
-        while len(left := np.flatnonzero(center < 0)):  # each list's first set without a centre takes all that may link with it
-            starts = packed.run_starts(sig[left])
-            first = np.repeat(left[starts], np.diff(starts, append=len(left)))
-            fits = percent * n[left] <= 100 * n[first]
-            center[left[fits]] = first[fits]
-        return pa.table({"sig": ((U64(part) << U64(32)) | sig.astype(U64)).view(np.int64), "set_id": owner, "n": n.astype(np.int32), "center": owner[center]})
+        starts = packed.run_starts(sig)
+        size = np.diff(starts, append=len(sig))
+        return pa.table({"sig": ((U64(part) << U64(32)) | sig.astype(U64)).view(np.int64), "set_id": owner, "n": n.astype(np.int32), "size": np.repeat(size, size)})
+
+    return docs.select("doc_id", "text").mapInArrow(send, "part int, sig binary, owner binary, n binary").groupBy("part").applyInArrow(gather, "sig long, set_id long, n int, size long")
+
+
+def _members(postings: DataFrame) -> DataFrame:
+    """(c, set_id): for each set that is the centre of a posting list, the sets of its lists, itself among them."""
+    weight = postings.groupBy("set_id").agg(F.sum("size").alias("weight"))
+    centre = postings.join(weight, "set_id").groupBy("sig").agg(F.max(F.struct("weight", "set_id")).alias("c"))
+    return postings.select("sig", "set_id").join(centre.select("sig", F.col("c.set_id").alias("c")), "sig").select("c", "set_id").distinct()
+
 
-    return docs.select("doc_id", "text").mapInArrow(send, "part int, sig binary, owner binary, n binary").groupBy("part").applyInArrow(gather, "sig long, set_id long, n int, center long")
+def _near(reps: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sketches don't rule out a link."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            na, nb, sa, sb = (batch.column(k).to_pylist() for k in (2, 3, 4, 5))
+            near = [(100 + percent) * (m + n - distance(x, y)) >= 2 * percent * (m + n) for m, n, x, y in zip(na, nb, sa, sb, strict=True)]
+            yield batch.select([0, 1]).filter(pa.array(near, pa.bool_()))
+
+    held = reps.select("set_id", "n", "sketch")
+    joined = pairs.join(held.toDF("a", "na", "sa"), "a").join(held.toDF("b", "nb", "sb"), "b").where((100 * F.col("na") >= percent * F.col("nb")) & (100 * F.col("nb") >= percent * F.col("na")))
+    return joined.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(keep, "a long, b long")
+
+
+def _across(members: DataFrame, reps: DataFrame, near: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) below one centre, in different components, whose sketches don't rule out a link.
+
+    A centre's members are dealt into tiles of about ``TILE`` sets, and a task
+    compares two tiles at a time, so no task holds all of a centre's members and
+    no pair that fails leaves its task.
+    """
+    n_parts = parts(members.sparkSession)
+    labelled = members.join(near, "set_id", "left").select("c", "set_id", F.coalesce("comp", "set_id").alias("comp"))
+    split = labelled.groupBy("c").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.ceil(F.count("*") / TILE).cast("int").alias("tiles")).where("low <> high").select("c", "tiles")
+    tiled = labelled.join(split, "c").withColumn("tile", F.pmod(F.xxhash64("set_id"), F.col("tiles")).cast("int"))
+    tiled = tiled.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).withColumn("i", F.least("tile", "other")).withColumn("j", F.greatest("tile", "other"))
+    tiled = tiled.join(reps.select("set_id", "n", "sketch"), "set_id").select(F.pmod(F.xxhash64("c", "i", "j"), F.lit(n_parts)).cast("int").alias("part"), "c", "i", "j", "tile", "set_id", "comp", "n", "sketch")
+
+    def compare(table: pa.Table) -> pa.Table:
+        c, i, j, tile, ids, comp, n = (table.column(k).to_numpy() for k in ("c", "i", "j", "tile", "set_id", "comp", "n"))
+        sketches = np.array(table.column("sketch").to_pylist(), dtype=object)
+        order = np.lexsort((n, j, i, c))
+        change = (np.diff(c[order]) != 0) | (np.diff(i[order]) != 0) | (np.diff(j[order]) != 0)
+        left, right = [], []
+        for at in np.split(order, np.flatnonzero(change) + 1):
+            if comp[at].min() == comp[at].max():
+                continue
+            size = np.array([len(x) for x in sketches[at]])
+            for level in np.unique(size):
+                low, both = at[size == level], at[(size == level) | (size == 2 * level)]
+                bits = np.array([np.bitwise_xor.reduce(np.frombuffer(x, dtype=U64).reshape(-1, level // 8)) for x in sketches[both]])
+                for k, x in enumerate(low):
+                    y = np.arange(k + 1, len(both))  # sizes ascend with n, so ``low`` comes first
+                    rest = both[y]
+                    fit = (comp[rest] != comp[x]) & (percent * n[rest] <= 100 * n[x]) & (percent * n[x] <= 100 * n[rest])
+                    if i[x] != j[x]:
+                        fit &= tile[rest] != tile[x]
+                    y, rest = y[fit], rest[fit]
+                    if not len(rest):
+                        continue
+                    own = np.bitwise_xor.reduce(np.frombuffer(sketches[x], dtype=U64).reshape(-1, level // 8))
+                    apart = np.bitwise_count(bits[y] ^ own).sum(axis=1, dtype=np.int64)
+                    total = n[x] + n[rest]
+                    keep = rest[(100 + percent) * (total - apart) >= 2 * percent * total]
+                    left.append(np.full(len(keep), ids[x]))
+                    right.append(ids[keep])
+        left, right = (np.concatenate(v) if v else np.zeros(0, dtype=np.int64) for v in (left, right))
+        return pa.table({"a": np.minimum(left, right), "b": np.maximum(left, right)})
+
+    return tiled.groupBy("part").applyInArrow(compare, "a long, b long").distinct()
 
 
 def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -257,32 +341,27 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75, frequ
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, ids = [], []
+            n, ids, sketches = [], [], []
             for _, tokens in _sets(iter([batch]), width):
                 n.append(len(tokens))
                 ids.append(set_id(tokens) if len(tokens) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.int64())], names=["doc_id", "n", "set_id"])
+                sketches.append(sketch(tokens) if len(tokens) else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.int64()), pa.array(sketches, pa.binary())], names=["doc_id", "n", "set_id", "sketch"])
 
-    sets = durable(docs.mapInArrow(describe, "doc_id long, n long, set_id long"))
+    sets = durable(docs.mapInArrow(describe, "doc_id long, n long, set_id long, sketch binary"))
     named = sets.where("set_id is not null and doc_id is not null")
-    reps = named.groupBy("set_id").agg(F.min("doc_id").alias("rep"))
+    reps = named.groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.min(F.struct("n", "sketch")).alias("s")).select("set_id", "rep", "s.n", "s.sketch")
     numbered = docs.where("doc_id is not null")
     postings = durable(_postings(numbered, width, percent, _frequent(numbered, width, frequent_df)))
-    first = durable(postings.where("center <> set_id").select(F.col("center").alias("a"), F.col("set_id").alias("b")).distinct())
-    links = durable(_verified(numbered, reps, first, width, percent))
-    near = components(links).toDF("set_id", "comp")
-    split = postings.select("sig", "set_id", "n").join(near, "set_id", "left").withColumn("comp", F.coalesce("comp", "set_id"))
-    apart = split.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("sig")
-    split = durable(split.join(apart, "sig", "left_semi"))
-    other = split.select("sig", F.col("set_id").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("other"))
-    pairs = split.join(other, "sig").where((F.col("comp") < F.col("other")) & (100 * F.col("n") >= percent * F.col("nb")) & (100 * F.col("nb") >= percent * F.col("n")))
-    pairs = pairs.select(F.least("set_id", "b").alias("a"), F.greatest("set_id", "b").alias("b")).distinct()
-    tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    second = durable(pairs.join(tried, ["a", "b"], "left_anti"))
-    links = links.unionAll(_verified(numbered, reps, second, width, percent)) if not second.isEmpty() else links
+    members = durable(_members(postings))
+    first = members.where("c <> set_id").select(F.least("c", "set_id").alias("a"), F.greatest("c", "set_id").alias("b")).distinct()
+    links = durable(_verified(numbered, reps, durable(_near(reps, first, percent)), width, percent))
+    second = durable(_across(members, reps, components(links).toDF("set_id", "comp"), percent))
+    if not second.isEmpty():
+        links = links.unionAll(_verified(numbered, reps, second, width, percent))
     # the same text under several ids, and one id with several texts, also connect
-    ids = named.join(reps, "set_id")
+    ids = named.join(reps.select("set_id", "rep"), "set_id")
     by_text = ids.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    by_link = links.join(reps.toDF("a", "ra"), "a").join(reps.toDF("b", "rb"), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+    by_link = links.join(reps.select("set_id", "rep").toDF("a", "ra"), "a").join(reps.select("set_id", "rep").toDF("b", "rb"), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
     joined = components(by_text.unionAll(by_link)).toDF("doc_id", "component_id")
     return sets.join(joined, "doc_id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
