@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arborlit.llm import ngram_join, substring_dedup
+from arborlit.llm import bpe, mixing, ngram_join, secret_scan, substring_dedup
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +15,28 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 4 over all documents."""
+    found = secret_scan.scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    kinds = [secret_scan.count_kind(F.col("base"), k).alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    return found.select("doc_id", *kinds, F.sha2(secret_scan.told(F.col("base")), 256).alias("base_sha256"), secret_scan.told(F.col("spans")).alias("spans"))
+
+
+def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 7 over all documents."""
+    mixed = mixing.mix_sources(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def op8_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    """Operator 8 over all documents; ``vocabulary`` is the path of a rank file."""
+    import public_tokenizers
+
+    ranks = bpe.read_ranks(vocabulary or public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    encoded = bpe.encode(spark.read.parquet(f"{sf_dir}/documents.parquet"), ranks, public_tokenizers.PATTERN)
+    return bpe.decode(encoded, ranks).select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 10 over all documents."""
     out = substring_dedup.remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
@@ -25,9 +47,14 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+        "op4_secret_scan": op4_secret_scan,
+        "op7_mix_sources": op7_mix_sources,
+        "op8_byte_bpe": op8_byte_bpe,
         "op10_substring_dedup": op10_substring_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op7_mix_sources": mixing.MIX_SQL,
+    }
