@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arborlit.llm import bpe, mixing, ngram_join, secret_scan, substring_dedup
+from arborlit.llm import bpe, cdc, mixing, ngram_join, secret_scan, substring_dedup
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,6 +37,11 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None
     return bpe.decode(encoded, ranks).select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256"))
 
 
+def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 9 over all documents."""
+    return cdc.edit_audit(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 10 over all documents."""
     out = substring_dedup.remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
@@ -50,6 +55,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_secret_scan": op4_secret_scan,
         "op7_mix_sources": op7_mix_sources,
         "op8_byte_bpe": op8_byte_bpe,
+        "op9_document_fingerprints": op9_document_fingerprints,
         "op10_substring_dedup": op10_substring_dedup,
     }
 
