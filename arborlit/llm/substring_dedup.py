@@ -105,7 +105,8 @@ def repeat_marks(docs: DataFrame, window: int, group_suffixes: int) -> DataFrame
     spark = docs.sparkSession
     counts = prefix_counts(docs, window)
     total = int(counts[0].sum()) if len(counts) else 0
-    n_parts = max(parts(spark), total // group_suffixes)
+    n_parts = max(parts(spark, 2), total // group_suffixes)
+    n_back = parts(spark, 1)
     heavy = counts > max(1024, min(group_suffixes, total // n_parts) // 4)
     shape = "part int, suffix binary, rows binary, ids binary, owner binary, at binary"
 
@@ -126,7 +127,7 @@ def repeat_marks(docs: DataFrame, window: int, group_suffixes: int) -> DataFrame
             later = ids[owner[order]] > least
             marked, order = order[later], order[~later]
             if len(marked):
-                for part, a, b in _pack_marks(rows[owner[marked]], at[marked].astype(np.int32), n_parts):
+                for part, a, b in _pack_marks(rows[owner[marked]], at[marked].astype(np.int32), n_back):
                     yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "suffix": pa.array([None], pa.binary()), "rows": [a], "ids": pa.array([None], pa.binary()), "owner": pa.array([None], pa.binary()), "at": [b]})
             order = order[np.argsort(group[order], kind="stable")]
             edge = np.searchsorted(group[order], np.arange(n_parts + 1))
@@ -139,7 +140,7 @@ def repeat_marks(docs: DataFrame, window: int, group_suffixes: int) -> DataFrame
                         "part": pa.array([k], pa.int32()),
                         "suffix": [packed.squeeze(np.diff(suffix, prepend=U64(0)))],
                         "rows": [rows[used].tobytes()],
-                        "ids": [ids[used].tobytes()],
+                        "ids": [packed.squeeze(np.diff(ids[used], prepend=np.int64(0)))],
                         "owner": [packed.squeeze(new.astype(np.int32))],
                         "at": [packed.squeeze(at[own].astype(np.int32))],
                     }
@@ -171,7 +172,7 @@ def repeat_marks(docs: DataFrame, window: int, group_suffixes: int) -> DataFrame
                 continue
             suffix.append(np.cumsum(packed.unsqueeze(s, U64), dtype=U64))
             rows.append(np.frombuffer(r, dtype=np.int64))
-            ids.append(np.frombuffer(i, dtype=np.int64))
+            ids.append(np.cumsum(packed.unsqueeze(i, np.int64), dtype=np.int64))
             owner.append(packed.unsqueeze(o, np.int32) + base)
             at.append(packed.unsqueeze(a, np.int32))
             base += len(rows[-1])
@@ -183,7 +184,7 @@ def repeat_marks(docs: DataFrame, window: int, group_suffixes: int) -> DataFrame
             least = np.repeat(np.minimum.reduceat(doc, starts), np.diff(starts, append=len(order)))
             marked = order[doc > least]
             if len(marked):
-                out += _pack_marks(rows[owner[marked]], at[marked], n_parts)
+                out += _pack_marks(rows[owner[marked]], at[marked], n_back)
         return pa.table({"part": pa.array([x[0] for x in out], pa.int32()), "rows": pa.array([x[1] for x in out], pa.binary()), "at": pa.array([x[2] for x in out], pa.binary())})
 
     def gather(table: pa.Table) -> pa.Table:
