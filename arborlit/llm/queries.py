@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arborlit.llm import bpe, cdc, mixing, ngram_join, secret_scan, substring_dedup
+from arborlit.llm import bpe, cdc, mixing, ngram_join, secret_scan, substring_dedup, toxicity
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +22,13 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *kinds, F.sha2(secret_scan.told(F.col("base")), 256).alias("base_sha256"), secret_scan.told(F.col("spans")).alias("spans"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 5 over all documents, trained on the labels that aren't held out."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, model).select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 7 over all documents."""
     mixed = mixing.mix_sources(spark.read.parquet(f"{sf_dir}/documents.parquet"))
@@ -53,6 +60,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
         "op4_secret_scan": op4_secret_scan,
+        "op5_toxicity": op5_toxicity,
         "op7_mix_sources": op7_mix_sources,
         "op8_byte_bpe": op8_byte_bpe,
         "op9_document_fingerprints": op9_document_fingerprints,
