@@ -11,6 +11,8 @@ sorted, and thresholds are nested: a larger budget takes a superset.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -49,44 +51,68 @@ def targets(totals: DataFrame, weights: tuple[float, ...], share: float, cap: fl
     return named.select("source", "source_size", target.alias("target"))
 
 
-def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: float = 1.5, cap: float = 2.0) -> DataFrame:
-    """(doc_id, size, source_size, target, copies) for each row of ``docs`` (doc_id, text, source string).
+@dataclass(frozen=True)
+class Plan:
+    """What is taken of each source: (source, source_size, target, whole, limit), and whether the sources are few."""
 
-    ``size`` is the number of words of a text (null: 0), runs of characters other
-    than ``\\x20 \\x09-\\x0D``.  Sources in code-point order, null last as a source
-    of its own, have ``weights`` in turn.  ``target`` is double, see
-    :func:`targets`.  ``copies`` says how often the mix takes a document: at least
-    floor(target / source_size) times, and once more if all documents of its
-    source with a hash up to its own fit what is left of the target.  So a
-    source's words stay below its target by less than the size of the documents
-    with the next hash.  Equal doc_ids share a hash and are taken together; a
-    source without words has copies 0.  Other columns are ignored; an empty
-    table gives an empty result; reruns agree, whatever the partitioning.
-    """
+    sources: DataFrame
+    small: bool
+
+    def copies(self, docs: DataFrame) -> DataFrame:
+        """``docs`` (doc_id, source, ...) with source_size, target and copies, how often the mix takes a row."""
+        found = _with_sources(docs.withColumn("h", hash60(F.col("doc_id"))), self.sources, self.small)
+        extra = F.when(F.col("h") < F.col("limit"), 1).otherwise(0)
+        return found.withColumn("copies", F.when(F.col("source_size") > 0, F.col("whole") + extra).otherwise(0)).drop("h", "whole", "limit")
+
+
+def _with_sources(left: DataFrame, right: DataFrame, small: bool) -> DataFrame:
+    """Inner join by source, nulls equal; broadcast if the sources are few."""
+    right = right.withColumnRenamed("source", "__source")
+    return left.join(F.broadcast(right) if small else right, left["source"].eqNullSafe(right["__source"])).drop("__source")
+
+
+def sized(docs: DataFrame) -> DataFrame:
+    """(doc_id, source, size): the number of words of each text."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    sized = durable(docs.select("doc_id", F.col("source").cast("string").alias("source"), size.alias("size"), hash60(F.col("doc_id")).alias("h")))
-    budget = durable(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap))
-    small = budget.count() <= BROADCAST_SOURCES
+    return docs.select("doc_id", F.col("source").cast("string").alias("source"), size.alias("size"))
 
-    def with_sources(left: DataFrame, right: DataFrame) -> DataFrame:
-        """Inner join by source, nulls equal; broadcast if the sources are few."""
-        right = right.withColumnRenamed("source", "s")
-        return left.join(F.broadcast(right) if small else right, left["source"].eqNullSafe(right["s"])).drop("s")
 
+def plan(sizes: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: float = 1.5, cap: float = 2.0) -> Plan:
+    """What to take of each source of ``sizes`` (doc_id, source, size)."""
+    hashed = sizes.select("source", "size", hash60(F.col("doc_id")).alias("h"))
+    budget = durable(targets(hashed.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap))
+    small = budget.count() <= BROADCAST_SOURCES
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int")
     budget = budget.withColumn("whole", whole).withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
     bound = budget.select("source", F.lit(0).cast("long").alias("prefix"), F.lit(0).cast("long").alias("before"), "rest")
     for shift in range(HASH_BITS - DIGIT_BITS, -1, -DIGIT_BITS):
-        inside = with_sources(sized, bound).where(F.shiftright("h", shift + DIGIT_BITS) == F.col("prefix"))
+        inside = _with_sources(hashed, bound, small).where(F.shiftright("h", shift + DIGIT_BITS) == F.col("prefix"))
         sums = inside.groupBy("source", F.shiftright("h", shift).alias("bucket")).agg(F.sum("size").alias("n"), F.first("before").alias("before"), F.first("rest").alias("rest"))
         order = W.partitionBy("source").orderBy("bucket")
         sums = sums.withColumn("upto", F.col("before") + F.sum("n").over(order))
         over = sums.where("upto > rest").groupBy("source").agg(F.min(F.struct("bucket", (F.col("upto") - F.col("n")).alias("before"), "rest")).alias("b"))
         bound = over.select("source", F.col("b.bucket").alias("prefix"), "b.before", "b.rest")
-    limits = budget.join(bound.select(F.col("source").alias("s"), F.col("prefix").alias("limit")), budget["source"].eqNullSafe(F.col("s")), "left").drop("s")
-    taken = with_sources(sized, limits)
-    extra = F.when(F.col("h") < F.col("limit"), 1).otherwise(0)
-    return taken.select("doc_id", "size", "source_size", "target", F.when(F.col("source_size") > 0, F.col("whole") + extra).otherwise(0).alias("copies"))
+    limits = bound.select(F.col("source").alias("s"), F.col("prefix").alias("limit"))
+    sources = budget.join(limits, budget["source"].eqNullSafe(F.col("s")), "left").select("source", "source_size", "target", "whole", "limit")
+    return Plan(durable(sources), small)
+
+
+def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: float = 1.5, cap: float = 2.0) -> DataFrame:
+    """(doc_id, source, size, source_size, target, copies) for each row of ``docs`` (doc_id, text, source string).
+
+    ``size`` is the number of words of a text (null: 0), runs of characters other
+    than ``\\x20 \\x09-\\x0D``.  Sources in code-point order, null last as a source
+    of its own, have ``weights`` in turn.  ``target`` is double, see
+    :func:`targets`.  ``copies`` says how often the mix takes a document: at least
+    floor(target / source_size) times, and once more if all documents of its
+    source with a hash up to its own fit what is left of the target.  So a
+    source's words stay below its target by less than the size of the documents
+    with the next hash.  Equal doc_ids share a hash and are taken together; a
+    source without words has copies 0.  Other columns are ignored; an empty
+    table gives an empty result; reruns agree, whatever the partitioning.
+    """
+    sizes = durable(sized(docs))
+    return plan(sizes, weights, share, cap).copies(sizes)
 
 
 MIX_SQL = r"""

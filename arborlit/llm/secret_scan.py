@@ -138,7 +138,7 @@ def hot_spans(text: Column, spans: Column, rule: EntropyRule) -> Column:
     return F.filter(F.transform(spans, trimmed), lambda s: s.isNotNull())
 
 
-def scan(docs: DataFrame, rules: tuple[EntropyRule, ...] = RULES, allowed: tuple[str, ...] = ALLOWED) -> DataFrame:
+def scan(docs: DataFrame, rules: tuple[EntropyRule, ...] = RULES, allowed: tuple[str, ...] = ALLOWED, carry: bool = False) -> DataFrame:
     """(doc_id, text, base, spans) for each row of ``docs`` (doc_id, text string).
 
     ``base`` and ``spans`` are arrays of (start, kind, end): code points, end
@@ -147,7 +147,8 @@ def scan(docs: DataFrame, rules: tuple[EntropyRule, ...] = RULES, allowed: tuple
     are long enough; ``spans`` those and what the entropy rules add; the
     allow-list holds for the latter only.  A null text counts as empty and has no
     spans; rows keep their doc_id (null too), repeated rows give repeated results,
-    other columns are ignored, and an empty table gives an empty result.
+    other columns are ignored (with ``carry`` the whole row also comes out as the
+    struct ``row``), and an empty table gives an empty result.
     """
     text = F.col("text")
     base = (
@@ -155,14 +156,15 @@ def scan(docs: DataFrame, rules: tuple[EntropyRule, ...] = RULES, allowed: tuple
         (ACCESS, lambda m: F.length(m) >= 18),
         (HEX, lambda m: F.length(m) >= 16),
     )
-    out = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    kept = ["row"] if carry else []
+    out = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *([F.struct("*").alias("row")] if carry else []))
     # the matches stand as columns first, so that each pattern runs once over a text
     out = out.select("*", *(matches(text, p).alias(f"m{k}") for k, (p, _) in enumerate(base)), *(matches(text, r.candidate).alias(f"e{k}") for k, r in enumerate(rules)))
     found = [located(text, p, F.col(f"m{k}"), k, keep) for k, (p, keep) in enumerate(base)]
     runs = [located(text, r.candidate, F.col(f"e{k}"), KINDS.index("entropy"), judge(r, rules[:k], allowed)).alias(f"r{k}") for k, r in enumerate(rules)]
-    out = out.select("doc_id", "text", F.array_sort(F.concat(*found)).alias("base"), *runs)
+    out = out.select(*kept, "doc_id", "text", F.array_sort(F.concat(*found)).alias("base"), *runs)
     hot = [hot_spans(text, F.col(f"r{k}"), r) for k, r in enumerate(rules)]
-    return out.select("doc_id", "text", "base", F.array_sort(F.concat("base", *hot)).alias("spans"))
+    return out.select(*kept, "doc_id", "text", "base", F.array_sort(F.concat("base", *hot)).alias("spans"))
 
 
 def told(spans: Column) -> Column:

@@ -257,3 +257,19 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(block.ids), pa.array(found), pa.array((found >= DECISION).astype(np.int32))], names=["doc_id", "score", "predicted"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double, predicted int")
+
+
+def accepted(docs: DataFrame, model: Model | None) -> DataFrame:
+    """The rows of ``docs``, all columns, that :func:`score` doesn't predict to be toxic."""
+    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _language_table()
+        for batch in batches:
+            low = 0
+            for block in blocks(iter([pa.RecordBatch.from_arrays([pa.array(np.arange(batch.num_rows)), batch.column(at)], names=["doc_id", "text"])]), size=1 << 19):
+                part = batch.slice(low, len(block))
+                low += len(block)
+                yield part.filter(pa.array(shared.value.scores(*features(block), table) < DECISION)) if shared.value else part
+
+    return docs.mapInArrow(run, docs.schema)
