@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arborlit.llm import bpe, cdc, maxscore, mixing, ngram_join, reply_trees, secret_scan, substring_dedup, toxicity, warc_audit
+from arborlit.llm import bpe, cdc, maxscore, mixing, ngram_join, oracles, reply_trees, secret_scan, substring_dedup, toxicity, warc_audit
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,6 +101,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_ngram_jaccard_join": oracles.NGRAM_JOIN,
         "op2_warc_audit": warc_audit.AUDIT_SQL,
+        "op3_reply_trees": oracles.REPLY_TREES,
+        "op6_exact_top_k": oracles.TOP_K,
         "op7_mix_sources": mixing.MIX_SQL,
+        "op10_substring_dedup": oracles.SUBSTRING_DEDUP,
     }

@@ -251,10 +251,11 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _language_table()
         for batch in batches:
+            low = 0
             for block in blocks(iter([batch]), size=1 << 19):
-                ids, counts = features(block)
-                found = shared.value.scores(ids, counts, table) if shared.value else np.zeros(len(block))
-                yield pa.RecordBatch.from_arrays([pa.array(block.ids), pa.array(found), pa.array((found >= DECISION).astype(np.int32))], names=["doc_id", "score", "predicted"])
+                found = shared.value.scores(*features(block), table) if shared.value else np.zeros(len(block))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, len(block)), pa.array(found), pa.array((found >= DECISION).astype(np.int32))], names=["doc_id", "score", "predicted"])
+                low += len(block)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double, predicted int")
 
