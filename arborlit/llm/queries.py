@@ -18,7 +18,7 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 2 over all pages: their archive against a replica with damaged records."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    return warc_audit.audit(warc_audit.archive(pages), warc_audit.archive(warc_audit.with_rot(pages)))
+    return warc_audit.audit(pages, warc_audit.with_rot(pages))
 
 
 def op3_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,23 +37,26 @@ def record(page_id: Column, url: Column, html: Column) -> Column:
     )
 
 
-def archive(pages: DataFrame) -> DataFrame:
-    """(file, seq, page_id, offset, length, record): the records of ``pages`` (page_id, url, html) and where they lie.
+def records(pages: DataFrame) -> DataFrame:
+    """(file, page_id, record): the records of ``pages`` (page_id, url, html), not yet in order.
 
-    A file holds ``FILE_IDS`` consecutive page ids (null ids: file null), ordered
-    by page_id, url and html; rows that repeat are records of their own.  Other
-    columns are ignored.
+    A file holds ``FILE_IDS`` consecutive page ids (null ids: file null).
     """
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), record(F.col("page_id"), F.col("url"), F.col("html")).alias("record"), "url", "html")
-    rows = rows.withColumn("file", F.floor(F.col("page_id") / FILE_IDS).cast("long")).withColumn("length", F.octet_length("record").cast("long"))
-    order = W.partitionBy("file").orderBy("page_id", F.col("url").asc_nulls_first(), F.col("html").asc_nulls_first())
-    rows = rows.withColumn("seq", (F.row_number().over(order) - 1).cast("long")).withColumn("offset", F.sum("length").over(order.rowsBetween(W.unboundedPreceding, 0)) - F.col("length"))
-    return rows.select("file", "seq", "page_id", "offset", "length", "record")
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), record(F.col("page_id"), F.col("url"), F.col("html")).alias("record"))
+    return rows.select(F.floor(F.col("page_id") / FILE_IDS).cast("long").alias("file"), "page_id", "record")
 
 
-def leaves(records: DataFrame) -> DataFrame:
-    """(file, node, page_id, first, last, digest) for each record: its byte range (end exclusive) and SHA-256."""
-    return records.select("file", F.col("seq").alias("node"), "page_id", F.col("offset").alias("first"), (F.col("offset") + F.col("length")).alias("last"), F.sha2("record", 256).alias("digest"))
+def leaves(pages: DataFrame) -> DataFrame:
+    """(file, node, page_id, first, last, digest) for each record: its byte range (end exclusive) and SHA-256.
+
+    Records lie in a file by page_id, equal ids by digest; rows that repeat are
+    records of their own.  Texts are hashed where they are read: only digests and
+    lengths are shuffled.  Other columns are ignored.
+    """
+    rows = records(pages).select("file", "page_id", F.octet_length("record").cast("long").alias("size"), F.sha2("record", 256).alias("digest"))
+    order = W.partitionBy("file").orderBy("page_id", "digest")
+    rows = rows.withColumn("node", (F.row_number().over(order) - 1).cast("long")).withColumn("last", F.sum("size").over(order.rowsBetween(W.unboundedPreceding, 0)))
+    return rows.select("file", "node", "page_id", (F.col("last") - F.col("size")).alias("first"), "last", "digest")
 
 
 def parents(level: DataFrame) -> DataFrame:
@@ -97,9 +100,9 @@ def mismatches(ours: list[DataFrame], theirs: list[DataFrame]) -> DataFrame:
 
 
 def audit(ours: DataFrame, theirs: DataFrame) -> DataFrame:
-    """(file, page_id, offset, length, sha256, root, replica_root, corrupt) for each record of the archive ``ours``.
+    """(file, page_id, offset, length, sha256, root, replica_root, corrupt) for each record of the archive of the pages ``ours``.
 
-    ``theirs`` is its replica.  ``corrupt`` holds where the replica's record
+    ``theirs`` are the pages of its replica.  ``corrupt`` holds where the replica's record
     differs, lies elsewhere or is missing; records that only the replica has
     change its root.  Empty archives give an empty result.
     """
