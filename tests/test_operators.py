@@ -221,3 +221,40 @@ def test_windowed_counts(spark, tmp_path):
     run = upsert.counts_by_window(stream, "t", "k").writeStream.format("memory").queryName("windowed").outputMode("append").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
     run.awaitTermination(60)
     assert [r.n for r in spark.table("windowed").collect()] in ([2], [2, 1])
+
+
+def test_programs(spark):
+    from arborlit.plans import programs
+
+    rows = records(spark, [("1", [("Disease", "D000002"), ("Gene", "672"), ("Species", "9606")]), ("2", [("Gene", "Gene:675;672")])])
+    full = spark.createDataFrame([("1", "ok"), ("2", "ok"), ("3", "failed")], "pmid string, fetch_status string").select("pmid", "fetch_status", *(F.lit("v").alias(c) for c in ("title_e", "journal", "doi", "year", "month", "day", "authors")))
+    built = programs.build_tree(rows, descriptors(spark), docs=full)
+    assert [(r.mesh_id, r["count(*)"], r["first"]) for r in built.tree.collect()] == [("D000002", "1", "Chemicals and Drugs.Sub"), ("D000002", "1", "Diseases.Top.Sub")]
+    assert {r.pmid: r.subjects for r in built.documents.collect()} == {"1": "Sub | ", "2": ""}
+    assert programs.build_tree(rows, descriptors(spark), kinds=None).facts.count() == 5
+    assert programs.build_tree(rows, descriptors(spark), one_branch=True).tree.count() == 1
+    assert programs.build_tree(rows, descriptors(spark), kinds=None, limit=1).facts.count() == 4
+    pairs = lambda *p: spark.createDataFrame(list(p), "gene_id string, class_id string")
+    references = {
+        "terms": pairs(("672", "B"), ("675", "A"), ("1", "Z")),
+        "ontology": spark.createDataFrame([("A", "a", "", []), ("B", "b", "", ["A"])], "term_id string, name string, namespace string, parents array<string>"),
+        "groups": spark.createDataFrame([("672", ["L", "G"]), ("675", ["L"])], "gene_id string, path_parts array<string>"),
+        "pathways": pairs(("672", "00010")),
+        "outline": spark.createDataFrame([("00010", ["T", "P"])], "class_id string, path_parts array<string>"),
+        "types": pairs(("672", "coding")),
+    }
+    got = programs.gene_trees(rows, references, full)
+    assert {(k, r.gene_id, r["first"], r["count(*)"]) for k, b in got.items() for r in b.tree.collect()} == {
+        ("terms", "672", "Gene Ontology.a.b", "2"),
+        ("terms", "675", "Gene Ontology.a", "1"),
+        ("groups", "672", "L.G", "2"),
+        ("groups", "675", "L", "1"),
+        ("pathways", "672", "T.P", "2"),
+        ("types", "672", "coding", "2"),
+    }
+    assert {r.pmid: r.subjects for r in got["groups"].documents.collect()} == {"1": "G | ", "2": "G | L | "}
+    mine = spark.createDataFrame([("1", "", "", "", 0), ("2", "x", "", "", 1)], "pmid string, cat string, hard_category string, format string, ord int")
+    theirs = spark.createDataFrame([("1", "c", "", "f", 0), ("2", "y", "h", "", 1)], "pmid string, cat string, hard_category string, format string, ord int")
+    filled, counts = programs.merge_reference(mine, theirs, limit=1)
+    assert {r.pmid: (r.cat, r.hard_category, r.format) for r in filled.collect()} == {"1": ("c", "", "f"), "2": ("x", "", "")}
+    assert tuple(counts.first()) == (1, 0, 1, 1)
