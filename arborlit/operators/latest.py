@@ -70,3 +70,8 @@ def complete(ids: DataFrame, rows: DataFrame, missing: Column | None = None, key
     lost = ids.select(key).distinct().join(rows.select(key).distinct(), key, "left_anti")
     reason = missing if missing is not None else F.lit("missing_from_output")
     return rows.unionByName(lost.select(key, F.lit("failed").alias("fetch_status"), reason.alias("failure_reason"), F.lit("1").alias("failed"), F.col(key).alias("file_name")), allowMissingColumns=True).na.fill("", [c for c in rows.columns if dict(rows.dtypes)[c] == "string"])
+
+
+def dimension(df: DataFrame, most_rows: int = 200_000) -> DataFrame:
+    """``df`` with a broadcast hint if it has few rows; beyond that the join is left to shuffle."""
+    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df

@@ -27,6 +27,11 @@ def of_kinds(rows: DataFrame, kinds: tuple[str, ...] | None) -> DataFrame:
     return rows.where(F.col("kind").isin(*kinds)) if kinds else rows
 
 
+def resolvable(rows: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    """Mentions whose kind and id the vocabulary may know."""
+    return rows.where(F.col("kind").isin(*kinds) & X.is_term_id("term_id"))
+
+
 def gene_mentions(rows: DataFrame) -> DataFrame:
     """(pmid, gene_id, ann_id, text, ord): a row for each gene id of each gene mention."""
     found = rows.where("kind = 'Gene'").select("pmid", F.posexplode(X.split_gene_ids("raw_identifier")).alias("k", "gene_id"), "ann_id", "text", "ord")

@@ -22,6 +22,15 @@ def nodes_of(path: Column | str) -> Column:
     return F.transform(X.prefixes(F.split(X.col(path), r"\.")), lambda p: F.array_join(p, "."))
 
 
+def expanded(rows: DataFrame) -> DataFrame:
+    """``rows`` (path, ...) once for each node of their paths, that node as ``path``.
+
+    Prefixes are made once for each distinct path and joined, not once a row.
+    """
+    paths = rows.select("path").distinct().select("path", F.explode(nodes_of("path")).alias("node"))
+    return rows.join(paths, "path").drop("path").withColumnRenamed("node", "path")
+
+
 def document_nodes(documents: DataFrame, tree: DataFrame, first_only: bool = False) -> DataFrame:
     """Distinct (path, pmid): the documents of each node, through the leaves that their subjects name."""
     leaves = documents.select("pmid", F.explode(F.array_distinct(X.subjects_list("subjects"))).alias("leaf"))
@@ -35,8 +44,8 @@ def hierarchy(tree: DataFrame, nodes: DataFrame, gene: str = "gene_id") -> DataF
     ``nodes`` has (path, pmid).  Counts are of distinct ids, never sums over
     children.  The root isn't a row; its children have a blank parent.
     """
-    rows = tree.where(X.first_filled("path") != "").select(F.explode(nodes_of("path")).alias("path"), F.col(gene).alias("g"))
-    genes = rows.groupBy("path").agg(F.count_distinct("g").alias("genes"))
+    rows = tree.where(X.first_filled("path") != "").select("path", F.col(gene).alias("g")).distinct()
+    genes = expanded(rows).groupBy("path").agg(F.count_distinct("g").alias("genes"))
     documents = nodes.groupBy("path").agg(F.count_distinct("pmid").alias("documents"))
     return with_place(genes.join(documents, "path", "left").withColumn("documents", F.coalesce("documents", F.lit(0).cast("long"))))
 
@@ -71,7 +80,7 @@ def top_associations(tree: DataFrame, gene: str = "gene_id", n: int = 12) -> Dat
 
 def node_genes(tree: DataFrame, gene: str = "gene_id") -> DataFrame:
     """Distinct (path, gene) for each node."""
-    return tree.where(X.first_filled("path") != "").select(F.explode(nodes_of("path")).alias("path"), F.col(gene).alias("gene")).distinct()
+    return expanded(tree.where(X.first_filled("path") != "").select("path", F.col(gene).alias("gene")).distinct()).distinct()
 
 
 def prune(nodes: DataFrame, genes: DataFrame, top: int, depth: int | None = None, focus: str = "", label: str = "more") -> DataFrame:

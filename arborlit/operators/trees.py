@@ -15,6 +15,18 @@ def mention_tree(facts: DataFrame) -> DataFrame:
     return rows.groupBy("term_id", "path").agg(F.count("*").alias("n"), F.max_by("web_id", order).alias("web_id"), F.max_by("tree_id", order).alias("tree_id"))
 
 
+def term_tree(rows: DataFrame, branches: DataFrame) -> DataFrame:
+    """The tree of :func:`mention_tree` from mentions (term_id) and branches, without building their facts.
+
+    A mention lies on every branch of its term, so mentions are counted by term
+    before branches are joined: what is shuffled is one partial count for each
+    term and task.  Of branches with equal paths the last one gives the ids.
+    """
+    counts = rows.groupBy("term_id").agg(F.count("*").alias("k"))
+    placed = branches.where(F.size("path_parts") > 0).withColumn("path", X.path_text("path_parts"))
+    return counts.join(placed, "term_id").groupBy("term_id", "path").agg(F.sum("k").alias("n"), F.max_by("web_id", "branch_index").alias("web_id"), F.max_by("tree_id", "branch_index").alias("tree_id"))
+
+
 def gene_classes(kind: str, links: DataFrame, paths: DataFrame | None = None, organism: str = "hsa") -> DataFrame:
     """(gene_id, class_id, path_parts, web_id, tree_id) of one classification.
 

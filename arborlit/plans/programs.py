@@ -46,8 +46,10 @@ def build_tree(
     facts; only those in ``KINDS`` are resolved.
     """
     found = mentions.of_kinds(mentions.mentions(limited(records, limit)), kinds)
-    facts = mentions.facts(found, vocabulary.term_branches(descriptors, supplements), KINDS, one_branch)
-    tree = trees.ordered_tree(trees.mention_tree(facts), "term_id")
+    branches = vocabulary.term_branches(descriptors, supplements)
+    facts = mentions.facts(found, branches, KINDS, one_branch)
+    known = branches.where("branch_index = 0") if one_branch else branches
+    tree = trees.ordered_tree(trees.term_tree(mentions.resolvable(found, KINDS), known), "term_id")
     bundle = None if docs is None else documents.bundle_documents(docs, mentions.subjects(facts), citations)
     return Built(mentions.fact_table(facts), trees.tree_entries(tree, "term_id", "mesh_id"), bundle)
 

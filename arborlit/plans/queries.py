@@ -47,7 +47,7 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def placed_facts(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
-    return (items(spark, sf_dir) if rows is None else rows).join(places(spark, sf_dir), "term_id", "left")
+    return (items(spark, sf_dir) if rows is None else rows).join(latest.dimension(places(spark, sf_dir)), "term_id", "left")
 
 
 PLACES = """place AS (
@@ -58,7 +58,7 @@ PLACES = """place AS (
 @query(f"WITH {PLACES} SELECT s_suppkey AS term_id, path, count(*) AS n, max(web_id) AS web_id, max(tree_id) AS tree_id FROM lineitem JOIN place ON l_suppkey = s_suppkey GROUP BY ALL ORDER BY n DESC, term_id, path")
 def tree_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mentions by term and path, largest first."""
-    return trees.ordered_tree(trees.mention_tree(placed_facts(spark, sf_dir)), "term_id").select("term_id", "path", "n", "web_id", "tree_id")
+    return trees.ordered_tree(trees.term_tree(items(spark, sf_dir), places(spark, sf_dir)), "term_id").select("term_id", "path", "n", "web_id", "tree_id")
 
 
 @query("""SELECT l_orderkey AS pmid, l_partkey AS term_id, b.i AS branch_index, CASE b.i WHEN 0 THEN p_type || '.' || p_brand ELSE p_brand || '.' || p_name END AS path, count(*) AS n
@@ -220,9 +220,10 @@ def failed_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def node_table(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(nodes, their documents, the tree) of suppliers, parts being genes."""
-    facts = placed_facts(spark, sf_dir)
-    tree = facts.select("gene_id", X.path_text("path_parts").alias("path"))
-    docs = facts.select(F.explode(rollup.nodes_of(X.path_text("path_parts"))).alias("path"), "pmid").distinct()
+    place = latest.dimension(places(spark, sf_dir).select("term_id", X.path_text("path_parts").alias("path")))
+    rows = items(spark, sf_dir)
+    by_term = lambda c: rows.select("term_id", c).distinct().join(place, "term_id").drop("term_id")
+    tree, docs = by_term("gene_id"), rollup.expanded(by_term("pmid")).distinct()
     return rollup.hierarchy(tree, docs), docs, tree
 
 
@@ -310,7 +311,7 @@ def two_hop_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def additive_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tree of even documents merged with that of odd ones: the tree of all."""
     rows = items(spark, sf_dir)
-    even, odd = (trees.mention_tree(placed_facts(spark, sf_dir, rows.where(F.col("pmid") % 2 == k))) for k in (0, 1))
+    even, odd = (trees.term_tree(rows.where(F.col("pmid") % 2 == k), places(spark, sf_dir)) for k in (0, 1))
     return trees.merge_counts(even, odd, ("term_id", "path"))
 
 

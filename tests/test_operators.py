@@ -258,3 +258,11 @@ def test_programs(spark):
     filled, counts = programs.merge_reference(mine, theirs, limit=1)
     assert {r.pmid: (r.cat, r.hard_category, r.format) for r in filled.collect()} == {"1": ("c", "", "f"), "2": ("x", "", "")}
     assert tuple(counts.first()) == (1, 0, 1, 1)
+
+
+def test_counting_before_joining_gives_the_same_tree(spark):
+    rows = mentions.mentions(records(spark, [(str(k), [("Disease", f"D00000{1 + (k + j) % 6}") for j in range(k % 5)] + [("Chemical", "C000001")]) for k in range(12)]))
+    facts = mentions.facts(rows, branches(spark))
+    short = trees.term_tree(mentions.resolvable(rows, ("Chemical", "Disease")), branches(spark))
+    key = lambda t: {tuple(r) for r in t.select("term_id", "path", "n", "web_id", "tree_id").collect()}
+    assert key(short) == key(trees.mention_tree(facts))
