@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from arborlit.sources.durable import durable
+
 # Labels of an ontology's name spaces.
 NAMESPACES = {"biological_process": "Biological Process", "cellular_component": "Cellular Component", "molecular_function": "Molecular Function"}
 DEFAULT_NAMESPACE = "Gene Ontology"
@@ -46,7 +48,7 @@ def dag_lineages(terms: DataFrame, wanted: DataFrame | None = None, max_paths: i
         ends = known.groupBy(*key).agg(F.max("open").alias("any")).where("not any").select(*key, F.lit(True).alias("ended"))
         walks = walks.where("ended").unionByName(ends).unionByName(onward)
         best = W.partitionBy("term_id").orderBy("places")
-        walks = walks.withColumn("n", F.row_number().over(best)).where(F.col("n") <= max_paths).drop("n").checkpoint()
+        walks = durable(walks.withColumn("n", F.row_number().over(best)).where(F.col("n") <= max_paths).drop("n"))
         if walks.where("not ended").isEmpty():
             break
     full = walks.select("term_id", "places", F.array_prepend("chain", F.col("label")).alias("path_parts"))
