@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from arborlit.llm.session import bounded_batches
 from arborlit.llm.textblocks import U64, mix, prefix_sums, span_hashes
 
 GEAR_BYTES = 16
@@ -147,6 +148,7 @@ def edit_audit(docs: DataFrame, how: Chunking = Chunking()) -> DataFrame:
     as empty; a row with a null doc_id has an empty next text; a single row is
     its own next; other columns are ignored; an empty table gives an empty result.
     """
+    bounded_batches(docs.sparkSession)
     spark = docs.sparkSession
     count = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))

@@ -38,10 +38,10 @@ from pyspark.sql import functions as F
 
 from arborlit.llm import bitmaps, packed
 from arborlit.llm.components import components
-from arborlit.llm.session import durable, parts
+from arborlit.llm.session import bounded_batches, durable, parts
 from arborlit.llm.textblocks import U64, blocks, mix, shingle_sets
 
-FLUSH_TOKENS = 4 << 20
+FLUSH_TOKENS = 1 << 20
 TILE = 2048
 
 
@@ -182,7 +182,7 @@ def _postings(docs: DataFrame, width: int, percent: int, frequent: np.ndarray) -
             ids.append(key)
             sizes.append(len(tokens))
             size += len(found)
-            if size >= FLUSH_TOKENS // 4:
+            if size >= FLUSH_TOKENS // 2:
                 yield flush()
                 held, ids, sizes, seen, size = [], [], [], set(), 0
         if held:
@@ -215,7 +215,10 @@ def _postings(docs: DataFrame, width: int, percent: int, frequent: np.ndarray) -
         size = np.diff(starts, append=len(sig))
         return pa.table({"sig": ((U64(part) << U64(32)) | sig.astype(U64)).view(np.int64), "set_id": owner, "n": n.astype(np.int32), "size": np.repeat(size, size)})
 
-    return docs.select("doc_id", "text").mapInArrow(send, "part int, sig binary, owner binary, n binary").groupBy("part").applyInArrow(gather, "sig long, set_id long, n int, size long")
+    sent = docs.select("doc_id", "text").mapInArrow(send, "part int, sig binary, owner binary, n binary")
+    out = durable(sent.groupBy("part").applyInArrow(gather, "sig long, set_id long, n int, size long"))
+    shared.destroy()
+    return out
 
 
 def _members(postings: DataFrame) -> DataFrame:
@@ -318,6 +321,7 @@ def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, width: int, pe
 
     made = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("h")).where("doc_id is not null").mapInArrow(tokens_of, "rep long, tokens binary")
     made = durable(made.join(chosen, "rep").select("set_id", "tokens"))
+    asked.destroy()
     joined = pairs.join(made.toDF("a", "ta"), "a").join(made.toDF("b", "tb"), "b")
     return joined.select("a", "b", "ta", "tb").mapInArrow(links, "a long, b long")
 
@@ -337,6 +341,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75, frequ
     """
     if not 60 <= percent <= 100:
         raise ValueError("percent must be from 60 to 100")
+    bounded_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -352,7 +357,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75, frequ
     named = sets.where("set_id is not null and doc_id is not null")
     reps = named.groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.min(F.struct("n", "sketch")).alias("s")).select("set_id", "rep", "s.n", "s.sketch")
     numbered = docs.where("doc_id is not null")
-    postings = durable(_postings(numbered, width, percent, _frequent(numbered, width, frequent_df)))
+    postings = _postings(numbered, width, percent, _frequent(numbered, width, frequent_df))
     members = durable(_members(postings))
     first = members.where("c <> set_id").select(F.least("c", "set_id").alias("a"), F.greatest("c", "set_id").alias("b")).distinct()
     links = durable(_verified(numbered, reps, durable(_near(reps, first, percent)), width, percent))

@@ -27,3 +27,11 @@ def durable(df: DataFrame) -> DataFrame:
 def parts(spark: SparkSession, times: int = 4) -> int:
     """How many groups a packed exchange uses: a multiple of the session's shuffle partitions."""
     return max(8, times * int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def bounded_batches(spark: SparkSession, rows: int = 2000, size: int = 8 << 20) -> None:
+    """Hold the session's Arrow batches to ``rows`` and ``size`` bytes, so that long texts don't make large ones."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
+        now = int(spark.conf.get(key).rstrip("b"))
+        if not 0 < now <= most:
+            spark.conf.set(key, str(most))

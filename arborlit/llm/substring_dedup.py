@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arborlit.llm import bitmaps, packed
-from arborlit.llm.session import durable, parts
+from arborlit.llm.session import bounded_batches, durable, parts
 from arborlit.llm.textblocks import U64, Block, blocks, mix, prefix_sums, span_hashes, text_parts, word_hashes, words
 
 LENGTHS = (1, 2, 4, 8)
@@ -218,6 +218,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, group_suffixes: int = 1 <<
     """
     if window < 2:
         raise ValueError("window must be 2 words at least")
+    bounded_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     marks = durable(repeat_marks(docs, window, group_suffixes))
     hit = docs.sparkSession.sparkContext.broadcast(bitmaps.collect_bitmap(marks, F.col("row")))
