@@ -20,11 +20,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from arborlit.llm.session import bounded_batches
 from arborlit.llm.textblocks import U64, mix, text_parts
 
 NONE = np.int32(np.iinfo(np.int32).max)
-CACHE_PIECES = 400_000
-MATRIX_CELLS = 1 << 21
+CACHE_PIECES = 120_000
+MATRIX_CELLS = 1 << 17
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -153,8 +154,8 @@ class Encoder:
         return [b"".join(map(known, text)) for text in pieces]
 
 
-def _slices(batch: pa.RecordBatch, size: int = 1 << 21) -> Iterator[pa.RecordBatch]:
-    """Consecutive rows of about ``size`` bytes in the second column."""
+def _slices(batch: pa.RecordBatch, size: int = 1 << 18) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of about ``size`` bytes in the second column, whole rows only."""
     _, offsets = text_parts(batch.column(1))
     low = 0
     while low < batch.num_rows:
@@ -163,27 +164,55 @@ def _slices(batch: pa.RecordBatch, size: int = 1 << 21) -> Iterator[pa.RecordBat
         low = min(high, batch.num_rows)
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
+class Decoder:
+    """The bytes of token ids."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        tokens = sorted((rank, token) for token, rank in ranks.items())
+        self.flat = np.frombuffer(b"".join(x for _, x in tokens), dtype=np.uint8)
+        self.start, self.size = (np.zeros(tokens[-1][0] + 1, dtype=np.int64) for _ in range(2))
+        at = [x for x, _ in tokens]
+        self.size[at] = [len(x) for _, x in tokens]
+        self.start[at] = [0, *accumulate(len(x) for _, x in tokens[:-1])]
+
+    def decode(self, rows: list[bytes]) -> list[bytes]:
+        """What each row's ids, little-endian 32-bit integers, stand for."""
+        ids = np.frombuffer(b"".join(rows), dtype="<u4")
+        if len(ids) and (ids.max() >= len(self.size) or not self.size[ids].all()):
+            raise ValueError("an id is outside the vocabulary")
+        size = self.size[ids]
+        ends = np.concatenate(([0], np.cumsum(size)))
+        data = self.flat[np.repeat(self.start[ids] - ends[:-1], size) + np.arange(ends[-1])].tobytes()
+        edge = ends[np.concatenate(([0], np.cumsum([len(x) // 4 for x in rows]))).astype(np.int64)].tolist()
+        return [data[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True)]
+
+
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, decoded: bool = False) -> DataFrame:
     """(doc_id, n_tokens, ids) for each row of ``docs`` (doc_id bigint, text string).
 
     Each match of ``pattern`` is encoded by itself, as byte-level BPE with
     ``ranks`` does, without special tokens; a piece that is itself a token is that
-    token.  ``ids`` is binary: unsigned little-endian 32-bit integers.  Null and
-    empty texts have no tokens.  Rows keep their doc_id (null too), repeated rows
-    are encoded alike, other columns are ignored, an empty table gives an empty
-    result.  The ranks are broadcast: their number is the vocabulary's.
+    token.  ``ids`` is binary: unsigned little-endian 32-bit integers.  With
+    ``decoded``, the column ``data`` has the bytes that those ids decode to, in the
+    same pass.  Null and empty texts have no tokens.  Rows keep their doc_id (null
+    too), repeated rows are encoded alike, other columns are ignored, an empty
+    table gives an empty result.  The ranks are broadcast: their number is the
+    vocabulary's.
     """
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = None
+        encoder = decoder = None
         for batch in batches:
             encoder = encoder or Encoder(shared.value, pattern)
+            decoder = decoder or Decoder(shared.value)
             for part in _slices(batch):
                 ids = encoder.encode([x or "" for x in part.column(1).to_pylist()])
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "n_tokens", "ids"])
+                data = [pa.array(decoder.decode(ids), pa.binary())] if decoded else []
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()), *data], names=["doc_id", "n_tokens", "ids", "data"][: 3 + decoded])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_tokens long, ids binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_tokens long, ids binary" + ", data binary" * decoded)
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
@@ -191,26 +220,15 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
 
     Null ids give null data, no ids give no bytes; an id outside the vocabulary is an error.
     """
+    bounded_batches(encoded.sparkSession)
     shared = encoded.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = sorted((rank, token) for token, rank in shared.value.items())
-        flat = np.frombuffer(b"".join(x for _, x in tokens), dtype=np.uint8)
-        start, size = (np.zeros(tokens[-1][0] + 1, dtype=np.int64) for _ in range(2))
-        at = [x for x, _ in tokens]
-        size[at] = [len(x) for _, x in tokens]
-        start[at] = [0, *accumulate(len(x) for _, x in tokens[:-1])]
+        decoder = Decoder(shared.value)
         for batch in batches:
-            for part in _slices(batch.select(["doc_id", "ids", "n_tokens"])):
-                column = part.column(1)
-                bits, offsets = text_parts(column.fill_null(b"") if column.null_count else column)
-                ids = np.frombuffer(bits.tobytes(), dtype="<u4")
-                if len(ids) and (ids.max() >= len(size) or not size[ids].all()):
-                    raise ValueError("an id is outside the vocabulary")
-                ends = np.concatenate(([0], np.cumsum(size[ids])))
-                data = flat[np.repeat(start[ids] - ends[:-1], size[ids]) + np.arange(ends[-1])].tobytes()
-                edge = ends[offsets // 4].tolist()
-                out = [None if null else data[a:b] for a, b, null in zip(edge[:-1], edge[1:], column.is_null().to_pylist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), column, pa.array(out, pa.binary())], names=["doc_id", "n_tokens", "ids", "data"])
-
-    return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(run, "doc_id long, n_tokens long, ids binary, data binary")
+            for part in _slices(batch):
+                ids = part.column(1).to_pylist()
+                data = [None if x is None else y for x, y in zip(ids, decoder.decode([x or b"" for x in ids]), strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), part.column(1), pa.array(data, pa.binary())], names=["doc_id", "n_tokens", "ids", "data"])
+
+    return encoded.select("doc_id", "ids", "n_tokens").mapInArrow(run, "doc_id long, n_tokens long, ids binary, data binary")

@@ -68,8 +68,8 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None
     import public_tokenizers
 
     ranks = bpe.read_ranks(vocabulary or public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    encoded = bpe.encode(spark.read.parquet(f"{sf_dir}/documents.parquet"), ranks, public_tokenizers.PATTERN)
-    return bpe.decode(encoded, ranks).select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256"))
+    encoded = bpe.encode(spark.read.parquet(f"{sf_dir}/documents.parquet"), ranks, public_tokenizers.PATTERN, decoded=True)
+    return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256"))
 
 
 def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

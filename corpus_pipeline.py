@@ -48,8 +48,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded_sha256): every text's tokens, and the digest of what they decode to."""
     ranks = bpe.read_ranks(VOCABULARY)
-    decoded = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
-    return decoded.select("doc_id", "n_tokens", "ids", F.sha2("data", 256).alias("decoded_sha256"))
+    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded=True)
+    return encoded.select("doc_id", "n_tokens", "ids", F.sha2("data", 256).alias("decoded_sha256"))
 
 
 STAGES = [

@@ -271,6 +271,8 @@ def test_bpe_matches_library(spark, docs, rows, nothing):
     expected = Counter((r[0], np.array(library.encode_ordinary(r[1] or ""), dtype="<u4").tobytes(), (r[1] or "").encode()) for r in rows)
     assert Counter((r.doc_id, bytes(r.ids), bytes(r.data)) for r in got) == expected
     assert all(r.n_tokens * 4 == len(r.ids) for r in got)
+    once = bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded=True).collect()
+    assert Counter((r.doc_id, bytes(r.ids), bytes(r.data)) for r in once) == expected
     assert bpe.encode(nothing, ranks, public_tokenizers.PATTERN).count() == 0
     encoder = bpe.Encoder(ranks, public_tokenizers.PATTERN)
     rng = np.random.default_rng(5)
