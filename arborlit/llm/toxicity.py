@@ -16,6 +16,7 @@ and the labels are no input of a score.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from arborlit.llm.session import bounded_batches
 from arborlit.llm.textblocks import U64, Block, _BYTE_CODES_LOWER, blocks, mix, prefix_sums, runs, span_hashes
 
 DECISION = 0.3
@@ -216,10 +218,12 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 8000, **options) -> Model | None:
     """Fit on at most ``sample_rows`` labelled rows that aren't held out, the first by hash of doc_id.
 
-    That bound is the only one on the sample; their texts are read whole.
+    That bound is the only one on the sample; their texts are read whole.  One
+    task trains, so the driver holds the model only, whose size is fixed.
     ``labels`` has doc_id and toxic (0/1); of several labels of a doc_id the
     largest holds, null ones don't count.
     """
+    bounded_batches(docs.sparkSession)
     known = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id"))).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     sample = F.broadcast(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows))
 
@@ -232,9 +236,15 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 8000, **options
                 yield pa.RecordBatch.from_arrays([pa.array(block.ids), pa.array(label[done : done + len(block)], pa.int32()), pa.array([x.tobytes() for x in cut], pa.binary())], names=["doc_id", "toxic", "ids"])
                 done += len(block)
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(sample, "doc_id").select("doc_id", "text", "toxic").mapInArrow(describe, "doc_id long, toxic int, ids binary").toArrow()
-    found = sorted(zip(*(rows.column(k).to_pylist() for k in ("doc_id", "ids", "toxic")), strict=True))
-    return fit([(np.frombuffer(ids, dtype=np.uint16).reshape(-1, TABLES), toxic) for _, ids, toxic in found], **options)
+    def learn(table: pa.Table) -> pa.Table:
+        found = sorted(zip(*(table.column(k).to_pylist() for k in ("doc_id", "ids", "toxic")), strict=True))
+        model = fit([(np.frombuffer(ids, dtype=np.uint16).reshape(-1, TABLES), toxic) for _, ids, toxic in found], **options)
+        return pa.table({"model": pa.array([pickle.dumps(model)], pa.binary())})
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(sample, "doc_id").select("doc_id", "text", "toxic")
+    described = rows.mapInArrow(describe, "doc_id long, toxic int, ids binary")
+    done = described.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(learn, "model binary").collect()
+    return pickle.loads(done[0].model) if done else None
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -246,6 +256,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
     doc_id (null too), repeated rows score alike, other columns are ignored, an
     empty table gives an empty result.  The model is broadcast; its size is fixed.
     """
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,6 +273,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
 
 def accepted(docs: DataFrame, model: Model | None) -> DataFrame:
     """The rows of ``docs``, all columns, that :func:`score` doesn't predict to be toxic."""
+    bounded_batches(docs.sparkSession)
     shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
