@@ -30,6 +30,7 @@ are verified on the tokens themselves.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -290,24 +291,31 @@ def _across(members: DataFrame, reps: DataFrame, near: DataFrame, percent: int)
     return tiled.groupBy("part").applyInArrow(compare, "a long, b long").distinct()
 
 
-def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) of set ids whose sets link."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
+def _tokens(docs: DataFrame, reps: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(set_id, tokens): the tokens of the wanted sets, one row each, made anew from their texts.
+
+    A bitmap of the ids that stand for them lets few other texts through; what is
+    kept is decided by the set's own id.
+    """
     chosen = durable(reps.join(wanted, "set_id").select("set_id", "rep"))
     asked = docs.sparkSession.sparkContext.broadcast(bitmaps.collect_bitmap(chosen, F.col("rep")))
 
-    def tokens_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(pa.array(bitmaps.test(asked.value, batch.column(2).to_numpy().view(U64))))
-            ids, data = [], []
-            for key, tokens in _sets(iter([batch]), width):
-                ids.append(key)
-                data.append(tokens.tobytes())
-                if len(ids) >= 512:
-                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(data, pa.binary())], names=["rep", "tokens"])
-                    ids, data = [], []
-            if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(data, pa.binary())], names=["rep", "tokens"])
+            found = [x for _, x in _sets(iter([batch]), width) if len(x)]
+            for low in range(0, len(found), 512):
+                part = found[low : low + 512]
+                yield pa.RecordBatch.from_arrays([pa.array([set_id(x) for x in part], pa.int64()), pa.array([x.tobytes() for x in part], pa.binary())], names=["set_id", "tokens"])
+
+    made = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("h")).where("doc_id is not null").mapInArrow(make, "set_id long, tokens binary")
+    out = durable(made.join(chosen.select("set_id"), "set_id", "left_semi").dropDuplicates(["set_id"]))
+    asked.destroy()
+    return out
+
+
+def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Those of the pairs (a, b) of set ids whose sets link."""
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -319,26 +327,22 @@ def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, width: int, pe
                 keep.append(100 * same >= percent * (len(x) + len(y) - same))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    made = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("h")).where("doc_id is not null").mapInArrow(tokens_of, "rep long, tokens binary")
-    made = durable(made.join(chosen, "rep").select("set_id", "tokens"))
-    asked.destroy()
+    made = _tokens(docs, reps, pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct(), width)
     joined = pairs.join(made.toDF("a", "ta"), "a").join(made.toDF("b", "tb"), "b")
     return joined.select("a", "b", "ta", "tb").mapInArrow(links, "a long, b long")
 
 
-def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75, frequent_df: int = 48) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for each row of ``docs`` (doc_id bigint, text string).
+@dataclass(frozen=True)
+class Joined:
+    """The join's state: every row's set, a doc_id for each set, and links between sets that connect all that link."""
 
-    Words are runs of bytes other than ``\\x20 \\x09-\\x0D`` after lower-casing A-Z;
-    ``n_shingles`` counts distinct ``width``-word shingles (the whole sequence, if
-    the text has fewer words).  Two rows link when 100 * overlap >= ``percent`` *
-    union; ``component_id`` is the smallest doc_id that links reach.  Null, empty
-    and blank texts have no shingle and link with nothing, so each is its own
-    component; a null doc_id keeps its row, counts its shingles and is its own
-    component (null).  Rows that repeat a doc_id come out once each, with that
-    doc_id's component; other columns are ignored.  ``percent`` is 60 to 100.
-    An empty table gives an empty result.
-    """
+    docs: DataFrame
+    sets: DataFrame
+    reps: DataFrame
+    links: DataFrame
+
+
+def _join(docs: DataFrame, width: int, percent: int, frequent_df: int) -> Joined:
     if not 60 <= percent <= 100:
         raise ValueError("percent must be from 60 to 100")
     bounded_batches(docs.sparkSession)
@@ -364,9 +368,73 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75, frequ
     second = durable(_across(members, reps, components(links).toDF("set_id", "comp"), percent))
     if not second.isEmpty():
         links = links.unionAll(_verified(numbered, reps, second, width, percent))
+    return Joined(numbered, sets, reps, links)
+
+
+def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75, frequent_df: int = 48) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for each row of ``docs`` (doc_id bigint, text string).
+
+    Words are runs of bytes other than ``\\x20 \\x09-\\x0D`` after lower-casing A-Z;
+    ``n_shingles`` counts distinct ``width``-word shingles (the whole sequence, if
+    the text has fewer words).  Two rows link when 100 * overlap >= ``percent`` *
+    union; ``component_id`` is the smallest doc_id that links reach.  Null, empty
+    and blank texts have no shingle and link with nothing, so each is its own
+    component; a null doc_id keeps its row, counts its shingles and is its own
+    component (null).  Rows that repeat a doc_id come out once each, with that
+    doc_id's component; other columns are ignored.  ``percent`` is 60 to 100.
+    An empty table gives an empty result.
+    """
+    found = _join(docs, width, percent, frequent_df)
+    reps = found.reps.select("set_id", "rep")
     # the same text under several ids, and one id with several texts, also connect
-    ids = named.join(reps.select("set_id", "rep"), "set_id")
+    ids = found.sets.where("set_id is not null and doc_id is not null").join(reps, "set_id")
     by_text = ids.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    by_link = links.join(reps.select("set_id", "rep").toDF("a", "ra"), "a").join(reps.select("set_id", "rep").toDF("b", "rb"), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+    by_link = found.links.join(reps.toDF("a", "ra"), "a").join(reps.toDF("b", "rb"), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
     joined = components(by_text.unionAll(by_link)).toDF("doc_id", "component_id")
-    return sets.join(joined, "doc_id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return found.sets.join(joined, "doc_id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def link_counts(docs: DataFrame, width: int = 5, percent: int = 75, frequent_df: int = 48) -> DataFrame:
+    """(doc_id, n_shingles, n_links) for each row of ``docs``: how many other rows it links with.
+
+    Links lie within components, so every set of a component is held against all
+    others of it, in pairs of tiles of about ``TILE`` sets; a tile pair counts
+    shared tokens by postings and gives a number for each set, never the pairs.
+    The work is the square of a component's different sets, which is why
+    :func:`jaccard_components` does without.  Rows, nulls and repeats are as
+    there; rows with a null doc_id have no links and count for none.
+    """
+    found = _join(docs, width, percent, frequent_df)
+    n_parts = parts(docs.sparkSession)
+    weight = found.sets.where("set_id is not null and doc_id is not null").groupBy("set_id").agg(F.count("*").alias("weight"))
+    near = durable(components(found.links).toDF("set_id", "comp"))
+    tokens = _tokens(found.docs, found.reps, near.select("set_id"), width)
+    tiles = near.groupBy("comp").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
+    rows = near.join(tiles, "comp").withColumn("tile", F.pmod(F.xxhash64("set_id"), F.col("tiles")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).withColumn("i", F.least("tile", "other")).withColumn("j", F.greatest("tile", "other"))
+    rows = rows.join(tokens, "set_id").join(weight, "set_id").select(F.pmod(F.xxhash64("comp", "i", "j"), F.lit(n_parts)).cast("int").alias("part"), "comp", "i", "j", "tile", "set_id", "weight", "tokens")
+
+    def count(table: pa.Table) -> pa.Table:
+        comp, i, j, tile, ids, own = (table.column(k).to_numpy() for k in ("comp", "i", "j", "tile", "set_id", "weight"))
+        held = [np.frombuffer(x, dtype=U64) for x in table.column("tokens").to_pylist()]
+        size = np.array([len(x) for x in held])
+        order, total = np.lexsort((j, i, comp)), np.zeros(len(ids), dtype=np.int64)
+        change = (np.diff(comp[order]) != 0) | (np.diff(i[order]) != 0) | (np.diff(j[order]) != 0)
+        for at in np.split(order, np.flatnonzero(change) + 1):
+            flat, owner = np.concatenate([held[k] for k in at]), np.repeat(np.arange(len(at)), size[at])
+            _, token, many = np.unique(flat, return_inverse=True, return_counts=True)
+            posting, first = owner[np.argsort(token, kind="stable")], np.cumsum(many) - many
+            edge = np.concatenate(([0], np.cumsum(size[at])))
+            for k, row in enumerate(at):
+                mine = token[edge[k] : edge[k + 1]]
+                reach = np.repeat(first[mine] - np.cumsum(many[mine]) + many[mine], many[mine]) + np.arange(many[mine].sum())
+                same = np.bincount(posting[reach], minlength=len(at))
+                linked = 100 * same >= percent * (size[row] + size[at] - same)
+                linked &= tile[at] != tile[row] if i[row] != j[row] else np.arange(len(at)) != k
+                total[row] = own[at][linked].sum()
+        return pa.table({"set_id": ids, "links": total})
+
+    links = rows.groupBy("part").applyInArrow(count, "set_id long, links long").groupBy("set_id").agg(F.sum("links").alias("links"))
+    each = weight.join(links, "set_id", "left").select("set_id", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
+    counted = F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(F.coalesce("n_links", F.lit(0)))
+    return found.sets.join(each, "set_id", "left").select("doc_id", F.col("n").alias("n_shingles"), counted.cast("long").alias("n_links"))

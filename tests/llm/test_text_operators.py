@@ -90,6 +90,31 @@ def test_jaccard_random_near_copies(spark):
         assert Counter(tuple(r) for r in ngram_join.jaccard_components(docs, frequent_df=frequent).collect()) == plain_components(pairs)
 
 
+def plain_links(pairs):
+    sets = [(d, shingles(t)) for d, t in pairs]
+    linked = lambda x, y: bool(x and y) and 100 * len(x & y) >= 75 * len(x | y)
+    return Counter((d, len(x), sum(linked(x, y) for k, (_, y) in enumerate(sets) if k != n)) for n, (d, x) in enumerate(sets))
+
+
+def test_link_counts(docs, rows, nothing, monkeypatch):
+    expected = plain_links([(r[0], r[1]) for r in rows if r[0] is not None])
+    got = ngram_join.link_counts(docs)
+    assert Counter(tuple(r) for r in got.where("doc_id is not null").collect()) == expected
+    assert {r.n_links for r in got.where("doc_id is null").collect()} == {0}
+    assert ngram_join.link_counts(nothing).count() == 0
+    monkeypatch.setattr(ngram_join, "TILE", 3)
+    assert Counter(tuple(r) for r in ngram_join.link_counts(docs).where("doc_id is not null").collect()) == expected
+
+
+def test_jaccard_one_id_with_several_texts(spark):
+    a, b = " ".join(f"a{k}" for k in range(40)), " ".join(f"b{k}" for k in range(40))
+    pairs = [(1, a), (1, b), (2, a + " x"), (3, b + " y"), (4, " ".join(f"c{k}" for k in range(40)))]
+    docs = spark.createDataFrame(pairs, "doc_id long, text string")
+    got = Counter(tuple(r) for r in ngram_join.jaccard_components(docs).collect())
+    assert got == Counter({(1, 36, 1): 2, (2, 37, 1): 1, (3, 37, 1): 1, (4, 36, 4): 1})
+    assert Counter(tuple(r) for r in ngram_join.link_counts(docs).collect()) == plain_links(pairs)
+
+
 def test_signatures_are_complete():
     """Any two sets that link share a signature, whatever their tokens' classes."""
     rng = np.random.default_rng(11)
