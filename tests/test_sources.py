@@ -180,3 +180,30 @@ def test_facts_caches_and_manifests(spark, tmp_path):
     write(tmp_path / "src" / "a.txt", "hello")
     got = sinks.sync(spark, str(tmp_path / "src"), str(tmp_path / "dst"))
     assert [(r.file, r.size_bytes) for r in got.collect()] == [("a.txt", "5")]
+
+
+def test_split_sink(spark, tmp_path):
+    from arborlit.operators import trees
+
+    tree = spark.createDataFrame([("a", "Diseases.x", 3), ("b", "Anatomy.y", 1)], "mesh_id string, path string, n long")
+    docs = spark.createDataFrame([("1", "x | "), ("2", "y | x | ")], "pmid string, subjects string")
+    sinks.write_split(*trees.split_tree(tree, docs), str(tmp_path / "s"))
+    assert {(r.slug, r.mesh_id) for r in spark.read.parquet(str(tmp_path / "s" / "tree")).collect()} == {("diseases", "a"), ("other", "b")}
+    assert {(r.slug, r.pmid) for r in spark.read.parquet(str(tmp_path / "s" / "docs")).collect()} == {("diseases", "1"), ("diseases", "2"), ("other", "2")}
+
+
+def test_retry_of_listed_ids_keeps_the_rest(spark, tmp_path):
+    search = R.search_results(spark, write(tmp_path / "s.tsv", "pmid\ttitle_e\n1\ta\n3\tb\n4\tc\n"))
+    none = R.cached_records(spark, str(tmp_path / "missing"))
+    before = documents.build_documents(search, none)
+    fetched = spark.createDataFrame([("3", json.dumps({"id": "3", "year": "2020.0"}), ""), ("4", None, "http_500")], "pmid string, raw string, reason string")
+    from pyspark.sql import functions as F
+
+    from arborlit.sources import schemas as S
+
+    fetched = fetched.select("pmid", F.from_json("raw", S.RECORD).alias("record"), "reason")
+    after = documents.build_documents(search, none, fetched, previous=before, ids=spark.createDataFrame([("3",), ("4",)], "pmid string"))
+    got = {r.pmid: (r.fetch_status, r.source, r.failure_reason, r.year, r.title_e) for r in after.collect()}
+    assert got == {"1": ("failed", "search", "absent_from_response", "", "a"), "3": ("ok", "fetched", "", "2020", "b"), "4": ("failed", "search", "http_500", "", "c")}
+    assert documents.build_documents(search, none, limit=2).count() == 2
+    assert {r.source for r in documents.build_documents(search, none, fetched, previous=after, force=True).collect()} == {"search", "fetched"}
