@@ -3,13 +3,16 @@
 Everything is built-in column expressions.  Positions come from splitting a text
 by a pattern and laying the pieces and the matches end to end, in code points.
 
-Candidates for the entropy rule are runs of one character class: lower-case and
-upper-case hexadecimal, or base-64 characters with a digit and a letter.  A
-window slides over a candidate; the sum of c * log2(c) over its character counts
+Candidates for the entropy rule are runs of one character class, whatever stands
+next to them: hexadecimal, upper case with digits, lower case with digits, both
+cases with digits, and the same with the signs of base 64.  Each class has its own
+threshold: of random strings that are just one window long, about one in a hundred
+stays below it.  A window slides over a candidate; the sum of c * log2(c) over its character counts
 is carried along, and a step only changes the terms of the character that leaves
 and the one that enters.  The window's entropy is log2(w) less that sum over w.
 A candidate with a window at or above its class's threshold is reported from the
-first such window to the last, unless the allow-list knows it.
+first such window to the last, unless the allow-list knows it; stretches of several
+classes that overlap are reported as one.
 """
 
 from __future__ import annotations
@@ -50,8 +53,11 @@ class EntropyRule:
 
 
 RULES = (
-    EntropyRule(r"(?<![A-Za-z0-9+/_=-])[0-9a-fA-F]{24,}(?![A-Za-z0-9+/_=-])", ("[0-9]", "[a-fA-F]"), 24, 3.2),
-    EntropyRule(r"[A-Za-z0-9+/_=-]{24,}", ("[0-9]", "[A-Z]", "[a-z]"), 24, 3.9),
+    EntropyRule(r"[0-9a-fA-F]{20,}", ("[0-9]", "[a-fA-F]"), 20, 2.9),
+    EntropyRule(r"[A-Z0-9]{20,}", ("[0-9]", "[A-Z]"), 20, 3.4),
+    EntropyRule(r"[a-z0-9]{20,}", ("[0-9]", "[a-z]"), 20, 3.4),
+    EntropyRule(r"[A-Za-z0-9]{20,}", ("[0-9]", "[A-Z]", "[a-z]"), 20, 3.6),
+    EntropyRule(r"[A-Za-z0-9+/_=-]{20,}", ("[0-9]", "[A-Z]", "[a-z]"), 20, 3.6),
 )
 
 
@@ -80,13 +86,21 @@ def _term(count: Column) -> Column:
     return F.when(count > 1, count * F.log2(count.cast("double"))).otherwise(F.lit(0.0))
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of ``value``, which is evaluated once however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def hot_window(run: Column, rule: EntropyRule) -> Column:
     """The first and last starts of windows of ``run`` whose entropy reaches the threshold: struct(low, high), low -1 if none."""
+    return bound(F.transform(F.split(run, ""), F.ascii), lambda codes: _hot_window(codes, rule))
+
+
+def _hot_window(codes: Column, rule: EntropyRule) -> Column:
     w = rule.window
-    chars = F.split(run, "")
     # counts of characters by code, and the sum of c * log2(c), of the first window
-    codes = F.transform(F.slice(chars, 1, w), F.ascii)
-    counts = F.transform(F.sequence(F.lit(0), F.lit(127)), lambda k: F.size(F.filter(codes, lambda c: c == k)))
+    first = F.slice(codes, 1, w)
+    counts = F.transform(F.sequence(F.lit(0), F.lit(127)), lambda k: F.size(F.filter(first, lambda c: c == k)))
     total = F.aggregate(counts, F.lit(0.0), lambda s, c: s + _term(c))
     most = F.lit(w * (log2(w) - rule.bits) + 1e-9)
 
@@ -96,7 +110,7 @@ def hot_window(run: Column, rule: EntropyRule) -> Column:
     start = F.struct(counts.alias("counts"), total.alias("total"), F.when(total <= most, 0).otherwise(-1).alias("low"), F.when(total <= most, 0).otherwise(-1).alias("high"))
 
     def step(s: Column, k: Column) -> Column:
-        gone, came = F.ascii(F.element_at(chars, k)), F.ascii(F.element_at(chars, k + w))
+        gone, came = F.element_at(codes, k), F.element_at(codes, k + w)
         n = F.element_at(s["counts"], gone + 1)
         left = put(s["counts"], gone, n - 1)
         m = F.element_at(left, came + 1)
@@ -109,7 +123,7 @@ def hot_window(run: Column, rule: EntropyRule) -> Column:
             F.when(hot, k).otherwise(s["high"]).alias("high"),
         )
 
-    steps = F.when(F.length(run) > w, F.sequence(F.lit(1), F.length(run) - w)).otherwise(F.array().cast("array<int>"))
+    steps = F.when(F.size(codes) > w, F.sequence(F.lit(1), F.size(codes) - w)).otherwise(F.array().cast("array<int>"))
     return F.aggregate(steps, start, step, lambda s: F.struct(s["low"].alias("low"), s["high"].alias("high")))
 
 
@@ -131,13 +145,26 @@ def hot_spans(text: Column, spans: Column, rule: EntropyRule) -> Column:
     """Of candidates' spans, the stretches whose entropy reaches the threshold."""
 
     def trimmed(span: Column) -> Column:
-        hot = hot_window(F.substring(text, span["start"] + 1, span["end"] - span["start"]), rule)
-        kept = F.struct((span["start"] + hot["low"]).alias("start"), span["kind"].alias("kind"), (span["start"] + hot["high"] + rule.window).alias("end"))
-        return F.when(hot["low"] >= 0, kept)
+        def kept(hot: Column) -> Column:
+            found = F.struct((span["start"] + hot["low"]).alias("start"), span["kind"].alias("kind"), (span["start"] + hot["high"] + rule.window).alias("end"))
+            return F.when(hot["low"] >= 0, found)
+
+        return bound(hot_window(F.substring(text, span["start"] + 1, span["end"] - span["start"]), rule), kept)
 
     return F.filter(F.transform(spans, trimmed), lambda s: s.isNotNull())
 
 
+def united(spans: Column) -> Column:
+    """Spans of one kind, ordered by start, those that overlap joined into one."""
+
+    def step(s: Column, x: Column) -> Column:
+        last = F.try_element_at(s, F.lit(-1))
+        both = F.struct(last["start"].alias("start"), last["kind"].alias("kind"), F.greatest(last["end"], x["end"]).alias("end"))
+        return F.when(last["end"] > x["start"], F.concat(F.slice(s, 1, F.size(s) - 1), F.array(both))).otherwise(F.concat(s, F.array(x)))
+
+    return F.aggregate(spans, F.array().cast(SPAN), step)
+
+
 def scan(docs: DataFrame, rules: tuple[EntropyRule, ...] = RULES, allowed: tuple[str, ...] = ALLOWED, carry: bool = False) -> DataFrame:
     """(doc_id, text, base, spans) for each row of ``docs`` (doc_id, text string).
 
@@ -164,7 +191,7 @@ def scan(docs: DataFrame, rules: tuple[EntropyRule, ...] = RULES, allowed: tuple
     runs = [located(text, r.candidate, F.col(f"e{k}"), KINDS.index("entropy"), judge(r, rules[:k], allowed)).alias(f"r{k}") for k, r in enumerate(rules)]
     out = out.select(*kept, "doc_id", "text", F.array_sort(F.concat(*found)).alias("base"), *runs)
     hot = [hot_spans(text, F.col(f"r{k}"), r) for k, r in enumerate(rules)]
-    return out.select(*kept, "doc_id", "text", "base", F.array_sort(F.concat("base", *hot)).alias("spans"))
+    return out.select(*kept, "doc_id", "text", "base", F.array_sort(F.concat("base", united(F.array_sort(F.concat(*hot))))).alias("spans"))
 
 
 def told(spans: Column) -> Column:
