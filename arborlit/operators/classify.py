@@ -53,7 +53,7 @@ def _Joined():
     return SQLTransformer(statement="SELECT *, concat(__words, __pairs) AS __terms FROM __THIS__")
 
 
-def train(documents: DataFrame, target: str, seed: int = 42, iterations: int = 200, vocabulary: int = 8000) -> Trained | None:
+def train(documents: DataFrame, target: str, seed: int = 42, iterations: int = 2000, vocabulary: int = 8000) -> Trained | None:
     """Fit on 80 % of the labelled documents and report on the rest; None below ``LEAST_LABELLED`` labels.
 
     Classes weigh n / (k * n_class).  The split is by a hash of the id, so reruns agree.

@@ -399,5 +399,5 @@ def classify_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted quality of unlabelled documents (a model, so no SQL)."""
     docs, labels = load(spark, sf_dir, "documents", "labels")
     rows = docs.join(labels, "doc_id", "left").select(F.col("doc_id").cast("string").alias("pmid"), F.col("text").alias("title_e"), F.lit("").alias("abstract"), F.concat(F.col("lang"), F.lit(" | "), F.col("source"), F.lit(" | ")).alias("subjects"), F.coalesce(F.concat(F.lit("q"), F.col("quality").cast("string")), F.lit("")).alias("hard_category"))
-    trained = classify.train(rows, "hard_category", iterations=20, vocabulary=2000)
+    trained = classify.train(rows, "hard_category")
     return classify.predict(trained, rows, "hard_category")

@@ -35,6 +35,17 @@ def test_model_query(spark, sf_small):
     assert got.count() > 50
 
 
+def test_model_query_trains_the_whole_model(spark, sf_small, monkeypatch):
+    trained = []
+    monkeypatch.setattr(plans.classify, "train", lambda *a, f=plans.classify.train, **k: trained.append(f(*a, **k)) or trained[-1])
+    plans.classify_quality(spark, sf_small)
+    stages = trained[0].model.stages
+    words = next(s for s in stages if s.hasParam("minDF") and s.getOutputCol() == "__counts")
+    logistic = next(s for s in stages if s.hasParam("regParam"))
+    assert words.getVocabSize() == 8000 and 2000 < len(words.vocabulary) < 8000
+    assert logistic.getMaxIter() == 2000 and 20 < logistic.summary.totalIterations < 2000
+
+
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
     assert set(driver.oracle_sql()) <= set(driver.queries())
