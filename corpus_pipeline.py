@@ -25,9 +25,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document of the smallest doc_id; rows that share a doc_id stay or go together."""
-    found = ngram_join.jaccard_components(docs)
-    return docs.join(found.where("doc_id <> component_id").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    """One row of each group of near copies, that of the smallest doc_id, null last; repeated and null doc_ids are rows like others.
+
+    Rows are numbered in a stored copy, so that every pass sees the same numbers.
+    """
+    path = f"{checkpoint_dir(spark)}/numbered-{uuid4().hex}"
+    docs.withColumn("__row", F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.parquet(path)
+    found = durable(ngram_join.jaccard_components(rows.select(F.col("__row").alias("doc_id"), "text")).select(F.col("doc_id").alias("__row"), "component_id"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row"))
+    kept = found.join(rows.select("__row", "doc_id"), "__row").groupBy("component_id").agg(first.alias("first")).select("first.__row")
+    gone = found.select("__row").join(kept, "__row", "left_anti")
+    return rows.join(gone, "__row", "left_anti").select(docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -161,6 +161,15 @@ def test_other_queries_cover_all_rows(spark, sf_small, name):
     assert got.count() == spark.read.parquet(f"{sf_small}/documents.parquet").count()
 
 
+def test_near_copies_leave_one_row(spark, sf_small):
+    one, two = (" ".join(f"{w}{k}" for k in range(60)) for w in ("a", "b"))
+    rows = [(9, one), (5, one), (5, one), (None, one), (5, one + " more"), (None, two), (None, two), (7, "alone on its own here"), (7, "another text of that id"), (None, "other"), (8, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = corpus_pipeline.drop_near_copies(spark, docs, sf_small).collect()
+    groups = Counter((r.doc_id, (r.text or "").removesuffix(" more")) for r in got)
+    assert groups == Counter([(5, one), (None, two), (7, "alone on its own here"), (7, "another text of that id"), (None, "other"), (8, "")])
+
+
 def test_pipeline(spark, sf_small):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet")
     columns, frames = docs.columns, {}
