@@ -1,4 +1,7 @@
-"""Removal of repeated passages by prefix-partitioned suffix trees over words.
+"""Removal of repeated passages by hashes of word windows, partitioned by prefixes.
+
+No suffix tree is built: suffixes aren't ordered by their words, there are no
+common-prefix lengths and no nodes but those at the depth of ``window`` words.
 
 The suffixes of all texts (one for each word that still has ``window`` words
 before the end of its text) are split by variable-length prefixes: by their
@@ -8,9 +11,9 @@ over the whole corpus, kept in a fixed number of hashed cells a length, so the
 choice is the same for equal prefixes and a group stays near ``group_suffixes``.
 
 A group sorts its suffixes by their prefix of ``window`` words, given as a
-64-bit hash.  Equal neighbours hang below one internal node of the suffix tree
-at that depth or deeper; a node that joins two texts or more is a repeat.  Every
-leaf below it, except those of the smallest doc_id, is marked, and touching
+64-bit hash.  A run of equal hashes is what a suffix tree would hang below one
+node of that depth (here called a node, its suffixes leaves); a node that joins
+two texts or more is a repeat.  Every leaf below it, except those of the smallest doc_id, is marked, and touching
 marks make a maximal repeated span.
 
 Before suffixes travel, each block of texts settles its own nodes: it marks the
