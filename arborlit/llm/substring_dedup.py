@@ -1,24 +1,28 @@
-"""Removal of repeated passages by hashes of word windows, partitioned by prefixes.
-
-No suffix tree is built: suffixes aren't ordered by their words, there are no
-common-prefix lengths and no nodes but those at the depth of ``window`` words.
-
-The suffixes of all texts (one for each word that still has ``window`` words
-before the end of its text) are split by variable-length prefixes: by their
-first word where few suffixes share it, else by their first two, four or eight
-words, else by the whole window.  Which length a suffix takes comes from counts
-over the whole corpus, kept in a fixed number of hashed cells a length, so the
-choice is the same for equal prefixes and a group stays near ``group_suffixes``.
-
-A group sorts its suffixes by their prefix of ``window`` words, given as a
-64-bit hash.  A run of equal hashes is what a suffix tree would hang below one
-node of that depth (here called a node, its suffixes leaves); a node that joins
-two texts or more is a repeat.  Every leaf below it, except those of the smallest doc_id, is marked, and touching
-marks make a maximal repeated span.
-
-Before suffixes travel, each block of texts settles its own nodes: it marks the
-leaves of all texts but the smallest and ships those of the smallest only.  So a
-passage in every text reaches its group once for each block.
+"""Removal of repeated passages by prefix-partitioned suffix trees over words.
+
+A suffix is one for each word that still has ``window`` words before the end of
+its text.  Its tree is as deep as ``window`` words: deeper words can't change
+which leaves hang below a node of that depth.
+
+1. *Lone leaves.*  Only a suffix whose window occurs elsewhere can hang below a
+   deep node.  Every suffix sends a fingerprint of its window and its number
+   within its flush (about five bytes) to the fingerprint's part, which answers
+   with the numbers of those that have company.  This only leaves suffixes out that
+   have none; a false company costs a little work in the next step and no more.
+2. *Prefix groups.*  The others are split by variable-length prefixes: by their
+   first word where few suffixes of the corpus share it, else by their first two,
+   four or eight words, else by the whole window.  The lengths come from counts over
+   the whole corpus, in cells whose number grows with it.
+3. *Subtrees.*  A suffix arrives with its words, spelt out in a dictionary a
+   packed row.  A group sorts its suffixes by words and takes the lengths of
+   common prefixes of neighbours; runs whose common prefix is ``window`` long are the
+   leaves below one internal node of that depth.  So equality is that of words, not
+   of hashes.  Of a node's leaves all but those of the smallest doc_id are marked,
+   and touching marks make a maximal repeated span.
+
+Before suffixes travel in step 3, each flush builds its own subtree, marks what it
+can and ships the leaves of the smallest doc_id only.  So a passage in every text
+reaches its group once for each flush.
 """
 
 from __future__ import annotations
@@ -28,185 +32,339 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arborlit.llm import bitmaps, packed
 from arborlit.llm.session import bounded_batches, durable, parts
-from arborlit.llm.textblocks import U64, Block, blocks, mix, prefix_sums, span_hashes, text_parts, word_hashes, words
+from arborlit.llm.textblocks import U64, Block, Words, blocks, mix, prefix_sums, span_hashes, text_parts, word_hashes, words
 
 LENGTHS = (1, 2, 4, 8)
-CELL_BITS = 12
-FLUSH_SUFFIXES = 2 << 20
+CELL_BITS = (12, 22)
+FLUSH_PRINTS = 2 << 20
+FLUSH_SUFFIXES = 1 << 19
+FLUSH_BYTES = 16 << 20
+NO_LEAF = np.uint32(0)
 
 
-def _row_key() -> Column:
-    return F.xxhash64("doc_id", "text")
+def _starts(found: Words, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first words of a block's suffixes, and how many suffixes each row has."""
+    counts = np.maximum(np.diff(found.first) - window + 1, 0)
+    return np.repeat(found.first[:-1] - np.cumsum(counts) + counts, counts) + np.arange(int(counts.sum())), counts
 
 
-def _suffixes(block: Block, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Prefix sums over the word hashes of a block, the suffixes' first words, and how many each row has."""
-    found = words(block)
-    counts = np.maximum(np.diff(found.first) - window + 1, 0)
-    total = int(counts.sum())
-    first = np.repeat(found.first[:-1] - np.cumsum(counts) + counts, counts) + np.arange(total)
-    return prefix_sums(word_hashes(block, found)), first, counts
+def _cells(sums: np.ndarray, first: np.ndarray, length: int, bits: int) -> np.ndarray:
+    return (span_hashes(sums, first, first + length) >> U64(64 - bits)).astype(np.int64)
 
 
-def _cells(sums: np.ndarray, first: np.ndarray, length: int) -> np.ndarray:
-    return (span_hashes(sums, first, first + length) >> U64(64 - CELL_BITS)).astype(np.int64)
+def cell_bits(total: int, group_suffixes: int) -> int:
+    """How many cells a prefix length has: 64 for each group that the corpus needs, within ``CELL_BITS``."""
+    return min(max(CELL_BITS[0], (64 * total // group_suffixes).bit_length()), CELL_BITS[1])
 
 
-def prefix_counts(docs: DataFrame, window: int) -> np.ndarray:
-    """How many suffixes fall into each cell, by prefix length: an array of fixed size."""
-    lengths = [x for x in LENGTHS if x < window]
+def heavy_prefixes(docs: DataFrame, window: int, group_suffixes: int, total: int) -> np.ndarray:
+    """Which cells of prefixes hold more suffixes than a quarter of a group, by prefix length.
+
+    ``total`` is about the number of suffixes.  Counts are summed where the cells
+    are; the driver gets a bit a cell.
+    """
+    lengths, bits = [x for x in LENGTHS if x < window], cell_bits(total, group_suffixes)
+    most = max(group_suffixes, total >> (bits - 6)) // 4
+    ranges = 1 << (bits - CELL_BITS[0])
+    wide = 1 << CELL_BITS[0]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, salt = np.zeros((len(lengths), 1 << CELL_BITS), dtype=np.int64), 0
+        held = np.zeros((len(lengths), 1 << bits), dtype=np.int32)
         for block in blocks(batches):
-            sums, first, _ = _suffixes(block, window)
-            salt ^= int(sums[-1]) & 255
+            found = words(block)
+            sums, (first, _) = prefix_sums(word_hashes(block, found)), _starts(found, window)
             for k, length in enumerate(lengths):
-                held[k] += np.bincount(_cells(sums, first, length), minlength=1 << CELL_BITS)
-        if held.any():
-            yield pa.RecordBatch.from_arrays([pa.array([salt], pa.int32()), pa.array([packed.squeeze(held.reshape(-1))], pa.binary())], names=["salt", "data"])
+                np.add.at(held[k], *np.unique(_cells(sums, first, length, bits), return_counts=True))
+        for k in range(len(lengths)):
+            for part in np.flatnonzero(held[k].reshape(ranges, wide).any(axis=1)).tolist():
+                yield pa.RecordBatch.from_pydict({"length": pa.array([k], pa.int32()), "part": pa.array([part], pa.int32()), "data": [packed.squeeze(held[k, part * wide : (part + 1) * wide])]})
 
     def merge(table: pa.Table) -> pa.Table:
-        total = sum(packed.unsqueeze(x.as_py(), np.int64) for x in table.column("data"))
-        return pa.table({"salt": pa.array([0], pa.int32()), "data": pa.array([packed.squeeze(total)], pa.binary())})
-
-    kind = "salt int, data binary"
-    merged = docs.select("doc_id", "text").mapInArrow(count, kind).groupBy("salt").applyInArrow(merge, kind).collect()
-    total = sum((packed.unsqueeze(bytes(row["data"]), np.int64) for row in merged), np.zeros(len(lengths) << CELL_BITS, dtype=np.int64))
-    return total.reshape(len(lengths), 1 << CELL_BITS)
-
-
-def _groups(sums: np.ndarray, first: np.ndarray, whole: np.ndarray, heavy: np.ndarray, n_parts: int) -> np.ndarray:
-    """The part of each suffix: that of its shortest prefix whose cell isn't heavy, else of its whole window."""
-    chosen = mix(whole ^ U64(0x5BD1E995))
-    open_ = np.ones(len(first), dtype=bool)
+        total = sum(packed.unsqueeze(x.as_py(), np.int32).astype(np.int64) for x in table.column("data"))
+        return pa.table({"length": table.column("length")[:1], "part": table.column("part")[:1], "data": [np.packbits(total > most).tobytes()]})
+
+    kind = "length int, part int, data binary"
+    out = np.zeros((len(lengths), ranges, wide), dtype=bool)
+    for row in docs.select("doc_id", "text").mapInArrow(count, kind).groupBy("length", "part").applyInArrow(merge, kind).toLocalIterator():
+        out[row["length"], row["part"]] = np.unpackbits(np.frombuffer(row["data"], dtype=np.uint8)).astype(bool)
+    return out.reshape(len(lengths), -1)
+
+
+def groups_of(sums: np.ndarray, first: np.ndarray, window: int, heavy: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The group of each suffix as a hash, and its prefix length: the shortest one whose cell isn't heavy, else ``window``."""
+    chosen = mix(span_hashes(sums, first, first + window) ^ U64(0x5BD1E995))
+    used = np.full(len(first), window, dtype=np.int64)
+    bits = heavy.shape[1].bit_length() - 1
+    open_ = np.arange(len(first))
     for k in range(len(heavy)):
-        at = np.flatnonzero(open_)
-        cell = _cells(sums, first[at], LENGTHS[k])
+        cell = _cells(sums, first[open_], LENGTHS[k], bits)
         light = ~heavy[k][cell]
-        chosen[at[light]] = mix((cell[light].astype(U64) << U64(8)) | U64(k + 1))
-        open_[at[light]] = False
-    return (((chosen >> U64(32)) * U64(n_parts)) >> U64(32)).astype(np.int64)
+        chosen[open_[light]] = mix((cell[light].astype(U64) << U64(8)) | U64(k + 1))
+        used[open_[light]] = LENGTHS[k]
+        open_ = open_[~light]
+    return chosen, used
+
+
+def sorted_suffixes(leaves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of suffixes (a row of word numbers each) and the lengths of common prefixes of neighbours in it."""
+    n, depth = leaves.shape
+    bits = max(1, int(leaves.max(initial=0)).bit_length())
+    each = min(depth, 64 // bits)
+    keys = []
+    for low in range(0, depth, each):
+        key = np.zeros(n, dtype=U64)
+        for column in range(low, min(low + each, depth)):
+            key = (key << U64(bits)) | leaves[:, column].astype(U64)
+        keys.append(key)
+    order = np.lexsort(keys[::-1])
+    common = np.full(max(0, n - 1), depth, dtype=np.int64)
+    for column in range(depth - 1, -1, -1):
+        along = leaves[order, column]
+        common[along[1:] != along[:-1]] = column
+    return order, common
+
+
+def deep_nodes(common: np.ndarray, depth: int) -> np.ndarray:
+    """Where the leaves of each node of at least this depth begin among sorted suffixes; a lone leaf is one of its own."""
+    return np.flatnonzero(np.concatenate(([True], common < depth)))
+
+
+def repeated(leaves: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of suffixes and their doc_ids: those below a deep node that a smaller doc_id shares, and the rest, in sorted order."""
+    order, common = sorted_suffixes(leaves)
+    starts = deep_nodes(common, leaves.shape[1])
+    doc = docs[order]
+    later = doc > np.repeat(np.minimum.reduceat(doc, starts), np.diff(starts, append=len(order)))
+    return order[later], order[~later]
+
+
+def in_company(docs: DataFrame, window: int, total: int, print_bits: int) -> DataFrame:
+    """(row, n, at): for a row's key, how many of its suffixes have company, and lists of gaps between them (int32)."""
+    n_parts = max(parts(docs.sparkSession, 1), total // (4 * FLUSH_PRINTS))
+    unused = U64(0xFFFFFFFF) ^ U64((1 << print_bits) - 1)
+    shape = "part int, flush long, prints binary, leaf binary, rows binary, sizes binary"
 
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        size = 0
 
-def _pack_marks(rows: np.ndarray, at: np.ndarray, n_parts: int) -> list[tuple[int, bytes, bytes]]:
-    """Marks (row key, word index) by the row's part."""
-    part = ((mix(rows.view(U64)) >> U64(32)) * U64(n_parts)) >> U64(32)
-    order = np.lexsort((at, rows, part))
-    part, rows, at = part[order], rows[order], at[order]
-    edge = np.searchsorted(part, np.arange(n_parts + 1, dtype=U64))
-    return [(int(k), packed.squeeze(np.diff(rows[edge[k] : edge[k + 1]], prepend=np.int64(0))), packed.squeeze(at[edge[k] : edge[k + 1]])) for k in np.flatnonzero(np.diff(edge))]
+        def flush() -> Iterator[pa.RecordBatch]:
+            rows, counts, prints = (np.concatenate([x[k] for x in held]) for k in range(3))
+            name = int(mix(np.bitwise_xor.reduce(mix(rows.view(U64) + np.arange(len(rows), dtype=U64)), keepdims=True)).view(np.int64)[0])
+            order = np.argsort(prints, kind="stable")
+            starts = packed.run_starts(prints[order])
+            n = np.diff(starts, append=len(order))
+            among = np.sort(order[np.repeat(n > 1, n)]) + 1
+            yield pa.RecordBatch.from_pydict({"part": pa.array([name % n_parts], pa.int32()), "flush": pa.array([name], pa.int64()), "prints": pa.array([None], pa.binary()), "leaf": [packed.pack_sorted(among.astype(np.uint32))], "rows": [rows.tobytes()], "sizes": [packed.squeeze(counts.astype(np.uint32))]})
+            prints, leaf = prints[order[starts]], np.where(n > 1, 0, order[starts] + 1).astype(np.uint32)
+            edge = packed.bounds(prints, n_parts)
+            for k in np.flatnonzero(np.diff(edge)).tolist():
+                own = slice(edge[k], edge[k + 1])
+                yield pa.RecordBatch.from_pydict({"part": pa.array([k], pa.int32()), "flush": pa.array([name], pa.int64()), "prints": [packed.pack_sorted((prints[own] & packed.LOW).astype(np.uint32))], "leaf": [packed.squeeze(leaf[own])], "rows": pa.array([None], pa.binary()), "sizes": pa.array([None], pa.binary())})
 
+        for batch in batches:
+            keys, done = batch.column(2).to_numpy(), 0
+            for block in blocks(iter([batch])):
+                found = words(block)
+                sums, (first, counts) = prefix_sums(word_hashes(block, found)), _starts(found, window)
+                own = keys[done : done + len(block)][counts > 0]
+                held.append((own, counts[counts > 0], packed.place(span_hashes(sums, first, first + window), n_parts) & ~unused))
+                done, size = done + len(block), size + len(first)
+                if size >= FLUSH_PRINTS:
+                    yield from flush()
+                    held, size = [], 0
+        if size:
+            yield from flush()
 
-def repeat_marks(docs: DataFrame, window: int, group_suffixes: int) -> DataFrame:
-    """(row, at): for a row's key, the ascending int32 indexes of the words where a window starts that a smaller doc_id has too."""
+    def meet(table: pa.Table) -> pa.Table:
+        told = table.filter(table.column("rows").is_valid()).select(["flush", "leaf", "rows", "sizes"])
+        table = table.filter(table.column("rows").is_null())
+        if not len(table):
+            return told
+        flushes = table.column("flush").to_numpy()
+        prints = [packed.unpack_sorted(x.as_py()) for x in table.column("prints")]
+        owner = np.repeat(np.arange(len(prints), dtype=np.int32), [len(x) for x in prints])
+        prints, leaf = np.concatenate(prints), np.concatenate([packed.unsqueeze(x.as_py(), np.uint32) for x in table.column("leaf")])
+        order = np.argsort(prints, kind="stable")
+        starts = packed.run_starts(prints[order])
+        n = np.diff(starts, append=len(order))
+        company = (n > 1) | (np.minimum.reduceat(leaf[order], starts) == NO_LEAF)
+        order = np.sort(order[np.repeat(company, n)])
+        order = order[leaf[order] != NO_LEAF]
+        owner, leaf = owner[order], leaf[order]
+        order = np.lexsort((leaf, owner))
+        edge = np.searchsorted(owner[order], np.arange(len(flushes) + 1))
+        used = np.flatnonzero(np.diff(edge))
+        lists = [packed.pack_sorted(leaf[order[edge[k] : edge[k + 1]]]) for k in used]
+        none = pa.nulls(len(used), pa.binary())
+        found = pa.table({"flush": flushes[used], "leaf": pa.array(lists, pa.binary()), "rows": none, "sizes": none})
+        return pa.concat_tables([told.cast(found.schema), found])
+
+    def resolve(table: pa.Table) -> pa.Table:
+        told = table.filter(table.column("rows").is_valid())
+        if not len(told):
+            raise ValueError("a flush without its rows: texts changed between tries of a task")
+        rows = np.frombuffer(told.column("rows")[0].as_py(), dtype=np.int64)
+        ends = np.cumsum(packed.unsqueeze(told.column("sizes")[0].as_py(), np.uint32).astype(np.int64))
+        leaf = np.unique(np.concatenate([packed.unpack_sorted(x.as_py()) for x in table.column("leaf")])).astype(np.int64) - 1
+        edge = np.searchsorted(leaf, np.concatenate(([0], ends)))
+        used = np.flatnonzero(np.diff(edge))
+        lists = [np.diff(leaf[edge[k] : edge[k + 1]] - (ends[k - 1] if k else 0), prepend=0).astype(np.int32).tobytes() for k in used]
+        return pa.table({"row": rows[used], "n": np.diff(edge)[used], "at": pa.array(lists, pa.binary())})
+
+    kind = "flush long, leaf binary, rows binary, sizes binary"
+    met = docs.select("doc_id", "text", "row").mapInArrow(send, shape).repartition(n_parts, "part").groupBy("part").applyInArrow(meet, kind)
+    lists = met.repartition(n_parts, "flush").groupBy("flush").applyInArrow(resolve, "row long, n long, at binary")
+    return lists.groupBy("row").agg(F.max("n").alias("n"), F.collect_set("at").alias("at"))
+
+
+def _pack_marks(ids: np.ndarray, rows: np.ndarray, at: np.ndarray, n_parts: int) -> list[tuple[int, bytes, bytes, bytes]]:
+    """Marks (doc_id, text key, word index) by part of the key."""
+    part = ((mix(rows.view(U64) ^ mix(ids.view(U64))) >> U64(32)) * U64(n_parts)) >> U64(32)
+    order = np.lexsort((at, ids, rows, part))
+    part, ids, rows, at = part[order], ids[order], rows[order], at[order]
+    edge = np.searchsorted(part, np.arange(n_parts + 1, dtype=U64))
+    gaps = lambda x: packed.squeeze(np.diff(x, prepend=x.dtype.type(0)))
+    return [(int(k), gaps(ids[edge[k] : edge[k + 1]]), gaps(rows[edge[k] : edge[k + 1]]), packed.squeeze(at[edge[k] : edge[k + 1]])) for k in np.flatnonzero(np.diff(edge))]
+
+
+class Flush:
+    """Suffixes with company of some blocks, with the words that they need."""
+
+    def __init__(self, window: int):
+        self.window, self.data, self.start, self.end, self.hashes, self.first, self.group, self.ids, self.rows, self.at = window, [], [], [], [], [], [], [], [], []
+        self.words = self.bytes = self.suffixes = 0
+
+    def add(self, block: Block, keys: np.ndarray, lists: list[np.ndarray], heavy: np.ndarray) -> None:
+        found = words(block)
+        counts = np.maximum(np.diff(found.first) - self.window + 1, 0)
+        lists = [x[: np.searchsorted(x, n)] for x, n in zip(lists, counts.tolist(), strict=True)]
+        sizes = [len(x) for x in lists]
+        if not sum(sizes):
+            return
+        at = np.concatenate(lists)
+        first = np.repeat(found.first[:-1], sizes) + at
+        hashes = word_hashes(block, found)
+        self.group.append(groups_of(prefix_sums(hashes), first, self.window, heavy)[0])
+        self.ids.append(np.repeat(block.ids, sizes))
+        self.rows.append(np.repeat(keys, sizes))
+        self.at.append(at)
+        self.first.append(first + self.words)
+        self.hashes.append(hashes)
+        self.data.append(block.data)
+        self.start.append(found.start + self.bytes)
+        self.end.append(found.end + self.bytes)
+        self.words, self.bytes, self.suffixes = self.words + len(hashes), self.bytes + len(block.data), self.suffixes + len(at)
+
+    def full(self) -> bool:
+        return self.suffixes >= FLUSH_SUFFIXES or self.bytes >= FLUSH_BYTES
+
+    def packed(self, n_parts: int, n_back: int) -> Iterator[tuple]:
+        """Rows of :data:`SHAPE`: marks that this flush's own subtree settles, then the leaves that are left by part."""
+        ids, rows, at, first, group = map(np.concatenate, (self.ids, self.rows, self.at, self.first, self.group))
+        start, end = np.concatenate(self.start), np.concatenate(self.end)
+        data = b"".join(x.tobytes() for x in self.data)
+        _, known, number = np.unique(np.concatenate(self.hashes), return_index=True, return_inverse=True)
+        leaves = number.astype(np.int32)[first[:, None] + np.arange(self.window)]
+        marked, left = repeated(leaves, ids)
+        if len(marked):
+            for part, *marks in _pack_marks(ids[marked], rows[marked], at[marked].astype(np.int32), n_back):
+                yield (part, None, None, *marks)
+        part = (((group >> U64(32)) * U64(n_parts)) >> U64(32)).astype(np.int64)
+        left = left[np.argsort(part[left], kind="stable")]
+        edge = np.searchsorted(part[left], np.arange(n_parts + 1))
+        for k in np.flatnonzero(np.diff(edge)).tolist():
+            own = left[edge[k] : edge[k + 1]]
+            used, local = np.unique(leaves[own], return_inverse=True)
+            spelt = b" ".join([data[a:b] for a, b in zip(start[known[used]].tolist(), end[known[used]].tolist(), strict=True)])
+            yield k, packed.squeeze(np.frombuffer(spelt, dtype=np.uint8)), packed.squeeze(np.ascontiguousarray(local.reshape(-1, self.window).T.astype(np.int32)).reshape(-1)), packed.squeeze(ids[own]), packed.squeeze(rows[own]), packed.squeeze(at[own].astype(np.int32))
+
+
+SHAPE = ("part", "spelt", "leaves", "ids", "rows", "at")
+
+
+def repeat_marks(docs: DataFrame, company: DataFrame, window: int, group_suffixes: int, heavy: np.ndarray) -> DataFrame:
+    """(doc_id, h, at): for a row, the ascending int32 indexes of the words where a window starts that a smaller doc_id has too."""
     spark = docs.sparkSession
-    counts = prefix_counts(docs, window)
-    total = int(counts[0].sum()) if len(counts) else 0
-    n_parts = max(parts(spark, 2), total // group_suffixes)
-    n_back = parts(spark, 1)
-    heavy = counts > max(1024, min(group_suffixes, total // n_parts) // 4)
-    shape = "part int, suffix binary, rows binary, ids binary, owner binary, at binary"
+    total = company.agg(F.sum("n")).first()[0] or 0
+    n_parts = max(parts(spark, 1), total // group_suffixes)
+    n_back = max(parts(spark, 1), n_parts // 4)
+    shared = spark.sparkContext.broadcast(heavy)
+    shape = "part int, " + ", ".join(f"{x} binary" for x in SHAPE[1:])
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, int, np.ndarray, np.ndarray]] = []
-        size = 0
+        flush = Flush(window)
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            held.sort(key=lambda x: x[0])
-            ids, rows = np.array([x[0] for x in held], dtype=np.int64), np.array([x[1] for x in held], dtype=np.int64)
-            lengths = [len(x[2]) for x in held]
-            whole, group = np.concatenate([x[2] for x in held]), np.concatenate([x[3] for x in held])
-            owner = np.repeat(np.arange(len(held), dtype=np.int32), lengths)
-            at = np.arange(len(whole), dtype=np.int64) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            order = np.argsort(whole, kind="stable")
-            starts = packed.run_starts(whole[order])
-            least = np.repeat(ids[owner[order[starts]]], np.diff(starts, append=len(order)))
-            later = ids[owner[order]] > least
-            marked, order = order[later], order[~later]
-            if len(marked):
-                for part, a, b in _pack_marks(rows[owner[marked]], at[marked].astype(np.int32), n_back):
-                    yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "suffix": pa.array([None], pa.binary()), "rows": [a], "ids": pa.array([None], pa.binary()), "owner": pa.array([None], pa.binary()), "at": [b]})
-            order = order[np.argsort(group[order], kind="stable")]
-            edge = np.searchsorted(group[order], np.arange(n_parts + 1))
-            for k in np.flatnonzero(np.diff(edge)):
-                own = order[edge[k] : edge[k + 1]]
-                used, new = np.unique(owner[own], return_inverse=True)
-                suffix = whole[own]
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "part": pa.array([k], pa.int32()),
-                        "suffix": [packed.squeeze(np.diff(suffix, prepend=U64(0)))],
-                        "rows": [rows[used].tobytes()],
-                        "ids": [packed.squeeze(np.diff(ids[used], prepend=np.int64(0)))],
-                        "owner": [packed.squeeze(new.astype(np.int32))],
-                        "at": [packed.squeeze(at[own].astype(np.int32))],
-                    }
-                )
+        def rows() -> Iterator[pa.RecordBatch]:
+            for row in flush.packed(n_parts, n_back):
+                yield pa.RecordBatch.from_arrays([pa.array([row[0]], pa.int32()), *(pa.array([x], pa.binary()) for x in row[1:])], names=list(SHAPE))
 
         for batch in batches:
-            keys, done = batch.column(2).to_numpy().tolist(), 0
+            keys, done = batch.column(2).to_numpy(), 0
+            lists = [np.unique(np.concatenate([np.cumsum(np.frombuffer(x, dtype=np.int32), dtype=np.int64) for x in row])) for row in batch.column(3).to_pylist()]
             for block in blocks(iter([batch])):
-                sums, first, n = _suffixes(block, window)
-                whole = span_hashes(sums, first, first + window)
-                group = _groups(sums, first, whole, heavy, n_parts).astype(np.int32)
-                edge = np.concatenate(([0], np.cumsum(n)))
-                for k in np.flatnonzero(n):
-                    held.append((int(block.ids[k]), keys[done + k], whole[edge[k] : edge[k + 1]], group[edge[k] : edge[k + 1]]))
+                flush.add(block, keys[done : done + len(block)], lists[done : done + len(block)], shared.value)
                 done += len(block)
-                size += len(whole)
-                if size >= FLUSH_SUFFIXES:
-                    yield from flush()
-                    held, size = [], 0
-        if held:
-            yield from flush()
+                if flush.full():
+                    yield from rows()
+                    flush = Flush(window)
+        if flush.suffixes:
+            yield from rows()
 
-    def tree(table: pa.Table) -> pa.Table:
-        out, suffix, rows, ids, owner, at, base = [], [], [], [], [], [], 0
+    def subtree(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
-        for s, r, i, o, a in zip(*(table.column(x).to_pylist() for x in ("suffix", "rows", "ids", "owner", "at")), strict=True):
-            if s is None:
-                out.append((part, r, a))
-                continue
-            suffix.append(np.cumsum(packed.unsqueeze(s, U64), dtype=U64))
-            rows.append(np.frombuffer(r, dtype=np.int64))
-            ids.append(np.cumsum(packed.unsqueeze(i, np.int64), dtype=np.int64))
-            owner.append(packed.unsqueeze(o, np.int32) + base)
-            at.append(packed.unsqueeze(a, np.int32))
-            base += len(rows[-1])
-        if suffix:
-            suffix, rows, ids, owner, at = (np.concatenate(x) for x in (suffix, rows, ids, owner, at))
-            order = np.argsort(suffix, kind="stable")
-            starts = packed.run_starts(suffix[order])
-            doc = ids[owner[order]]
-            least = np.repeat(np.minimum.reduceat(doc, starts), np.diff(starts, append=len(order)))
-            marked = order[doc > least]
+        settled = table.filter(table.column("spelt").is_null())
+        out = [(part, *x) for x in zip(*(settled.column(x).to_pylist() for x in SHAPE[3:]), strict=True)]
+        table = table.filter(table.column("spelt").is_valid())
+        if len(table):
+            spelt = [packed.unsqueeze(x.as_py(), np.uint8).tobytes().split(b" ") for x in table.column("spelt")]
+            number = {word: k for k, word in enumerate(sorted(set().union(*spelt)))}
+            leaves = []
+            for own, x in zip(spelt, table.column("leaves"), strict=True):
+                order = np.fromiter(map(number.__getitem__, own), dtype=np.int32, count=len(own))
+                leaves.append(order[packed.unsqueeze(x.as_py(), np.int32).reshape(window, -1).T])
+            ids, rows = (np.concatenate([packed.unsqueeze(x.as_py(), np.int64) for x in table.column(name)]) for name in ("ids", "rows"))
+            at = np.concatenate([packed.unsqueeze(x.as_py(), np.int32) for x in table.column("at")])
+            marked, _ = repeated(np.concatenate(leaves), ids)
             if len(marked):
-                out += _pack_marks(rows[owner[marked]], at[marked], n_back)
-        return pa.table({"part": pa.array([x[0] for x in out], pa.int32()), "rows": pa.array([x[1] for x in out], pa.binary()), "at": pa.array([x[2] for x in out], pa.binary())})
+                out += _pack_marks(ids[marked], rows[marked], at[marked], n_back)
+        return pa.table({"part": pa.array([x[0] for x in out], pa.int32()), **{name: pa.array([x[k] for x in out], pa.binary()) for k, name in enumerate(SHAPE[3:], 1)}})
 
     def gather(table: pa.Table) -> pa.Table:
-        rows = np.concatenate([np.cumsum(packed.unsqueeze(x.as_py(), np.int64), dtype=np.int64) for x in table.column("rows")])
+        ids, rows = (np.concatenate([np.cumsum(packed.unsqueeze(x.as_py(), np.int64), dtype=np.int64) for x in table.column(name)]) for name in ("ids", "rows"))
         at = np.concatenate([packed.unsqueeze(x.as_py(), np.int32) for x in table.column("at")])
-        order = np.lexsort((at, rows))
-        rows, at = rows[order], at[order]
-        keep = np.ones(len(rows), dtype=bool)
-        keep[1:] = (rows[1:] != rows[:-1]) | (at[1:] != at[:-1])
-        rows, at = rows[keep], at[keep]
-        edge = np.append(packed.run_starts(rows), len(rows))
-        return pa.table({"row": rows[edge[:-1]], "at": pa.array([at[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:], strict=True)], pa.binary())})
+        order = np.lexsort((at, ids, rows))
+        ids, rows, at = ids[order], rows[order], at[order]
+        new = np.ones(len(rows), dtype=bool)
+        new[1:] = (rows[1:] != rows[:-1]) | (ids[1:] != ids[:-1])
+        keep = new.copy()
+        keep[1:] |= at[1:] != at[:-1]
+        edge = np.append(np.flatnonzero(new[keep]), int(keep.sum()))
+        ids, rows, at = ids[keep], rows[keep], at[keep]
+        return pa.table({"doc_id": ids[edge[:-1]], "h": rows[edge[:-1]], "at": pa.array([at[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:], strict=True)], pa.binary())})
+
+    sent = touched(docs, bitmaps.collect_bitmap(company, F.col("row")), True).join(company, "row").select("doc_id", "text", "h", "at").mapInArrow(send, shape)
+    trees = sent.repartition(n_parts, "part").groupBy("part").applyInArrow(subtree, "part int, ids binary, rows binary, at binary")
+    return trees.repartition(n_back, "part").groupBy("part").applyInArrow(gather, "doc_id long, h long, at binary")
+
+
+def touched(docs: DataFrame, bitmap: np.ndarray, wanted: bool) -> DataFrame:
+    """Rows of ``docs`` (doc_id, text, h, row) whose ``row`` the bitmap may hold, or surely doesn't."""
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.select([0, 1, 2, 3]).filter(pa.array(bitmaps.test(shared.value, batch.column(4).to_numpy().view(U64)) == wanted))
 
-    sent = docs.where("doc_id is not null").select("doc_id", "text", _row_key().alias("row")).mapInArrow(send, shape)
-    trees = sent.groupBy("part").applyInArrow(tree, "part int, rows binary, at binary")
-    return trees.groupBy("part").applyInArrow(gather, "row long, at binary")
+    return docs.withColumn("place", F.xxhash64("row")).mapInArrow(run, "doc_id long, text string, h long, row long")
 
 
-def remove_repeats(docs: DataFrame, window: int = 13, group_suffixes: int = 1 << 20) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 13, group_suffixes: int = 1 << 19, print_bits: int = 32) -> DataFrame:
     """(doc_id, text, n_words, removed) for each row of ``docs`` (doc_id bigint, text string).
 
     Words are runs of bytes other than ``\\x20 \\x09-\\x0D``, unchanged.  A word goes
@@ -218,13 +376,19 @@ def remove_repeats(docs: DataFrame, window: int = 13, group_suffixes: int = 1 <<
     Rows that repeat a doc_id are one document to each other: neither removes
     from the other.  Rows with a null doc_id are kept whole and remove nothing.
     Other columns are ignored; an empty table gives an empty result.
+
+    ``group_suffixes`` is the size of a group in suffixes; ``print_bits`` (32 at
+    most) the length of fingerprints within a part, which doesn't change results.
     """
     if window < 2:
         raise ValueError("window must be 2 words at least")
     bounded_batches(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    marks = durable(repeat_marks(docs, window, group_suffixes))
-    hit = docs.sparkSession.sparkContext.broadcast(bitmaps.collect_bitmap(marks, F.col("row")))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("h", F.xxhash64("text")).withColumn("row", F.xxhash64("doc_id", "h"))
+    named = docs.where("doc_id is not null")
+    total = (named.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 6
+    company = durable(in_company(named, window, total, print_bits))
+    marks = durable(repeat_marks(named, company, window, group_suffixes, heavy_prefixes(named, window, group_suffixes, total)))
+    hit = bitmaps.collect_bitmap(marks.select(F.xxhash64("doc_id", "h").alias("row")), F.col("row"))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -245,20 +409,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, group_suffixes: int = 1 <<
                 kept.append(b" ".join(found))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64()), pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))], names=["doc_id", "text", "n_words", "removed"])
 
-    def perhaps(batches: Iterator[pa.RecordBatch], wanted: bool) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            held = bitmaps.test(hit.value, batch.column(3).to_numpy().view(U64))
-            yield batch.select([0, 1, 2]).filter(pa.array(held == wanted))
-
-    keyed = docs.select("doc_id", "text", _row_key().alias("row")).withColumn("h", F.xxhash64("row"))
     kind = "doc_id long, text string, n_words long, removed array<struct<start:int,end:int>>"
-
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in perhaps(batches, False):
-            yield from finish(iter([pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.nulls(batch.num_rows, pa.binary())], names=["doc_id", "text", "at"])]))
-
-    def touched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from perhaps(batches, True)
-
-    rest = keyed.mapInArrow(touched, "doc_id long, text string, row long").join(marks, "row", "left").select("doc_id", "text", "at").mapInArrow(finish, kind)
-    return keyed.mapInArrow(whole, kind).unionByName(rest)
+    whole = touched(docs, hit, False).select("doc_id", "text", F.lit(None).cast("binary").alias("at"))
+    rest = touched(docs, hit, True).join(marks, ["doc_id", "h"], "left").select("doc_id", "text", "at")
+    return whole.mapInArrow(finish, kind).unionByName(rest.mapInArrow(finish, kind))

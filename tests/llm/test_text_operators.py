@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 
 from arborlit.llm import bpe, cdc, mixing, ngram_join, secret_scan, substring_dedup, toxicity
+from arborlit.llm.textblocks import Block, prefix_sums, word_hashes, words
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 SCHEMA = "doc_id long, text string, source string, n long, h long, part int, row string, set_id long, copies int"
@@ -169,6 +170,61 @@ def test_substring_dedup_loops(spark):
     assert removed(got) == plain_dedup(pairs, 13)
 
 
+@pytest.mark.parametrize("print_bits", [0, 2, 9])
+def test_substring_dedup_with_colliding_fingerprints(docs, rows, print_bits):
+    got = substring_dedup.remove_repeats(docs, 13, 64, print_bits)
+    assert removed(got.where("doc_id is not null")) == plain_dedup([(r[0], r[1]) for r in rows if r[0] is not None], 13)
+
+
+def test_substring_dedup_flushes_and_word_collisions(spark, monkeypatch):
+    """Small flushes, and words whose hashes agree in most bits: passages that differ in one word stay apart."""
+    rng = np.random.default_rng(11)
+    pairs = [(k, " ".join(f"v{x}" for x in rng.integers(0, 3, 70))) for k in range(60)]
+    pairs += [(k + 100, pairs[k][1] + " tail " + pairs[k + 1][1]) for k in range(0, 20, 3)]
+    expected = plain_dedup(pairs, 13)
+    monkeypatch.setattr(substring_dedup, "FLUSH_PRINTS", 300)
+    monkeypatch.setattr(substring_dedup, "FLUSH_SUFFIXES", 200)
+    docs = spark.createDataFrame(pairs, "doc_id long, text string").repartition(4)
+    assert removed(substring_dedup.remove_repeats(docs, 13, 128)) == expected
+    assert removed(substring_dedup.remove_repeats(docs, 13, 128, 1)) == expected
+
+
+def test_prefixes_have_lengths_of_their_own(spark):
+    """Rare first words group suffixes alone; behind frequent ones more words are taken, as far as the whole window."""
+    one = Block(np.array([1]), np.frombuffer(("the same start of all and more words here " * 40 + " ".join(f"rare{k}" for k in range(90))).encode(), dtype=np.uint8), np.array([0, 0]))
+    one.offsets[1] = len(one.data)
+    docs = spark.createDataFrame([(k, one.data.tobytes().decode()) for k in range(40)], "doc_id long, text string")
+    heavy = substring_dedup.heavy_prefixes(docs, 13, 2000, 40 * 400)
+    found = words(one)
+    sums, (first, _) = prefix_sums(word_hashes(one, found)), substring_dedup._starts(found, 13)
+    group, used = substring_dedup.groups_of(sums, first, 13, heavy)
+    assert set(used.tolist()) >= {1, 13}
+    some = np.array([used[360], used[0]])
+    assert some.tolist() == [1, 13]
+    mixed = np.zeros_like(heavy)
+    mixed[0] = True
+    assert set(substring_dedup.groups_of(sums, first, 13, mixed)[1].tolist()) == {2}
+    same = {}
+    for place, k in zip(group.tolist(), first.tolist(), strict=True):
+        same.setdefault(tuple(one.data[found.start[k] : found.end[k + 12]].tolist()), set()).add(place)
+    assert all(len(x) == 1 for x in same.values())
+    assert [substring_dedup.cell_bits(n, 1 << 19) for n in (0, 10**9, 10**11, 10**13)] == [12, 17, 22, 22]
+
+
+def test_suffixes_are_sorted_by_words():
+    rng = np.random.default_rng(2)
+    for depth, most in ((2, 3), (13, 2), (13, 70_000), (5, 1 << 20)):
+        leaves = rng.integers(0, most, (500, depth)).astype(np.int32)
+        leaves[100:200] = leaves[:100]
+        order, common = substring_dedup.sorted_suffixes(leaves)
+        told = [tuple(x) for x in leaves[order].tolist()]
+        assert told == sorted(map(tuple, leaves.tolist()))
+        for k, (a, b) in enumerate(zip(told, told[1:], strict=False)):
+            assert common[k] == next((n for n, (x, y) in enumerate(zip(a, b, strict=True)) if x != y), depth)
+        starts = substring_dedup.deep_nodes(common, depth)
+        assert len(starts) == len(set(told))
+
+
 def test_mixing(docs, rows):
     got = mixing.mix_sources(docs).select("doc_id", "source", "size", "source_size", "target", "copies").collect()
     assert len(got) == len(rows)
