@@ -13,21 +13,24 @@ which leaves hang below a node of that depth.
    first word where few suffixes of the corpus share it, else by their first two,
    four or eight words, else by the whole window.  The lengths come from counts over
    the whole corpus, in cells whose number grows with it.
-3. *Subtrees.*  A suffix arrives with its words, spelt out in a dictionary a
-   packed row.  A group sorts its suffixes by words and takes the lengths of
-   common prefixes of neighbours; runs whose common prefix is ``window`` long are the
-   leaves below one internal node of that depth.  So equality is that of words, not
-   of hashes.  Of a node's leaves all but those of the smallest doc_id are marked,
-   and touching marks make a maximal repeated span.
-
-Before suffixes travel in step 3, each flush builds its own subtree, marks what it
-can and ships the leaves of the smallest doc_id only.  So a passage in every text
+3. *Subtrees.*  A suffix arrives with its words, each a 64-bit symbol (its hash;
+   frequent ones travel as short numbers).  A group sorts its suffixes by words and
+   takes the lengths of common prefixes of neighbours; runs whose common prefix is
+   ``window`` long are the leaves below one internal node of that depth.  So windows
+   are equal if all their words are; two words could only be taken for each other
+   if their 64-bit hashes agree, within windows that are equal otherwise.  Of a
+   node's leaves all but those of the smallest doc_id are marked, and touching marks
+   make a maximal repeated span.
+
+Before suffixes travel in step 3, each flush compares its own, marks what it can
+and ships the leaves of the smallest doc_id only.  So a passage in every text
 reaches its group once for each flush.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import compress
 
 import numpy as np
@@ -43,7 +46,8 @@ LENGTHS = (1, 2, 4, 8)
 CELL_BITS = (12, 22)
 FLUSH_PRINTS = 2 << 20
 FLUSH_SUFFIXES = 1 << 19
-FLUSH_BYTES = 16 << 20
+FLUSH_WORDS = 4 << 20
+RANGES, RANGE_WORDS = 16, 4096
 NO_LEAF = np.uint32(0)
 
 
@@ -62,37 +66,74 @@ def cell_bits(total: int, group_suffixes: int) -> int:
     return min(max(CELL_BITS[0], (64 * total // group_suffixes).bit_length()), CELL_BITS[1])
 
 
-def heavy_prefixes(docs: DataFrame, window: int, group_suffixes: int, total: int) -> np.ndarray:
-    """Which cells of prefixes hold more suffixes than a quarter of a group, by prefix length.
+@dataclass(frozen=True)
+class Survey:
+    """What a pass over the corpus tells: the heavy cells of prefixes by length, and frequent words' hashes, ascending, with their numbers."""
 
+    heavy: np.ndarray
+    words: np.ndarray
+    numbers: np.ndarray
+
+
+def survey(docs: DataFrame, window: int, group_suffixes: int, total: int) -> Survey:
+    """Count prefixes and words.
+
+    A cell of prefixes is heavy if it holds more suffixes of all texts than a quarter of a group.
     ``total`` is about the number of suffixes.  Counts are summed where the cells
-    are; the driver gets a bit a cell.
+    are; the driver gets a bit a cell.  Frequent words get short numbers for
+    transport, that is all; they are looked for in the first block of each task and
+    are ``RANGES * RANGE_WORDS`` at most.
     """
     lengths, bits = [x for x in LENGTHS if x < window], cell_bits(total, group_suffixes)
     most = max(group_suffixes, total >> (bits - 6)) // 4
     ranges = 1 << (bits - CELL_BITS[0])
     wide = 1 << CELL_BITS[0]
 
+    def row(length: int, part: int, data: bytes, n: bytes | None = None) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"length": pa.array([length], pa.int32()), "part": pa.array([part], pa.int32()), "data": pa.array([data], pa.binary()), "n": pa.array([n], pa.binary())})
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros((len(lengths), 1 << bits), dtype=np.int32)
+        held, seen = np.zeros((len(lengths), 1 << bits), dtype=np.int32), False
         for block in blocks(batches):
             found = words(block)
-            sums, (first, _) = prefix_sums(word_hashes(block, found)), _starts(found, window)
+            hashes = word_hashes(block, found)
+            if not seen and len(hashes):
+                seen = True
+                known, n = np.unique(hashes, return_counts=True)
+                edge = np.searchsorted(known >> U64(32), np.arange(RANGES + 1, dtype=U64) * U64((1 << 32) // RANGES))
+                for k in np.flatnonzero(np.diff(edge)).tolist():
+                    yield row(-1, k, packed.squeeze(known[edge[k] : edge[k + 1]]), packed.squeeze(n[edge[k] : edge[k + 1]]))
+            sums, (first, _) = prefix_sums(hashes), _starts(found, window)
             for k, length in enumerate(lengths):
-                np.add.at(held[k], *np.unique(_cells(sums, first, length, bits), return_counts=True))
+                held[k] += np.bincount(_cells(sums, first, length, bits), minlength=1 << bits).astype(np.int32)
         for k in range(len(lengths)):
             for part in np.flatnonzero(held[k].reshape(ranges, wide).any(axis=1)).tolist():
-                yield pa.RecordBatch.from_pydict({"length": pa.array([k], pa.int32()), "part": pa.array([part], pa.int32()), "data": [packed.squeeze(held[k, part * wide : (part + 1) * wide])]})
+                yield row(k, part, packed.squeeze(held[k, part * wide : (part + 1) * wide]))
 
     def merge(table: pa.Table) -> pa.Table:
+        length, part = table.column("length")[0].as_py(), table.column("part")[0].as_py()
+        if length < 0:
+            known, at = np.unique(np.concatenate([packed.unsqueeze(x.as_py(), U64) for x in table.column("data")]), return_inverse=True)
+            n = np.bincount(at, np.concatenate([packed.unsqueeze(x.as_py(), np.int64) for x in table.column("n")])).astype(np.int64)
+            best = np.argsort(-n, kind="stable")[:RANGE_WORDS]
+            return pa.Table.from_batches([row(length, part, known[best].tobytes(), n[best].tobytes())])
         total = sum(packed.unsqueeze(x.as_py(), np.int32).astype(np.int64) for x in table.column("data"))
-        return pa.table({"length": table.column("length")[:1], "part": table.column("part")[:1], "data": [np.packbits(total > most).tobytes()]})
-
-    kind = "length int, part int, data binary"
-    out = np.zeros((len(lengths), ranges, wide), dtype=bool)
-    for row in docs.select("doc_id", "text").mapInArrow(count, kind).groupBy("length", "part").applyInArrow(merge, kind).toLocalIterator():
-        out[row["length"], row["part"]] = np.unpackbits(np.frombuffer(row["data"], dtype=np.uint8)).astype(bool)
-    return out.reshape(len(lengths), -1)
+        return pa.Table.from_batches([row(length, part, np.packbits(total > most).tobytes())])
+
+    kind = "length int, part int, data binary, n binary"
+    heavy = np.zeros((len(lengths), ranges, wide), dtype=bool)
+    known, often = [np.zeros(0, dtype=U64)], [np.zeros(0, dtype=np.int64)]
+    for told in docs.select("doc_id", "text").mapInArrow(count, kind).groupBy("length", "part").applyInArrow(merge, kind).toArrow().to_pylist():
+        if told["length"] < 0:
+            known.append(np.frombuffer(told["data"], dtype=U64))
+            often.append(np.frombuffer(told["n"], dtype=np.int64))
+        else:
+            heavy[told["length"], told["part"]] = np.unpackbits(np.frombuffer(told["data"], dtype=np.uint8)).astype(bool)
+    known, often = np.concatenate(known), np.concatenate(often)
+    numbers = np.empty(len(known), dtype=np.int32)
+    numbers[np.lexsort((known, -often))] = np.arange(len(known))
+    order = np.argsort(known)
+    return Survey(heavy.reshape(len(lengths), -1), known[order], numbers[order])
 
 
 def groups_of(sums: np.ndarray, first: np.ndarray, window: int, heavy: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -134,13 +175,30 @@ def deep_nodes(common: np.ndarray, depth: int) -> np.ndarray:
     return np.flatnonzero(np.concatenate(([True], common < depth)))
 
 
-def repeated(leaves: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of suffixes and their doc_ids: those below a deep node that a smaller doc_id shares, and the rest, in sorted order."""
+def later_than_least(docs: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Which of these doc_ids are above the least of their run."""
+    return docs > np.repeat(np.minimum.reduceat(docs, starts), np.diff(starts, append=len(docs)))
+
+
+def repeated(leaves: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """The suffixes below a deep node that a smaller doc_id has a suffix below, too."""
     order, common = sorted_suffixes(leaves)
-    starts = deep_nodes(common, leaves.shape[1])
-    doc = docs[order]
-    later = doc > np.repeat(np.minimum.reduceat(doc, starts), np.diff(starts, append=len(order)))
-    return order[later], order[~later]
+    return order[later_than_least(docs[order], deep_nodes(common, leaves.shape[1]))]
+
+
+def settled(leaves: np.ndarray, whole: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """Which suffixes of a flush a smaller doc_id of the flush repeats.
+
+    Leaves are brought together by the hash of their window and compared by words.
+    Should two windows share a hash, some leaves are left to the subtree.
+    """
+    order = np.argsort(whole)
+    new = np.ones(len(order), dtype=bool)
+    same = np.flatnonzero(whole[order[1:]] == whole[order[:-1]])
+    new[same + 1] = (leaves[order[same + 1]] != leaves[order[same]]).any(axis=1)
+    out = np.zeros(len(order), dtype=bool)
+    out[order] = later_than_least(docs[order], np.flatnonzero(new))
+    return out
 
 
 def in_company(docs: DataFrame, window: int, total: int, print_bits: int) -> DataFrame:
@@ -223,24 +281,25 @@ def in_company(docs: DataFrame, window: int, total: int, print_bits: int) -> Dat
     return lists.groupBy("row").agg(F.max("n").alias("n"), F.collect_set("at").alias("at"))
 
 
-def _pack_marks(ids: np.ndarray, rows: np.ndarray, at: np.ndarray, n_parts: int) -> list[tuple[int, bytes, bytes, bytes]]:
-    """Marks (doc_id, text key, word index) by part of the key."""
-    part = ((mix(rows.view(U64) ^ mix(ids.view(U64))) >> U64(32)) * U64(n_parts)) >> U64(32)
-    order = np.lexsort((at, ids, rows, part))
-    part, ids, rows, at = part[order], ids[order], rows[order], at[order]
-    edge = np.searchsorted(part, np.arange(n_parts + 1, dtype=U64))
-    gaps = lambda x: packed.squeeze(np.diff(x, prepend=x.dtype.type(0)))
-    return [(int(k), gaps(ids[edge[k] : edge[k + 1]]), gaps(rows[edge[k] : edge[k + 1]]), packed.squeeze(at[edge[k] : edge[k + 1]])) for k in np.flatnonzero(np.diff(edge))]
+SHAPE = "part int, flush long, leaf binary, words binary, rare binary, ids binary, owner binary, rows binary"
+
+
+def _tagged(**values: object) -> pa.RecordBatch:
+    """One row of :data:`SHAPE`."""
+    names = [x.split() for x in SHAPE.split(", ")]
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    return pa.RecordBatch.from_arrays([pa.array([values.get(name)], kinds[kind]) for name, kind in names], names=[name for name, _ in names])
 
 
 class Flush:
     """Suffixes with company of some blocks, with the words that they need."""
 
-    def __init__(self, window: int):
-        self.window, self.data, self.start, self.end, self.hashes, self.first, self.group, self.ids, self.rows, self.at = window, [], [], [], [], [], [], [], [], []
-        self.words = self.bytes = self.suffixes = 0
+    def __init__(self, window: int, known: Survey):
+        self.window, self.known = window, known
+        self.hashes, self.first, self.group, self.whole, self.ids, self.rows, self.at = ([] for _ in range(7))
+        self.words = self.suffixes = 0
 
-    def add(self, block: Block, keys: np.ndarray, lists: list[np.ndarray], heavy: np.ndarray) -> None:
+    def add(self, block: Block, keys: np.ndarray, lists: list[np.ndarray]) -> None:
         found = words(block)
         counts = np.maximum(np.diff(found.first) - self.window + 1, 0)
         lists = [x[: np.searchsorted(x, n)] for x, n in zip(lists, counts.tolist(), strict=True)]
@@ -250,107 +309,114 @@ class Flush:
         at = np.concatenate(lists)
         first = np.repeat(found.first[:-1], sizes) + at
         hashes = word_hashes(block, found)
-        self.group.append(groups_of(prefix_sums(hashes), first, self.window, heavy)[0])
+        sums = prefix_sums(hashes)
+        self.group.append(groups_of(sums, first, self.window, self.known.heavy)[0])
+        self.whole.append(span_hashes(sums, first, first + self.window))
         self.ids.append(np.repeat(block.ids, sizes))
         self.rows.append(np.repeat(keys, sizes))
-        self.at.append(at)
+        self.at.append(at.astype(np.int32))
         self.first.append(first + self.words)
         self.hashes.append(hashes)
-        self.data.append(block.data)
-        self.start.append(found.start + self.bytes)
-        self.end.append(found.end + self.bytes)
-        self.words, self.bytes, self.suffixes = self.words + len(hashes), self.bytes + len(block.data), self.suffixes + len(at)
+        self.words, self.suffixes = self.words + len(hashes), self.suffixes + len(at)
 
     def full(self) -> bool:
-        return self.suffixes >= FLUSH_SUFFIXES or self.bytes >= FLUSH_BYTES
-
-    def packed(self, n_parts: int, n_back: int) -> Iterator[tuple]:
-        """Rows of :data:`SHAPE`: marks that this flush's own subtree settles, then the leaves that are left by part."""
-        ids, rows, at, first, group = map(np.concatenate, (self.ids, self.rows, self.at, self.first, self.group))
-        start, end = np.concatenate(self.start), np.concatenate(self.end)
-        data = b"".join(x.tobytes() for x in self.data)
-        _, known, number = np.unique(np.concatenate(self.hashes), return_index=True, return_inverse=True)
-        leaves = number.astype(np.int32)[first[:, None] + np.arange(self.window)]
-        marked, left = repeated(leaves, ids)
-        if len(marked):
-            for part, *marks in _pack_marks(ids[marked], rows[marked], at[marked].astype(np.int32), n_back):
-                yield (part, None, None, *marks)
+        return self.suffixes >= FLUSH_SUFFIXES or self.words >= FLUSH_WORDS
+
+    def packed(self, n_parts: int) -> Iterator[pa.RecordBatch]:
+        """The flush's rows of :data:`SHAPE`: what its leaves are and which of them it marks itself, then the others' words by part."""
+        ids, rows, at, first, group, whole, hashes = map(np.concatenate, (self.ids, self.rows, self.at, self.first, self.group, self.whole, self.hashes))
+        name = int(mix(np.bitwise_xor.reduce(mix(rows.view(U64) + at.astype(U64)), keepdims=True)).view(np.int64)[0])
+        number = self.numbered(hashes)
+        rare, number[number < 0] = number < 0, 0
+        base = len(self.known.words)
+        spelt, number[rare] = np.unique(hashes[rare], return_inverse=True)
+        number[rare] += base
+        leaves = number[first[:, None] + np.arange(self.window)]
+        marked = settled(leaves, whole, ids)
+        yield _tagged(part=name % n_parts, flush=name, leaf=packed.pack_sorted(np.flatnonzero(marked).astype(np.uint32)), ids=packed.squeeze(ids), rows=packed.squeeze(rows), owner=packed.squeeze(at))
         part = (((group >> U64(32)) * U64(n_parts)) >> U64(32)).astype(np.int64)
-        left = left[np.argsort(part[left], kind="stable")]
+        left = np.flatnonzero(~marked)
+        lead = (part[left].astype(U64) << U64(40)) | (leaves[left, 0].astype(U64) << U64(20)) | np.minimum(leaves[left, 1], (1 << 20) - 1).astype(U64)
+        left = left[np.argsort(lead)]
         edge = np.searchsorted(part[left], np.arange(n_parts + 1))
         for k in np.flatnonzero(np.diff(edge)).tolist():
             own = left[edge[k] : edge[k + 1]]
-            used, local = np.unique(leaves[own], return_inverse=True)
-            spelt = b" ".join([data[a:b] for a, b in zip(start[known[used]].tolist(), end[known[used]].tolist(), strict=True)])
-            yield k, packed.squeeze(np.frombuffer(spelt, dtype=np.uint8)), packed.squeeze(np.ascontiguousarray(local.reshape(-1, self.window).T.astype(np.int32)).reshape(-1)), packed.squeeze(ids[own]), packed.squeeze(rows[own]), packed.squeeze(at[own].astype(np.int32))
-
-
-SHAPE = ("part", "spelt", "leaves", "ids", "rows", "at")
-
-
-def repeat_marks(docs: DataFrame, company: DataFrame, window: int, group_suffixes: int, heavy: np.ndarray) -> DataFrame:
+            symbols = leaves[own].T.reshape(-1)
+            unknown = symbols >= base
+            used, symbols[unknown] = np.unique(symbols[unknown], return_inverse=True)
+            symbols[unknown] += base
+            docs, owner = np.unique(ids[own], return_inverse=True)
+            yield _tagged(part=k, flush=name, leaf=packed.squeeze(own.astype(np.uint32)), words=packed.squeeze(symbols), rare=packed.squeeze(spelt[used - base]), ids=packed.squeeze(np.diff(docs, prepend=np.int64(0))), owner=packed.squeeze(owner.astype(np.int32)))
+
+    def numbered(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each word that has one, else -1."""
+        if not len(self.known.words):
+            return np.full(len(hashes), -1, dtype=np.int32)
+        at = np.minimum(np.searchsorted(self.known.words, hashes), len(self.known.words) - 1)
+        return np.where(self.known.words[at] == hashes, self.known.numbers[at], -1).astype(np.int32)
+
+
+def repeat_marks(docs: DataFrame, company: DataFrame, window: int, group_suffixes: int, known: Survey) -> DataFrame:
     """(doc_id, h, at): for a row, the ascending int32 indexes of the words where a window starts that a smaller doc_id has too."""
     spark = docs.sparkSession
     total = company.agg(F.sum("n")).first()[0] or 0
     n_parts = max(parts(spark, 1), total // group_suffixes)
-    n_back = max(parts(spark, 1), n_parts // 4)
-    shared = spark.sparkContext.broadcast(heavy)
-    shape = "part int, " + ", ".join(f"{x} binary" for x in SHAPE[1:])
+    shared = spark.sparkContext.broadcast(known)
+    base = len(known.words)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flush = Flush(window)
-
-        def rows() -> Iterator[pa.RecordBatch]:
-            for row in flush.packed(n_parts, n_back):
-                yield pa.RecordBatch.from_arrays([pa.array([row[0]], pa.int32()), *(pa.array([x], pa.binary()) for x in row[1:])], names=list(SHAPE))
-
+        flush = Flush(window, shared.value)
         for batch in batches:
             keys, done = batch.column(2).to_numpy(), 0
             lists = [np.unique(np.concatenate([np.cumsum(np.frombuffer(x, dtype=np.int32), dtype=np.int64) for x in row])) for row in batch.column(3).to_pylist()]
             for block in blocks(iter([batch])):
-                flush.add(block, keys[done : done + len(block)], lists[done : done + len(block)], shared.value)
+                flush.add(block, keys[done : done + len(block)], lists[done : done + len(block)])
                 done += len(block)
                 if flush.full():
-                    yield from rows()
-                    flush = Flush(window)
+                    yield from flush.packed(n_parts)
+                    flush = Flush(window, shared.value)
         if flush.suffixes:
-            yield from rows()
+            yield from flush.packed(n_parts)
 
     def subtree(table: pa.Table) -> pa.Table:
-        part = table.column("part")[0].as_py()
-        settled = table.filter(table.column("spelt").is_null())
-        out = [(part, *x) for x in zip(*(settled.column(x).to_pylist() for x in SHAPE[3:]), strict=True)]
-        table = table.filter(table.column("spelt").is_valid())
-        if len(table):
-            spelt = [packed.unsqueeze(x.as_py(), np.uint8).tobytes().split(b" ") for x in table.column("spelt")]
-            number = {word: k for k, word in enumerate(sorted(set().union(*spelt)))}
-            leaves = []
-            for own, x in zip(spelt, table.column("leaves"), strict=True):
-                order = np.fromiter(map(number.__getitem__, own), dtype=np.int32, count=len(own))
-                leaves.append(order[packed.unsqueeze(x.as_py(), np.int32).reshape(window, -1).T])
-            ids, rows = (np.concatenate([packed.unsqueeze(x.as_py(), np.int64) for x in table.column(name)]) for name in ("ids", "rows"))
-            at = np.concatenate([packed.unsqueeze(x.as_py(), np.int32) for x in table.column("at")])
-            marked, _ = repeated(np.concatenate(leaves), ids)
-            if len(marked):
-                out += _pack_marks(ids[marked], rows[marked], at[marked], n_back)
-        return pa.table({"part": pa.array([x[0] for x in out], pa.int32()), **{name: pa.array([x[k] for x in out], pa.binary()) for k, name in enumerate(SHAPE[3:], 1)}})
-
-    def gather(table: pa.Table) -> pa.Table:
-        ids, rows = (np.concatenate([np.cumsum(packed.unsqueeze(x.as_py(), np.int64), dtype=np.int64) for x in table.column(name)]) for name in ("ids", "rows"))
-        at = np.concatenate([packed.unsqueeze(x.as_py(), np.int32) for x in table.column("at")])
-        order = np.lexsort((at, ids, rows))
-        ids, rows, at = ids[order], rows[order], at[order]
+        told = table.filter(table.column("words").is_null()).select(["flush", "leaf", "ids", "rows", "owner"])
+        table = table.filter(table.column("words").is_valid())
+        if not len(table):
+            return told
+        rare = [packed.unsqueeze(x.as_py(), U64) for x in table.column("rare")]
+        spelt = np.unique(np.concatenate(rare))
+        leaves, docs = [], []
+        for own, x, ids, owner in zip(rare, *(table.column(c) for c in ("words", "ids", "owner")), strict=True):
+            symbols = packed.unsqueeze(x.as_py(), np.int32)
+            unknown = symbols >= base
+            symbols[unknown] = base + np.searchsorted(spelt, own)[symbols[unknown] - base]
+            leaves.append(symbols.reshape(window, -1).T)
+            docs.append(np.cumsum(packed.unsqueeze(ids.as_py(), np.int64))[packed.unsqueeze(owner.as_py(), np.int32)])
+        leaf = [packed.unsqueeze(x.as_py(), np.uint32) for x in table.column("leaf")]
+        flush = np.repeat(np.arange(len(leaf)), [len(x) for x in leaf])
+        marked = repeated(np.concatenate(leaves), np.concatenate(docs))
+        leaf, flush = np.concatenate(leaf)[marked], flush[marked]
+        order = np.lexsort((leaf, flush))
+        edge = np.searchsorted(flush[order], np.arange(len(table) + 1))
+        used = np.flatnonzero(np.diff(edge))
+        none = pa.nulls(len(used), pa.binary())
+        lists = pa.array([packed.pack_sorted(leaf[order[edge[k] : edge[k + 1]]]) for k in used.tolist()], pa.binary())
+        return pa.concat_tables([told, pa.table({"flush": table.column("flush").to_numpy()[used], "leaf": lists, "ids": none, "rows": none, "owner": none}).cast(told.schema)])
+
+    def resolve(table: pa.Table) -> pa.Table:
+        told = table.filter(table.column("rows").is_valid())
+        if not len(told):
+            raise ValueError("a flush without its rows: texts changed between tries of a task")
+        leaf = np.unique(np.concatenate([packed.unpack_sorted(x.as_py()) for x in table.column("leaf")]))
+        ids, rows, at = (packed.unsqueeze(told.column(c)[0].as_py(), kind)[leaf] for c, kind in (("ids", np.int64), ("rows", np.int64), ("owner", np.int32)))
         new = np.ones(len(rows), dtype=bool)
-        new[1:] = (rows[1:] != rows[:-1]) | (ids[1:] != ids[:-1])
-        keep = new.copy()
-        keep[1:] |= at[1:] != at[:-1]
-        edge = np.append(np.flatnonzero(new[keep]), int(keep.sum()))
-        ids, rows, at = ids[keep], rows[keep], at[keep]
+        new[1:] = (rows[1:] != rows[:-1]) | (ids[1:] != ids[:-1]) | (at[1:] <= at[:-1])
+        edge = np.append(np.flatnonzero(new), len(rows))
         return pa.table({"doc_id": ids[edge[:-1]], "h": rows[edge[:-1]], "at": pa.array([at[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:], strict=True)], pa.binary())})
 
-    sent = touched(docs, bitmaps.collect_bitmap(company, F.col("row")), True).join(company, "row").select("doc_id", "text", "h", "at").mapInArrow(send, shape)
-    trees = sent.repartition(n_parts, "part").groupBy("part").applyInArrow(subtree, "part int, ids binary, rows binary, at binary")
-    return trees.repartition(n_back, "part").groupBy("part").applyInArrow(gather, "doc_id long, h long, at binary")
+    sent = touched(docs, bitmaps.collect_bitmap(company, F.col("row")), True).join(company, "row").select("doc_id", "text", "h", "at").mapInArrow(send, SHAPE)
+    trees = sent.repartition(n_parts, "part").groupBy("part").applyInArrow(subtree, "flush long, leaf binary, ids binary, rows binary, owner binary")
+    return trees.repartition(n_parts, "flush").groupBy("flush").applyInArrow(resolve, "doc_id long, h long, at binary").groupBy("doc_id", "h").agg(F.collect_set("at").alias("at"))
 
 
 def touched(docs: DataFrame, bitmap: np.ndarray, wanted: bool) -> DataFrame:
@@ -386,8 +452,9 @@ def remove_repeats(docs: DataFrame, window: int = 13, group_suffixes: int = 1 <<
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("h", F.xxhash64("text")).withColumn("row", F.xxhash64("doc_id", "h"))
     named = docs.where("doc_id is not null")
     total = (named.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 6
+    known = survey(named, window, group_suffixes, total)
     company = durable(in_company(named, window, total, print_bits))
-    marks = durable(repeat_marks(named, company, window, group_suffixes, heavy_prefixes(named, window, group_suffixes, total)))
+    marks = durable(repeat_marks(named, company, window, group_suffixes, known))
     hit = bitmaps.collect_bitmap(marks.select(F.xxhash64("doc_id", "h").alias("row")), F.col("row"))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -400,7 +467,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, group_suffixes: int = 1 <<
                 if at is None:
                     spans.append([])
                 else:
-                    at = np.frombuffer(at, dtype=np.int32)
+                    at = np.unique(np.frombuffer(b"".join(at), dtype=np.int32))
                     change = np.bincount(at, minlength=len(found) + 1) - np.bincount(at + window, minlength=len(found) + 1)
                     gone = np.cumsum(change[: len(found)]) > 0
                     turn = np.flatnonzero(np.diff(gone, prepend=False, append=False)).tolist()
@@ -410,6 +477,6 @@ def remove_repeats(docs: DataFrame, window: int = 13, group_suffixes: int = 1 <<
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64()), pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))], names=["doc_id", "text", "n_words", "removed"])
 
     kind = "doc_id long, text string, n_words long, removed array<struct<start:int,end:int>>"
-    whole = touched(docs, hit, False).select("doc_id", "text", F.lit(None).cast("binary").alias("at"))
+    whole = touched(docs, hit, False).select("doc_id", "text", F.lit(None).cast("array<binary>").alias("at"))
     rest = touched(docs, hit, True).join(marks, ["doc_id", "h"], "left").select("doc_id", "text", "at")
     return whole.mapInArrow(finish, kind).unionByName(rest.mapInArrow(finish, kind))

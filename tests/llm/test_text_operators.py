@@ -194,7 +194,9 @@ def test_prefixes_have_lengths_of_their_own(spark):
     one = Block(np.array([1]), np.frombuffer(("the same start of all and more words here " * 40 + " ".join(f"rare{k}" for k in range(90))).encode(), dtype=np.uint8), np.array([0, 0]))
     one.offsets[1] = len(one.data)
     docs = spark.createDataFrame([(k, one.data.tobytes().decode()) for k in range(40)], "doc_id long, text string")
-    heavy = substring_dedup.heavy_prefixes(docs, 13, 2000, 40 * 400)
+    known = substring_dedup.survey(docs, 13, 2000, 40 * 400)
+    heavy = known.heavy
+    assert len(known.words) == len(known.numbers) == 9 + 90
     found = words(one)
     sums, (first, _) = prefix_sums(word_hashes(one, found)), substring_dedup._starts(found, 13)
     group, used = substring_dedup.groups_of(sums, first, 13, heavy)
