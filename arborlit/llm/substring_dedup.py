@@ -47,7 +47,7 @@ CELL_BITS = (12, 22)
 FLUSH_PRINTS = 2 << 20
 FLUSH_SUFFIXES = 1 << 19
 FLUSH_WORDS = 4 << 20
-RANGES, RANGE_WORDS = 16, 4096
+RANGES, RANGE_WORDS, WORD_BLOCKS = 64, 1 << 14, 16
 NO_LEAF = np.uint32(0)
 
 
@@ -74,6 +74,25 @@ class Survey:
     words: np.ndarray
     numbers: np.ndarray
 
+    def numbered(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each word that has one, else -1."""
+        out = np.full(len(hashes), -1, dtype=np.int32)
+        if not len(self.words):
+            return out
+        shift = U64(64 - max(1, len(self.words).bit_length()))
+        first = np.searchsorted(self.words >> shift, np.arange(int(U64(2**64 - 1) >> shift) + 1, dtype=U64))
+        at, todo = first[hashes >> shift], np.arange(len(hashes))
+        while len(todo):  # hashes are even, so a few steps reach each one's place
+            here = at[todo]
+            inside = here < len(self.words)
+            todo, here = todo[inside], here[inside]
+            found = self.words[here]
+            hit = found == hashes[todo]
+            out[todo[hit]] = self.numbers[here[hit]]
+            todo = todo[found < hashes[todo]]
+            at[todo] += 1
+        return out
+
 
 def survey(docs: DataFrame, window: int, group_suffixes: int, total: int) -> Survey:
     """Count prefixes and words.
@@ -81,8 +100,8 @@ def survey(docs: DataFrame, window: int, group_suffixes: int, total: int) -> Sur
     A cell of prefixes is heavy if it holds more suffixes of all texts than a quarter of a group.
     ``total`` is about the number of suffixes.  Counts are summed where the cells
     are; the driver gets a bit a cell.  Frequent words get short numbers for
-    transport, that is all; they are looked for in the first block of each task and
-    are ``RANGES * RANGE_WORDS`` at most.
+    transport, that is all; they are looked for in the first ``WORD_BLOCKS`` blocks of
+    each task and are ``RANGES * RANGE_WORDS`` at most (12 MB).
     """
     lengths, bits = [x for x in LENGTHS if x < window], cell_bits(total, group_suffixes)
     most = max(group_suffixes, total >> (bits - 6)) // 4
@@ -93,19 +112,19 @@ def survey(docs: DataFrame, window: int, group_suffixes: int, total: int) -> Sur
         return pa.RecordBatch.from_pydict({"length": pa.array([length], pa.int32()), "part": pa.array([part], pa.int32()), "data": pa.array([data], pa.binary()), "n": pa.array([n], pa.binary())})
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, seen = np.zeros((len(lengths), 1 << bits), dtype=np.int32), False
+        held, seen = np.zeros((len(lengths), 1 << bits), dtype=np.int32), []
         for block in blocks(batches):
             found = words(block)
             hashes = word_hashes(block, found)
-            if not seen and len(hashes):
-                seen = True
-                known, n = np.unique(hashes, return_counts=True)
-                edge = np.searchsorted(known >> U64(32), np.arange(RANGES + 1, dtype=U64) * U64((1 << 32) // RANGES))
-                for k in np.flatnonzero(np.diff(edge)).tolist():
-                    yield row(-1, k, packed.squeeze(known[edge[k] : edge[k + 1]]), packed.squeeze(n[edge[k] : edge[k + 1]]))
+            if len(seen) < WORD_BLOCKS:
+                seen.append(hashes)
             sums, (first, _) = prefix_sums(hashes), _starts(found, window)
             for k, length in enumerate(lengths):
                 held[k] += np.bincount(_cells(sums, first, length, bits), minlength=1 << bits).astype(np.int32)
+        known, n = np.unique(np.concatenate([np.zeros(0, dtype=U64), *seen]), return_counts=True)
+        edge = np.searchsorted(known >> U64(32), np.arange(RANGES + 1, dtype=U64) * U64((1 << 32) // RANGES))
+        for k in np.flatnonzero(np.diff(edge)).tolist():
+            yield row(-1, k, packed.squeeze(known[edge[k] : edge[k + 1]]), packed.squeeze(n[edge[k] : edge[k + 1]]))
         for k in range(len(lengths)):
             for part in np.flatnonzero(held[k].reshape(ranges, wide).any(axis=1)).tolist():
                 yield row(k, part, packed.squeeze(held[k, part * wide : (part + 1) * wide]))
@@ -326,7 +345,7 @@ class Flush:
         """The flush's rows of :data:`SHAPE`: what its leaves are and which of them it marks itself, then the others' words by part."""
         ids, rows, at, first, group, whole, hashes = map(np.concatenate, (self.ids, self.rows, self.at, self.first, self.group, self.whole, self.hashes))
         name = int(mix(np.bitwise_xor.reduce(mix(rows.view(U64) + at.astype(U64)), keepdims=True)).view(np.int64)[0])
-        number = self.numbered(hashes)
+        number = self.known.numbered(hashes)
         rare, number[number < 0] = number < 0, 0
         base = len(self.known.words)
         spelt, number[rare] = np.unique(hashes[rare], return_inverse=True)
@@ -336,7 +355,8 @@ class Flush:
         yield _tagged(part=name % n_parts, flush=name, leaf=packed.pack_sorted(np.flatnonzero(marked).astype(np.uint32)), ids=packed.squeeze(ids), rows=packed.squeeze(rows), owner=packed.squeeze(at))
         part = (((group >> U64(32)) * U64(n_parts)) >> U64(32)).astype(np.int64)
         left = np.flatnonzero(~marked)
-        lead = (part[left].astype(U64) << U64(40)) | (leaves[left, 0].astype(U64) << U64(20)) | np.minimum(leaves[left, 1], (1 << 20) - 1).astype(U64)
+        first, second = np.minimum(leaves[left, :2], (1 << 20) - 1).astype(U64).T
+        lead = (part[left].astype(U64) << U64(40)) | (first << U64(20)) | second
         left = left[np.argsort(lead)]
         edge = np.searchsorted(part[left], np.arange(n_parts + 1))
         for k in np.flatnonzero(np.diff(edge)).tolist():
@@ -348,13 +368,6 @@ class Flush:
             docs, owner = np.unique(ids[own], return_inverse=True)
             yield _tagged(part=k, flush=name, leaf=packed.squeeze(own.astype(np.uint32)), words=packed.squeeze(symbols), rare=packed.squeeze(spelt[used - base]), ids=packed.squeeze(np.diff(docs, prepend=np.int64(0))), owner=packed.squeeze(owner.astype(np.int32)))
 
-    def numbered(self, hashes: np.ndarray) -> np.ndarray:
-        """The number of each word that has one, else -1."""
-        if not len(self.known.words):
-            return np.full(len(hashes), -1, dtype=np.int32)
-        at = np.minimum(np.searchsorted(self.known.words, hashes), len(self.known.words) - 1)
-        return np.where(self.known.words[at] == hashes, self.known.numbers[at], -1).astype(np.int32)
-
 
 def repeat_marks(docs: DataFrame, company: DataFrame, window: int, group_suffixes: int, known: Survey) -> DataFrame:
     """(doc_id, h, at): for a row, the ascending int32 indexes of the words where a window starts that a smaller doc_id has too."""
