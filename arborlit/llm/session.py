@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named in ``spark.checkpoint.dir``; a temporary one only where none is set."""
+    """The shared folder named in ``spark.checkpoint.dir``; on a cluster it must be set, in local mode the warehouse is used where it isn't."""
     sc = spark.sparkContext
     held = sc._jsc.sc().getCheckpointDir()
     if held.isDefined():
         return held.get()
-    path = sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-")
+    path = sc.getConf().get("spark.checkpoint.dir")
+    if not path:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        path = f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints"
     sc.setCheckpointDir(path)
     return path
 
@@ -24,6 +26,11 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def free_finished(spark: SparkSession) -> None:
+    """Have the session drop the shuffle files of each action when it ends; by default they stay as long as the driver knows the plan."""
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def parts(spark: SparkSession, times: int = 4) -> int:
     """How many groups a packed exchange uses: a multiple of the session's shuffle partitions."""
     return max(8, times * int(spark.conf.get("spark.sql.shuffle.partitions")))

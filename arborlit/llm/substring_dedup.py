@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arborlit.llm import bitmaps, packed
-from arborlit.llm.session import bounded_batches, durable, parts
+from arborlit.llm.session import bounded_batches, durable, free_finished, parts
 from arborlit.llm.textblocks import U64, Block, Words, blocks, mix, prefix_sums, span_hashes, text_parts, word_hashes, words
 
 LENGTHS = (1, 2, 4, 8)
@@ -462,6 +462,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, group_suffixes: int = 1 <<
     if window < 2:
         raise ValueError("window must be 2 words at least")
     bounded_batches(docs.sparkSession)
+    free_finished(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("h", F.xxhash64("text")).withColumn("row", F.xxhash64("doc_id", "h"))
     named = docs.where("doc_id is not null")
     total = (named.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 6
