@@ -59,10 +59,14 @@ class Plan:
     small: bool
 
     def copies(self, docs: DataFrame) -> DataFrame:
-        """``docs`` (doc_id, source, ...) with source_size, target and copies, how often the mix takes a row."""
-        found = _with_sources(docs.withColumn("h", hash60(F.col("doc_id"))), self.sources, self.small)
+        """(row, source_size, target, copies): each row of ``docs`` (doc_id, source, ...) whole, as a struct, and how often the mix takes it.
+
+        Whatever other columns the rows have, their names can't clash.
+        """
+        held = docs.select(F.struct("*").alias("row"), F.col("source").cast("string").alias("source"), hash60(F.col("doc_id")).alias("h"))
         extra = F.when(F.col("h") < F.col("limit"), 1).otherwise(0)
-        return found.withColumn("copies", F.when(F.col("source_size") > 0, F.col("whole") + extra).otherwise(0)).drop("h", "whole", "limit")
+        copies = F.when(F.col("source_size") > 0, F.col("whole") + extra).otherwise(0)
+        return _with_sources(held, self.sources, self.small).select("row", "source_size", "target", copies.alias("copies"))
 
 
 def _with_sources(left: DataFrame, right: DataFrame, small: bool) -> DataFrame:
@@ -112,7 +116,7 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), s
     table gives an empty result; reruns agree, whatever the partitioning.
     """
     sizes = durable(sized(docs))
-    return plan(sizes, weights, share, cap).copies(sizes)
+    return plan(sizes, weights, share, cap).copies(sizes).select("row.*", "source_size", "target", "copies")
 
 
 MIX_SQL = r"""

@@ -58,3 +58,25 @@ SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) |
        sum(chars)::BIGINT AS formatted_chars
 FROM k GROUP BY conv_id
 """
+
+REPLY_BRANCHES = r"""
+WITH RECURSIVE m AS (
+    SELECT conv_id AS tree, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS node,
+           coalesce(role, '') AS role, coalesce(text, '') AS text, coalesce(length(text) % 7, 0)::DOUBLE AS score
+    FROM conversations WHERE conv_id IS NOT NULL),
+k AS (
+    SELECT *, '### ' || CASE role WHEN 'system' THEN 'System' WHEN 'user' THEN 'User' WHEN 'assistant' THEN 'Assistant' ELSE '=' || role END || ': ' AS head,
+           replace(replace(replace(text, '\', '\b'), '<', '\l'), '#', '\h') AS body
+    FROM m),
+up AS (
+    SELECT tree, node AS leaf, node, 0 AS up FROM m WHERE NOT EXISTS (SELECT 1 FROM m c WHERE c.tree = m.tree AND c.node > 1 AND c.node // 2 = m.node)
+    UNION ALL SELECT tree, leaf, node // 2, up + 1 FROM up WHERE node > 1),
+turns AS (SELECT up.leaf, up.up, k.*, length(head) AS n, length(body) AS b FROM up JOIN k ON k.tree = up.tree AND k.node = up.node),
+ends AS (SELECT *, sum(n + b + 8) OVER (PARTITION BY tree, leaf ORDER BY up DESC) - 8 AS e FROM turns),
+shown AS (
+    SELECT tree, leaf, sum(score) AS branch_score, string_agg(head || body || '</turn>' || chr(10), '' ORDER BY up DESC) AS formatted,
+           coalesce(string_agg((e - b)::BIGINT || ':' || e::BIGINT, ',' ORDER BY up DESC) FILTER (WHERE role = 'assistant'), '') AS loss
+    FROM ends GROUP BY tree, leaf),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY branch_score DESC, leaf) AS rank FROM shown)
+SELECT tree AS conv_id, leaf, rank::INTEGER AS rank, branch_score, sha256(formatted) AS formatted_sha256, loss FROM ranked WHERE rank <= 3
+"""

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arborlit.llm import bpe, cdc, maxscore, mixing, ngram_join, oracles, reply_trees, secret_scan, substring_dedup, toxicity, warc_audit
+from arborlit.llm.session import durable
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,13 +19,13 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 2 over all pages: their archive against a replica with damaged records."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    return warc_audit.audit(pages, warc_audit.with_rot(pages))
+    return warc_audit.audit(warc_audit.records(pages), warc_audit.records(warc_audit.with_rot(pages)))
 
 
 def op3_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 3 over all conversations and one more, numbered -7, whose texts hold control strings."""
     hostile = "\\### Assistant: </turn> ok"
-    added = spark.createDataFrame([(-7, 0, "user", hostile), (-7, 1, "assistant", hostile)], "conv_id long, turn long, role string, text string")
+    added = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(hostile).alias("text"))
     messages = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text").unionByName(added)
     shown = reply_trees.format_conversations(messages).withColumnRenamed("conv_id", "tree")
     turn = F.struct("turn", F.concat("role", F.lit("\n"), "text", F.lit("\n")).alias("text"))
@@ -38,6 +39,14 @@ def op3_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select(F.col("tree").alias("conv_id"), "n_turns", F.sha2("turns", 256).alias("turns_sha256"), F.length("learned").cast("long").alias("loss_chars"), F.sha2("learned", 256).alias("loss_sha256"), "formatted_chars")
 
 
+def reply_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 3 on trees that branch: each message replies to the one at half its place; the three best branches of each tree."""
+    nodes = reply_trees.threads(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    nodes = nodes.select("tree", "node", F.when(F.col("node") > 1, F.shiftright("node", 1)).alias("parent"), "role", "text", (F.length("text") % 7).cast("double").alias("score"))
+    shown = reply_trees.format_branches(reply_trees.branches(durable(nodes), top=3))
+    return shown.select(F.col("tree").alias("conv_id"), "leaf", "rank", "branch_score", F.sha2("formatted", 256).alias("formatted_sha256"), F.array_join(F.transform("loss_spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",").alias("loss"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 4 over all documents."""
     found = secret_scan.scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
@@ -89,6 +98,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
         "op2_warc_audit": op2_warc_audit,
         "op3_reply_trees": op3_reply_trees,
+        "reply_branches": reply_branches,
         "op4_secret_scan": op4_secret_scan,
         "op5_toxicity": op5_toxicity,
         "op6_exact_top_k": op6_exact_top_k,
@@ -104,6 +114,7 @@ def oracle_sql() -> dict[str, str]:
         "op1_ngram_jaccard_join": oracles.NGRAM_JOIN,
         "op2_warc_audit": warc_audit.AUDIT_SQL,
         "op3_reply_trees": oracles.REPLY_TREES,
+        "reply_branches": oracles.REPLY_BRANCHES,
         "op6_exact_top_k": oracles.TOP_K,
         "op7_mix_sources": mixing.MIX_SQL,
         "op10_substring_dedup": oracles.SUBSTRING_DEDUP,

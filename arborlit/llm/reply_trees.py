@@ -57,17 +57,22 @@ def role_of(name: Column) -> Column:
 def paths(nodes: DataFrame) -> DataFrame:
     """(tree, leaf, node, up): for every leaf all nodes up to its root, ``up`` steps above it.
 
-    ``nodes`` has tree, node and parent.  A node is a root if its parent is null
-    or not in the tree; nodes that reach no root (cycles) are on no path.
+    ``nodes`` has tree, node and parent, each (tree, node) once and neither null.
+    A node is a root if its parent is null or not in the tree.  Nodes on cycles and
+    nodes below cycles reach no root and are on no path.  Other columns are
+    ignored; an empty table gives an empty result.
     """
     step = durable(nodes.join(nodes.select("tree", F.col("node").alias("parent")), ["tree", "parent"], "left_semi").select("tree", "node", F.col("parent").alias("above")))
     inner = step.select("tree", F.col("above").alias("node")).distinct()
-    reached = durable(nodes.select("tree", "node").join(inner, ["tree", "node"], "left_anti").select("tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("up")))
+    leaves = nodes.select("tree", "node").join(inner, ["tree", "node"], "left_anti")
     steps, most = [], nodes.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
     while (1 << len(steps)) < most and not step.isEmpty():
         steps.append(step)
         on = step.select("tree", F.col("node").alias("above"), F.col("above").alias("top"))
         step = durable(step.join(on, ["tree", "above"]).select("tree", "node", F.col("top").alias("above")))
+    if (1 << len(steps)) >= most:  # more steps than a tree has nodes: only a cycle has so many
+        leaves = leaves.join(step.select("tree", "node"), ["tree", "node"], "left_anti")
+    reached = durable(leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("up")))
     for k in range(len(steps) - 1, -1, -1):
         further = reached.join(steps[k], ["tree", "node"]).select("tree", "leaf", F.col("above").alias("node"), (F.col("up") + (1 << k)).alias("up"))
         reached = durable(reached.unionByName(further))
@@ -79,9 +84,16 @@ def branches(nodes: DataFrame, top: int | None = None) -> DataFrame:
 
     ``nodes`` has tree, node, parent, role, text and score.  A branch's score is
     the sum of its messages' scores (null: 0); ties go to the smaller leaf.
-    ``turn`` counts from 0 at the root.
+    ``turn`` counts from 0 at the root; null roles and texts come out empty.  Rows
+    with a null tree or node are left out; of rows that repeat a (tree, node) the
+    least by parent, role, text and score stays, nulls first.  Nodes that reach no
+    root are left out, see :func:`paths`.  Other columns are ignored; an empty
+    table gives an empty result.
     """
-    found = paths(nodes.select("tree", "node", "parent")).join(nodes.select("tree", "node", "role", "text", F.coalesce("score", F.lit(0.0)).alias("score")), ["tree", "node"])
+    rest = F.struct("parent", "role", "text", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))
+    nodes = nodes.where("tree is not null and node is not null").groupBy("tree", "node").agg(F.min(rest).alias("r"))
+    nodes = durable(nodes.select("tree", "node", "r.parent", "r.role", "r.text", "r.score"))
+    found = paths(nodes.select("tree", "node", "parent")).join(nodes.select("tree", "node", "role", "text", "score"), ["tree", "node"])
     total = found.groupBy("tree", "leaf").agg(F.sum("score").alias("branch_score"), F.max("up").alias("depth"))
     total = total.withColumn("rank", F.row_number().over(W.partitionBy("tree").orderBy(F.desc("branch_score"), "leaf")))
     if top is not None:
@@ -93,7 +105,8 @@ def format_branches(turns: DataFrame, learn: str = "assistant") -> DataFrame:
     """(tree, leaf, rank, branch_score, formatted, loss_spans): one conversation for each branch.
 
     ``loss_spans`` are the (start, end) code points in ``formatted`` of the texts,
-    as escaped, of turns of the role ``learn``, end exclusive.
+    as escaped, of turns of the role ``learn``, end exclusive.  ``turns`` are those
+    of :func:`branches`: no nulls, each (tree, leaf, turn) once; an empty table gives an empty result.
     """
     head = F.concat(F.lit(OPEN), role_name(F.col("role")), F.lit(": "))
     shown = turns.withColumn("head", head).withColumn("body", escape(F.col("text")))
@@ -106,7 +119,12 @@ def format_branches(turns: DataFrame, learn: str = "assistant") -> DataFrame:
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """(tree, leaf, turn, role, text, learned): the turns of formatted conversations; ``learned`` is a turn's text under the loss mask, null if it has none."""
+    """(tree, leaf, turn, role, text, learned): the turns of formatted conversations; ``learned`` is a turn's text under the loss mask, null if it has none.
+
+    ``formatted`` has tree, leaf, formatted and loss_spans, each (tree, leaf) once;
+    a null or empty text has no turns, other columns are ignored, an empty table
+    gives an empty result.
+    """
     chunks = formatted.select("tree", "leaf", F.posexplode(F.split("formatted", CLOSE, -1)).alias("turn", "chunk")).where(F.col("chunk") != "")
     order = W.partitionBy("tree", "leaf").orderBy("turn")
     chunks = chunks.withColumn("begin", F.sum(F.length("chunk").cast("long") + len(CLOSE)).over(order) - F.length("chunk") - len(CLOSE))
@@ -136,5 +154,4 @@ def format_conversations(messages: DataFrame) -> DataFrame:
 
     Extra columns are ignored; an empty table gives an empty result.
     """
-    nodes = durable(threads(messages))
-    return format_branches(branches(nodes)).select(F.col("tree").alias("conv_id"), "leaf", "formatted", "loss_spans")
+    return format_branches(branches(threads(messages))).select(F.col("tree").alias("conv_id"), "leaf", "formatted", "loss_spans")

@@ -44,9 +44,10 @@ from arborlit.llm.textblocks import U64, Block, Words, blocks, mix, prefix_sums,
 
 LENGTHS = (1, 2, 4, 8)
 CELL_BITS = (12, 22)
-FLUSH_PRINTS = 2 << 20
-FLUSH_SUFFIXES = 1 << 19
-FLUSH_WORDS = 4 << 20
+FLUSH_PRINTS = 1 << 20
+FLUSH_SUFFIXES = 1 << 18
+FLUSH_WORDS = 2 << 20
+TASK_BYTES = 32 << 20
 RANGES, RANGE_WORDS, WORD_BLOCKS = 64, 1 << 14, 16
 NO_LEAF = np.uint32(0)
 
@@ -222,7 +223,7 @@ def settled(leaves: np.ndarray, whole: np.ndarray, docs: np.ndarray) -> np.ndarr
 
 def in_company(docs: DataFrame, window: int, total: int, print_bits: int) -> DataFrame:
     """(row, n, at): for a row's key, how many of its suffixes have company, and lists of gaps between them (int32)."""
-    n_parts = max(parts(docs.sparkSession, 1), total // (4 * FLUSH_PRINTS))
+    n_parts = max(parts(docs.sparkSession, 1), total // (4 << 20))
     unused = U64(0xFFFFFFFF) ^ U64((1 << print_bits) - 1)
     shape = "part int, flush long, prints binary, leaf binary, rows binary, sizes binary"
 
@@ -232,6 +233,7 @@ def in_company(docs: DataFrame, window: int, total: int, print_bits: int) -> Dat
 
         def flush() -> Iterator[pa.RecordBatch]:
             rows, counts, prints = (np.concatenate([x[k] for x in held]) for k in range(3))
+            held.clear()
             name = int(mix(np.bitwise_xor.reduce(mix(rows.view(U64) + np.arange(len(rows), dtype=U64)), keepdims=True)).view(np.int64)[0])
             order = np.argsort(prints, kind="stable")
             starts = packed.run_starts(prints[order])
@@ -254,7 +256,7 @@ def in_company(docs: DataFrame, window: int, total: int, print_bits: int) -> Dat
                 done, size = done + len(block), size + len(first)
                 if size >= FLUSH_PRINTS:
                     yield from flush()
-                    held, size = [], 0
+                    size = 0
         if size:
             yield from flush()
 
@@ -369,7 +371,7 @@ class Flush:
             yield _tagged(part=k, flush=name, leaf=packed.squeeze(own.astype(np.uint32)), words=packed.squeeze(symbols), rare=packed.squeeze(spelt[used - base]), ids=packed.squeeze(np.diff(docs, prepend=np.int64(0))), owner=packed.squeeze(owner.astype(np.int32)))
 
 
-def repeat_marks(docs: DataFrame, company: DataFrame, window: int, group_suffixes: int, known: Survey) -> DataFrame:
+def repeat_marks(docs: DataFrame, company: DataFrame, window: int, group_suffixes: int, known: Survey, n_rows: int) -> DataFrame:
     """(doc_id, h, at): for a row, the ascending int32 indexes of the words where a window starts that a smaller doc_id has too."""
     spark = docs.sparkSession
     total = company.agg(F.sum("n")).first()[0] or 0
@@ -407,7 +409,8 @@ def repeat_marks(docs: DataFrame, company: DataFrame, window: int, group_suffixe
             docs.append(np.cumsum(packed.unsqueeze(ids.as_py(), np.int64))[packed.unsqueeze(owner.as_py(), np.int32)])
         leaf = [packed.unsqueeze(x.as_py(), np.uint32) for x in table.column("leaf")]
         flush = np.repeat(np.arange(len(leaf)), [len(x) for x in leaf])
-        marked = repeated(np.concatenate(leaves), np.concatenate(docs))
+        leaves, docs = np.concatenate(leaves), np.concatenate(docs)
+        marked = repeated(leaves, docs)
         leaf, flush = np.concatenate(leaf)[marked], flush[marked]
         order = np.lexsort((leaf, flush))
         edge = np.searchsorted(flush[order], np.arange(len(table) + 1))
@@ -427,7 +430,8 @@ def repeat_marks(docs: DataFrame, company: DataFrame, window: int, group_suffixe
         edge = np.append(np.flatnonzero(new), len(rows))
         return pa.table({"doc_id": ids[edge[:-1]], "h": rows[edge[:-1]], "at": pa.array([at[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:], strict=True)], pa.binary())})
 
-    sent = touched(docs, bitmaps.collect_bitmap(company, F.col("row")), True).join(company, "row").select("doc_id", "text", "h", "at").mapInArrow(send, SHAPE)
+    texts = touched(docs, bitmaps.collect_bitmap(company, F.col("row")), True).repartition(n_rows, "row")
+    sent = texts.join(company, "row").select("doc_id", "text", "h", "at").mapInArrow(send, SHAPE)
     trees = sent.repartition(n_parts, "part").groupBy("part").applyInArrow(subtree, "flush long, leaf binary, ids binary, rows binary, owner binary")
     return trees.repartition(n_parts, "flush").groupBy("flush").applyInArrow(resolve, "doc_id long, h long, at binary").groupBy("doc_id", "h").agg(F.collect_set("at").alias("at"))
 
@@ -443,7 +447,7 @@ def touched(docs: DataFrame, bitmap: np.ndarray, wanted: bool) -> DataFrame:
     return docs.withColumn("place", F.xxhash64("row")).mapInArrow(run, "doc_id long, text string, h long, row long")
 
 
-def remove_repeats(docs: DataFrame, window: int = 13, group_suffixes: int = 1 << 19, print_bits: int = 32) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 13, group_suffixes: int = 1 << 18, print_bits: int = 32) -> DataFrame:
     """(doc_id, text, n_words, removed) for each row of ``docs`` (doc_id bigint, text string).
 
     Words are runs of bytes other than ``\\x20 \\x09-\\x0D``, unchanged.  A word goes
@@ -465,10 +469,11 @@ def remove_repeats(docs: DataFrame, window: int = 13, group_suffixes: int = 1 <<
     free_finished(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("h", F.xxhash64("text")).withColumn("row", F.xxhash64("doc_id", "h"))
     named = docs.where("doc_id is not null")
-    total = (named.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 6
+    size = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    total, n_rows = size // 6, max(parts(docs.sparkSession, 1), size // TASK_BYTES)
     known = survey(named, window, group_suffixes, total)
     company = durable(in_company(named, window, total, print_bits))
-    marks = durable(repeat_marks(named, company, window, group_suffixes, known))
+    marks = durable(repeat_marks(named, company, window, group_suffixes, known, n_rows))
     hit = bitmaps.collect_bitmap(marks.select(F.xxhash64("doc_id", "h").alias("row")), F.col("row"))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -492,5 +497,5 @@ def remove_repeats(docs: DataFrame, window: int = 13, group_suffixes: int = 1 <<
 
     kind = "doc_id long, text string, n_words long, removed array<struct<start:int,end:int>>"
     whole = touched(docs, hit, False).select("doc_id", "text", F.lit(None).cast("array<binary>").alias("at"))
-    rest = touched(docs, hit, True).join(marks, ["doc_id", "h"], "left").select("doc_id", "text", "at")
+    rest = touched(docs, hit, True).repartition(n_rows, "doc_id", "h").join(marks, ["doc_id", "h"], "left").select("doc_id", "text", "at")
     return whole.mapInArrow(finish, kind).unionByName(rest.mapInArrow(finish, kind))

@@ -218,8 +218,8 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 8000, **options) -> Model | None:
     """Fit on at most ``sample_rows`` labelled rows that aren't held out, the first by hash of doc_id.
 
-    That bound is the only one on the sample; their texts are read whole.  One
-    task trains, so the driver holds the model only, whose size is fixed.
+    That bound is the only one on the sample; their texts are read whole (of rows
+    that repeat a doc_id the least text), eight bytes a word.  One task trains, so the driver holds the model only, whose size is fixed.
     ``labels`` has doc_id and toxic (0/1); of several labels of a doc_id the
     largest holds, null ones don't count.
     """
@@ -241,7 +241,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 8000, **options
         model = fit([(np.frombuffer(ids, dtype=np.uint16).reshape(-1, TABLES), toxic) for _, ids, toxic in found], **options)
         return pa.table({"model": pa.array([pickle.dumps(model)], pa.binary())})
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(sample, "doc_id").select("doc_id", "text", "toxic")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(sample, "doc_id")
+    rows = rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("doc_id", "text", "toxic")
     described = rows.mapInArrow(describe, "doc_id long, toxic int, ids binary")
     done = described.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(learn, "model binary").collect()
     return pickle.loads(done[0].model) if done else None
