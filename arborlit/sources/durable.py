@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """``df`` written to the folder in ``spark.checkpoint.dir`` (a temporary one only where none is set) and read from there."""
-    sc = df.sparkSession.sparkContext
+    """``df`` written to the folder in ``spark.checkpoint.dir`` and read from there.
+
+    On a cluster the folder must be set; in local mode the warehouse is used where it isn't.
+    """
+    spark = df.sparkSession
+    sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-"))
+        path = sc.getConf().get("spark.checkpoint.dir")
+        if not path and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(path or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints")
     return df.checkpoint(eager=True)

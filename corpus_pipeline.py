@@ -51,7 +51,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
     taken = mixing.plan(durable(mixing.sized(docs))).copies(docs)
-    return taken.where("copies > 0").withColumn("copies", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select(docs.columns)
+    return taken.where("copies > 0").select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select("row.*")
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,15 +69,28 @@ STAGES = [
     ("byte_bpe", tokenise),
 ]
 
-#: Training and token merges are beyond SQL; tests hold the stages against plain versions.
+#: Training and token merges are beyond SQL; tests/llm/test_tables.py holds every stage against plain loops.
 ORACLE_SQL = None
 
 
+def _drop(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each stage's result is written to the shared folder and read again."""
+    """All stages over ``documents``; each stage's result is written to the shared folder and read again.
+
+    A stage's folder goes when the next one is written; the last one stays, as
+    the result is read from it.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    folder, before = f"{checkpoint_dir(spark)}/pipeline-{uuid4().hex}", None
     for name, stage in STAGES[:-1]:
-        path = f"{checkpoint_dir(spark)}/pipeline-{uuid4().hex}/{name}"
+        path = f"{folder}/{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            _drop(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
