@@ -5,13 +5,16 @@ encoded once.  Such pieces are laid out, by length, as padded integer matrices
 with a piece a row.  In each round every row merges its leftmost pair of minimum
 rank: pairs find their rank in a hash table held in two arrays, the merged pair's
 right half is taken out of the row, and rows that have no pair left are taken out
-of the matrix.
+of the matrix.  A round costs the whole row, so pieces of more than ``LONG_PIECE``
+bytes, a row each, make all merges of the minimum rank that can't interact in a
+round, over a linked list instead of a compacted row.
 """
 
 from __future__ import annotations
 
 import base64
 from collections.abc import Iterable, Iterator
+from heapq import heappop, heappush
 from itertools import accumulate
 
 import numpy as np
@@ -20,12 +23,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from arborlit.llm.packed import run_starts
 from arborlit.llm.session import bounded_batches
 from arborlit.llm.textblocks import U64, mix, text_parts
 
 NONE = np.int32(np.iinfo(np.int32).max)
 CACHE_PIECES = 120_000
 MATRIX_CELLS = 1 << 17
+LONG_PIECE = 1024
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -124,13 +129,89 @@ class Encoder:
             grid, rank = grid[:, :used], rank[:, : max(0, used - 1)]
         yield from done
 
+    def _merge_long(self, piece: bytes) -> bytes:
+        """The ids of one long piece, merged rank by rank over a linked list; near-linear in its length.
+
+        Places wait in a bucket for their pair's rank, and a round takes the lowest rank's
+        bucket: all its leftmost non-overlapping places that don't touch each other.  If a merged
+        token would make a pair of lower rank with a neighbour, the leftmost place
+        goes alone, as then the others' turn comes later.
+        """
+        token = self.bytes[np.frombuffer(piece, dtype=np.uint8)].astype(np.int64)
+        n = len(token)
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        rank = np.full(n, NONE, dtype=np.int64)
+        waiting: dict[int, list[np.ndarray]] = {}
+        turns: list[int] = []
+
+        def put(places: np.ndarray) -> None:
+            places = places[rank[places] != NONE]
+            places = places[np.argsort(rank[places], kind="stable")]
+            starts = run_starts(rank[places])
+            for r, own in zip(rank[places[starts]].tolist(), np.split(places, starts[1:]), strict=False):
+                if r not in waiting:
+                    waiting[r] = []
+                    heappush(turns, r)
+                waiting[r].append(own)
+
+        def ranked(places: np.ndarray) -> np.ndarray:
+            """What the pairs that begin here merge to."""
+            return self._pair(token[places], np.where(after[places] < n, token[np.minimum(after[places], n - 1)], -1))
+
+        rank[:-1] = self.pairs.find(token[:-1], token[1:])
+        put(np.arange(n - 1))
+        while turns:
+            r = heappop(turns)
+            places = np.unique(np.concatenate(waiting.pop(r)))
+            places = places[(token[places] >= 0) & (rank[places] == r)]
+            if not len(places):
+                continue
+            overlaps = np.concatenate(([False], after[places[:-1]] == places[1:]))
+            first = np.maximum.accumulate(np.where(overlaps, 0, np.arange(len(places))))
+            places = places[(np.arange(len(places)) - first) % 2 == 0]
+            ends = after[after[places]]
+            touches = np.concatenate(([False], ends[:-1] == places[1:]))
+            a, b = token[places[0]], token[after[places[0]]]
+            chosen = places
+            if touches.any():
+                inner = self._pair(np.array([r, r, b]), np.array([r, a, r]))
+                first = np.maximum.accumulate(np.where(touches, 0, np.arange(len(places))))
+                chosen = places[(np.arange(len(places)) - first) % 2 == 0] if (inner >= r).all() else places[:1]
+            while True:
+                left, right = before[chosen], after[after[chosen]]
+                merged = np.full(len(chosen), r)
+                new_left = self._pair(np.where(left >= 0, token[left], -1), merged)
+                new_right = self._pair(merged, np.where(right < n, token[np.minimum(right, n - 1)], -1))
+                if len(chosen) == 1 or min(new_left.min(), new_right.min()) >= r:
+                    break
+                chosen = places[:1]
+            token[after[chosen]] = -1
+            token[chosen] = r
+            after[chosen] = right
+            inside = right < n
+            before[right[inside]] = chosen[inside]
+            inside = left >= 0
+            rank[chosen] = new_right
+            rank[left[inside]] = new_left[inside]
+            again = np.concatenate((chosen, left[inside]))
+            rank[again] = ranked(again)  # a place between two merges has both sides new
+            put(again)
+            rest = places[(token[places] >= 0) & (rank[places] == r)]
+            put(rest)
+        return token[token >= 0].astype("<u4").tobytes()
+
+    def _pair(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        return self.pairs.find(left, right).astype(np.int64)
+
     def learn(self, pieces: Iterable[str]) -> None:
         """Encode pieces that aren't known yet."""
         new: list[tuple[int, str, bytes]] = []
         for piece in pieces:
             data = piece.encode()
             whole = self.ranks.get(data)
-            if whole is None:
+            if whole is None and len(data) > LONG_PIECE:
+                self.known[piece] = self._merge_long(data)
+            elif whole is None:
                 new.append((len(data), piece, data))
             else:
                 self.known[piece] = whole.to_bytes(4, "little")
