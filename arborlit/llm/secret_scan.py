@@ -1,7 +1,10 @@
 """Secret scan: fixed patterns, and sliding-window entropy per character class.
 
 Everything is built-in column expressions.  Positions come from splitting a text
-by a pattern and laying the pieces and the matches end to end, in code points.
+by a pattern and laying the pieces and the matches end to end, in code points;
+running sums go by blocks of about the square root of their number.  A text is
+searched for assignments only if it holds one of their words, and once for long
+runs of the widest character class; all other patterns can match within those only.
 
 Candidates for the entropy rule are runs of one character class, whatever stands
 next to them: hexadecimal, upper case with digits, lower case with digits, both
@@ -19,7 +22,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 from math import log2
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +34,10 @@ ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{16,}"
 KINDS = ("assign", "access", "hex", "entropy")
+WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
+WIDEST = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}"
 SPAN = "array<struct<start:int,kind:int,end:int>>"
+RUN = "array<struct<start:int,kind:int,end:int,run:string>>"
 
 # Strings that are known to be no secrets.
 ALLOWED = (
@@ -66,29 +74,65 @@ def matches(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
-def located(text: Column, pattern: str, found: Column, kind: int, keep: Callable[[Column], Column]) -> Column:
-    """Spans of the matches ``found`` of ``pattern`` that pass ``keep``, a predicate of the matched string."""
-    gaps = F.transform(F.slice(F.split(text, pattern, -1), 1, F.size(found)), F.length)
-    none = F.array().cast(SPAN)
-    state = F.struct(F.lit(0).alias("at"), none.alias("spans"))
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of ``value``, which is evaluated once however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
-    def step(s: Column, x: Column) -> Column:
-        low = s["at"] + x["gap"]
-        high = low + F.length(x["found"])
-        new = F.array(F.struct(low.alias("start"), F.lit(kind).alias("kind"), high.alias("end")))
-        return F.struct(high.alias("at"), F.concat(s["spans"], F.when(keep(x["found"]), new).otherwise(none)).alias("spans"))
 
-    pairs = F.arrays_zip(gaps.alias("gap"), found.alias("found"))
-    return F.when(F.exists(found, keep), F.aggregate(pairs, state, step, lambda s: s["spans"])).otherwise(none)
+def running(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """Running results of an associative ``combine`` (0 changes nothing) over an array of int.
 
+    The array is cut into about as many blocks as a block is long, so that
+    appending costs n**1.5, not n**2.
+    """
+    zero, none = F.lit(0), F.array().cast("array<int>")
 
-def _term(count: Column) -> Column:
-    return F.when(count > 1, count * F.log2(count.cast("double"))).otherwise(F.lit(0.0))
+    def along(block: Column) -> Column:
+        return F.aggregate(block, none, lambda done, x: F.concat(done, F.array(combine(F.coalesce(F.try_element_at(done, F.lit(-1)), zero), x))))
 
+    def whole(parts: Column) -> Column:
+        ends = F.aggregate(parts, F.array(zero), lambda done, part: F.concat(done, F.array(combine(F.element_at(done, -1), F.element_at(part, -1)))))
+        return F.flatten(F.zip_with(parts, F.slice(ends, 1, F.size(parts)), lambda part, before: F.transform(part, lambda x: combine(before, x))))
+
+    def cut(held: Column) -> Column:
+        size = F.greatest(F.ceil(F.sqrt(F.size(held))).cast("int"), F.lit(1))
+        parts = bound(size, lambda n: F.transform(F.sequence(F.lit(0), F.size(held) - 1, n), lambda k: along(F.slice(held, k + 1, n))))
+        return F.when(F.size(held) > 0, bound(parts, whole)).otherwise(none)
+
+    return bound(values, cut)
+
+
+def located(text: Column, pattern: str, found: Column, kind: int, keep: Callable[[Column], Column] | None = None) -> Column:
+    """The matches ``found`` of ``pattern`` that pass ``keep``, a predicate of the matched string, as (start, kind, end, run)."""
+    gaps = F.slice(F.split(text, pattern, -1), 1, F.size(found))
+
+    def spans(ends: Column) -> Column:
+        each = F.zip_with(ends, found, lambda end, run: F.struct((end - F.length(run)).alias("start"), F.lit(kind).alias("kind"), end.alias("end"), run.alias("run")))
+        return F.filter(each, lambda x: keep(x["run"])) if keep else each
+
+    sizes = F.zip_with(gaps, found, lambda gap, run: F.length(gap) + F.length(run))
+    none = F.array().cast(RUN)
+    held = F.when(F.size(found) > 0, bound(bound(sizes, lambda n: running(n, lambda a, b: a + b)), spans)).otherwise(none)
+    return F.when(F.exists(found, keep), held).otherwise(none) if keep else held
 
-def bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use`` of ``value``, which is evaluated once however often ``use`` names it."""
-    return F.element_at(F.transform(F.array(value), use), 1)
+
+def inside(runs: Column, pattern: str, kind: int, keep: Callable[[Column], Column]) -> Column:
+    """As :func:`located`, of the matches within ``runs``, in the text's positions."""
+
+    def within(run: Column) -> Column:
+        found = bound(matches(run["run"], pattern), lambda m: located(run["run"], pattern, m, kind, keep))
+        return F.transform(found, lambda x: F.struct((x["start"] + run["start"]).alias("start"), x["kind"].alias("kind"), (x["end"] + run["start"]).alias("end"), x["run"].alias("run")))
+
+    return F.when(F.size(runs) > 0, F.flatten(F.transform(runs, within))).otherwise(F.array().cast(RUN))
+
+
+def bare(spans: Column) -> Column:
+    """Spans without the matched strings."""
+    return F.transform(spans, lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end")))
+
+
+def _term(count: Column) -> Column:
+    return F.when(count > 1, count * F.log2(count.cast("double"))).otherwise(F.lit(0.0))
 
 
 def hot_window(run: Column, rule: EntropyRule) -> Column:
@@ -100,13 +144,13 @@ def _hot_window(codes: Column, rule: EntropyRule) -> Column:
     w = rule.window
     # counts of characters by code, and the sum of c * log2(c), of the first window
     first = F.slice(codes, 1, w)
-    counts = F.transform(F.sequence(F.lit(0), F.lit(127)), lambda k: F.size(F.filter(first, lambda c: c == k)))
-    total = F.aggregate(counts, F.lit(0.0), lambda s, c: s + _term(c))
+    total = F.aggregate(F.array_distinct(first), F.lit(0.0), lambda s, c: s + _term(F.size(F.filter(first, lambda x: x == c))))
     most = F.lit(w * (log2(w) - rule.bits) + 1e-9)
 
     def put(counts: Column, code: Column, value: Column) -> Column:
         return F.concat(F.slice(counts, 1, code), F.array(value), F.slice(counts, code + 2, 127 - code))
 
+    counts = F.aggregate(first, F.array_repeat(F.lit(0), 128), lambda s, c: put(s, c, F.element_at(s, c + 1) + 1))
     start = F.struct(counts.alias("counts"), total.alias("total"), F.when(total <= most, 0).otherwise(-1).alias("low"), F.when(total <= most, 0).otherwise(-1).alias("high"))
 
     def step(s: Column, k: Column) -> Column:
@@ -123,8 +167,9 @@ def _hot_window(codes: Column, rule: EntropyRule) -> Column:
             F.when(hot, k).otherwise(s["high"]).alias("high"),
         )
 
-    steps = F.when(F.size(codes) > w, F.sequence(F.lit(1), F.size(codes) - w)).otherwise(F.array().cast("array<int>"))
-    return F.aggregate(steps, start, step, lambda s: F.struct(s["low"].alias("low"), s["high"].alias("high")))
+    alone = F.struct(F.when(total <= most, 0).otherwise(-1).alias("low"), F.when(total <= most, 0).otherwise(-1).alias("high"))
+    slid = F.aggregate(F.sequence(F.lit(1), F.size(codes) - w), start, step, lambda s: F.struct(s["low"].alias("low"), s["high"].alias("high")))
+    return F.when(F.size(codes) > w, slid).otherwise(alone)
 
 
 def judge(rule: EntropyRule, earlier: tuple[EntropyRule, ...], allowed: tuple[str, ...]) -> Callable[[Column], Column]:
@@ -141,28 +186,34 @@ def judge(rule: EntropyRule, earlier: tuple[EntropyRule, ...], allowed: tuple[st
     return candidate
 
 
-def hot_spans(text: Column, spans: Column, rule: EntropyRule) -> Column:
-    """Of candidates' spans, the stretches whose entropy reaches the threshold."""
+def hot_spans(runs: Column, rule: EntropyRule) -> Column:
+    """Of candidates (start, kind, end, run), the stretches whose entropy reaches the threshold."""
 
     def trimmed(span: Column) -> Column:
         def kept(hot: Column) -> Column:
             found = F.struct((span["start"] + hot["low"]).alias("start"), span["kind"].alias("kind"), (span["start"] + hot["high"] + rule.window).alias("end"))
             return F.when(hot["low"] >= 0, found)
 
-        return bound(hot_window(F.substring(text, span["start"] + 1, span["end"] - span["start"]), rule), kept)
+        return bound(hot_window(span["run"], rule), kept)
 
-    return F.filter(F.transform(spans, trimmed), lambda s: s.isNotNull())
+    return F.filter(F.transform(runs, trimmed), lambda s: s.isNotNull())
 
 
 def united(spans: Column) -> Column:
-    """Spans of one kind, ordered by start, those that overlap joined into one."""
+    """Spans ordered by start, those that overlap joined into one of the first one's kind."""
+
+    def joined(reach: Column) -> Column:
+        new = F.transform(spans, lambda x, k: (k == 0) | (x["start"] >= F.try_element_at(reach, k)))
+        heads = F.filter(F.transform(new, lambda n, k: F.when(n, k)), lambda k: k.isNotNull())
+
+        def whole(heads: Column) -> Column:
+            last = F.transform(heads, lambda _, k: F.coalesce(F.try_element_at(heads, k + 2), F.size(spans)))
+            return F.zip_with(heads, last, lambda a, b: F.struct(F.element_at(spans, a + 1)["start"].alias("start"), F.element_at(spans, a + 1)["kind"].alias("kind"), F.element_at(reach, b).alias("end")))
 
-    def step(s: Column, x: Column) -> Column:
-        last = F.try_element_at(s, F.lit(-1))
-        both = F.struct(last["start"].alias("start"), last["kind"].alias("kind"), F.greatest(last["end"], x["end"]).alias("end"))
-        return F.when(last["end"] > x["start"], F.concat(F.slice(s, 1, F.size(s) - 1), F.array(both))).otherwise(F.concat(s, F.array(x)))
+        return bound(heads, whole)
 
-    return F.aggregate(spans, F.array().cast(SPAN), step)
+    ends = running(F.transform(spans, lambda x: x["end"]), F.greatest)
+    return F.when(F.size(spans) > 0, bound(ends, joined)).otherwise(F.array().cast(SPAN))
 
 
 def scan(docs: DataFrame, rules: tuple[EntropyRule, ...] = RULES, allowed: tuple[str, ...] = ALLOWED, carry: bool = False) -> DataFrame:
@@ -185,13 +236,19 @@ def scan(docs: DataFrame, rules: tuple[EntropyRule, ...] = RULES, allowed: tuple
     )
     kept = ["row"] if carry else []
     out = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *([F.struct("*").alias("row")] if carry else []))
-    # the matches stand as columns first, so that each pattern runs once over a text
-    out = out.select("*", *(matches(text, p).alias(f"m{k}") for k, (p, _) in enumerate(base)), *(matches(text, r.candidate).alias(f"e{k}") for k, r in enumerate(rules)))
-    found = [located(text, p, F.col(f"m{k}"), k, keep) for k, (p, keep) in enumerate(base)]
-    runs = [located(text, r.candidate, F.col(f"e{k}"), KINDS.index("entropy"), judge(r, rules[:k], allowed)).alias(f"r{k}") for k, r in enumerate(rules)]
-    out = out.select(*kept, "doc_id", "text", F.array_sort(F.concat(*found)).alias("base"), *runs)
-    hot = [hot_spans(text, F.col(f"r{k}"), r) for k, r in enumerate(rules)]
-    return out.select(*kept, "doc_id", "text", "base", F.array_sort(F.concat("base", united(F.array_sort(F.concat(*hot))))).alias("spans"))
+    low = F.lower(text)
+    named = reduce(or_, (F.contains(low, F.lit(w)) for w in WORDS))
+    # columns of their own, so that each pattern runs once over a text
+    out = out.select("*", F.when(named, matches(text, ASSIGN)).otherwise(F.array().cast("array<string>")).alias("assigned"), matches(text, WIDEST).alias("wide"))
+    out = out.select(*kept, "doc_id", "text", located(text, ASSIGN, F.col("assigned"), 0, base[0][1]).alias("m0"), located(text, WIDEST, F.col("wide"), 0).alias("runs"))
+    runs = F.col("runs")
+    more = [inside(runs, p, k, keep).alias(f"m{k}") for k, (p, keep) in enumerate(base) if k]
+    tried = [inside(runs, r.candidate, KINDS.index("entropy"), judge(r, rules[:k], allowed)).alias(f"r{k}") for k, r in enumerate(rules)]
+    out = out.select(*kept, "doc_id", "text", "m0", *more, *tried)
+    found = F.sort_array(F.concat(*(bare(F.col(f"m{k}")) for k in range(len(base)))))
+    hot = F.concat(*(hot_spans(F.col(f"r{k}"), r) for k, r in enumerate(rules)))
+    out = out.select(*kept, "doc_id", "text", found.alias("base"), F.sort_array(hot).alias("hot"))
+    return out.select(*kept, "doc_id", "text", "base", F.sort_array(F.concat("base", united(F.col("hot")))).alias("spans"))
 
 
 def told(spans: Column) -> Column:
@@ -205,12 +262,19 @@ def count_kind(spans: Column, kind: str) -> Column:
 
 
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """The text with ``mark`` in place of every maximal stretch that spans cover; spans ordered by start."""
-    state = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("kept"))
+    """The text with ``mark`` in place of every maximal stretch that spans cover; spans ordered by start.
+
+    Many stretches are cut from the text's single characters, as finding a place
+    in a string takes longer the further it is.
+    """
+
+    def pieces(gone: Column, cut: Callable[[Column, Column], Column]) -> Column:
+        before = F.transform(gone, lambda x, k: cut(F.when(k > 0, F.try_element_at(gone, k)["end"]).otherwise(0), x["start"]))
+        return F.concat(F.array_join(F.transform(before, lambda x: F.concat(x, F.lit(mark))), ""), cut(F.element_at(gone, -1)["end"], F.length(text)))
 
-    def step(s: Column, x: Column) -> Column:
-        new = F.concat(s["kept"], F.array(F.substring(text, s["at"] + 1, x["start"] - s["at"]), F.lit(mark)))
-        return F.struct(F.greatest(s["at"], x["end"]).alias("at"), F.when(x["start"] >= s["at"], new).otherwise(s["kept"]).alias("kept"))
+    def some(gone: Column) -> Column:
+        few = pieces(gone, lambda a, b: F.substring(text, a + 1, b - a))
+        many = bound(F.split(text, "", -1), lambda one: pieces(gone, lambda a, b: F.array_join(F.slice(one, a + 1, b - a), "")))
+        return F.when(F.size(gone) > 64, many).otherwise(few)
 
-    done = F.aggregate(spans, state, step, lambda s: F.concat(F.array_join(s["kept"], ""), F.substring(text, s["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, done).otherwise(text)
+    return F.when(F.size(spans) > 0, bound(united(spans), some)).otherwise(text)

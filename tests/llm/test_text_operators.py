@@ -303,6 +303,55 @@ def test_secret_scan(spark):
     assert secret_scan.scan(docs.limit(0)).count() == 0
 
 
+def plain_added(text, rules=secret_scan.RULES, allowed=secret_scan.ALLOWED):
+    """The entropy rules' spans by plain loops: every window counted anew."""
+    from math import log2
+
+    hot = []
+    for k, rule in enumerate(rules):
+        for m in re.finditer(rule.candidate, text):
+            run = m.group()
+            if not all(re.search(x, run) for x in rule.must) or any(re.search(x, run) for x in allowed) or any(re.fullmatch(x.candidate, run) for x in rules[:k]):
+                continue
+            starts = [at for at in range(len(run) - rule.window + 1) if -sum(c / rule.window * log2(c / rule.window) for c in Counter(run[at : at + rule.window]).values()) >= rule.bits - 1e-9]
+            if starts:
+                hot.append((m.start() + starts[0], m.start() + starts[-1] + rule.window))
+    out = []
+    for a, b in sorted(hot):
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return [(a, 3, b) for a, b in out]
+
+
+def test_added_spans_are_those_of_plain_loops(spark, docs, rows, sf_small):
+    """Base spans, entropy spans and the allow-list together, also in texts with very many of them."""
+    rng = np.random.default_rng(8)
+    signs = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"))
+    texts = [t for _, t in SECRETS] + [r[1] for r in rows]
+    texts += [r.text for r in spark.read.parquet(f"{sf_small}/documents.parquet").select("text").collect()]
+    for n in (20, 21, 40, 90):
+        for alphabet in (signs[:16], signs[26:36], signs[36:62], signs[:62], signs, signs[52:62]):
+            texts.append(" é ".join("".join(rng.choice(alphabet, n)) for _ in range(5)))
+    texts += ["key=example" + "".join(rng.choice(signs[:62], 40)), "0123456789abcdef" * 4, " ".join(f"AKIA{k * k:017d}" for k in range(2500)), "x" + " token: aB3dE6gH9jK2mN5pQ8" * 300]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r for r in secret_scan.scan(frame).select("doc_id", "base", "spans").collect()}
+    for k, text in enumerate(texts):
+        base = sorted(plain_base(text))
+        assert sorted(tuple(s) for s in got[k].base) == base
+        assert [tuple(s) for s in got[k].spans] == sorted([*base, *plain_added(text or "")]), text
+
+
+def test_running_sums(spark):
+    from pyspark.sql import functions as F
+
+    for n in (0, 1, 2, 3, 10, 101):
+        values = [(k * 7919) % 23 for k in range(n)]
+        row = spark.range(1).select(F.array(*map(F.lit, values)).cast("array<int>").alias("v")).select(secret_scan.running(F.col("v"), lambda a, b: a + b).alias("s"), secret_scan.running(F.col("v"), F.greatest).alias("m")).first()
+        assert row.s == np.cumsum(values).tolist() and row.m == np.maximum.accumulate(np.array(values, dtype=int)).tolist()
+
+
 def test_entropy_window_is_exact(spark):
     from math import log2
 
@@ -386,6 +435,21 @@ def test_bpe_matches_library(spark, docs, rows, nothing):
         assert np.frombuffer(encoder.encode([text])[0], dtype="<u4").tolist() == library.encode_ordinary(text)
 
 
+def test_long_pieces_match_library():
+    import public_tokenizers
+    import tiktoken
+
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    library = tiktoken.Encoding("x", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    encoder, rng = bpe.Encoder(ranks, public_tokenizers.PATTERN), np.random.default_rng(6)
+    pieces = [bytes(rng.choice(list(alphabet), int(rng.integers(2, 80))).astype(np.uint8)) for alphabet in (b"a", b"ab", b"abc ", b"aeiou ", b"the", bytes(range(97, 123)), bytes(range(256))) for _ in range(60)]
+    pieces += [b"a" * 40_000, b"abcabcabd" * 5000, "日本語".encode() * 5000, bytes(rng.choice(list(range(97, 123)), 1 << 20).astype(np.uint8))]
+    for piece in pieces:
+        assert np.frombuffer(encoder._merge_long(piece), dtype="<u4").tolist() == list(library._core_bpe.encode_single_piece(piece))
+    text = "x" * 3000 + " " + "ab" * 2000
+    assert np.frombuffer(encoder.encode([text])[0], dtype="<u4").tolist() == library.encode_ordinary(text)
+
+
 def test_bpe_bounds(spark):
     with pytest.raises(Exception, match="outside the vocabulary"):
         bpe.decode(spark.createDataFrame([(1, 1, bytearray(b"\xff\xff\xff\x7f"))], "doc_id long, n_tokens long, ids binary"), {b"a": 0}).collect()
