@@ -12,6 +12,9 @@ from arborlit.sources.durable import durable
 NAMESPACES = {"biological_process": "Biological Process", "cellular_component": "Cellular Component", "molecular_function": "Molecular Function"}
 DEFAULT_NAMESPACE = "Gene Ontology"
 
+#: Levels walked between two cuts of the lineage.
+LEVELS = 6
+
 
 def _label(namespace: Column) -> Column:
     out = F.lit(DEFAULT_NAMESPACE)
@@ -31,26 +34,29 @@ def dag_lineages(terms: DataFrame, wanted: DataFrame | None = None, max_paths: i
     walk leads to an end, so no smaller complete one is lost.  Equal chains are
     given once, after the cut.
     """
-    edges = terms.select("term_id", F.posexplode("parents").alias("place", "parent")).join(terms.select(F.col("term_id").alias("parent")), "parent", "left_semi").select(F.col("term_id").alias("at"), "place", "parent")
-    names = terms.select(F.col("term_id").alias("at"), F.col("name").alias("at_name"))
+    named = terms.select(F.col("term_id").alias("parent"), F.col("name").alias("parent_name"))
+    steps = terms.select("term_id", F.posexplode("parents").alias("place", "parent")).join(named, "parent")
+    steps = durable(steps.groupBy(F.col("term_id").alias("at")).agg(F.sort_array(F.collect_list(F.struct("place", "parent", "parent_name"))).alias("steps")))
     start = terms if wanted is None else terms.join(wanted.select("term_id").distinct(), "term_id", "left_semi")
     none = F.array().cast("array<int>")
     walks = start.select("term_id", F.col("term_id").alias("at"), F.array("name").alias("chain"), F.array().cast("array<string>").alias("visited"), none.alias("places"), _label(F.col("namespace")).alias("label"), F.lit(False).alias("ended"))
-    for depth in range(max_depth + 1):
+    best = W.partitionBy("term_id").orderBy("places")
+    for depth in range(1, max_depth + 1):
         if depth == max_depth:
             walks = walks.withColumn("ended", F.lit(True))
             break
-        live = walks.where("not ended")
-        known = live.join(edges, "at", "left").withColumn("open", F.col("parent").isNotNull() & ~F.array_contains("visited", F.coalesce("parent", F.lit(""))))
-        key = ["term_id", "at", "chain", "visited", "places", "label"]
-        onward = known.where("open").select("term_id", F.col("parent").alias("next"), "chain", F.array_append("visited", F.col("at")).alias("visited"), F.array_append("places", F.col("place")).alias("places"), "label")
-        onward = onward.join(names.withColumnRenamed("at", "next"), "next").select("term_id", F.col("next").alias("at"), F.array_prepend("chain", F.col("at_name")).alias("chain"), "visited", "places", "label", F.lit(False).alias("ended"))
-        ends = known.groupBy(*key).agg(F.max("open").alias("any")).where("not any").select(*key, F.lit(True).alias("ended"))
-        walks = walks.where("ended").unionByName(ends).unionByName(onward)
-        best = W.partitionBy("term_id").orderBy("places")
-        walks = durable(walks.withColumn("n", F.row_number().over(best)).where(F.col("n") <= max_paths).drop("n"))
-        if walks.where("not ended").isEmpty():
-            break
+        # a walk's next steps come as one list, so a level is one join and one ranking
+        known = walks.join(steps, "at", "left")
+        open_ = F.when(F.col("ended"), F.array()).otherwise(F.filter(F.coalesce("steps", F.array()), lambda x: ~F.array_contains("visited", x["parent"])))
+        known = known.withColumn("open", open_).withColumn("ended", F.size("open") == 0)
+        moved = known.select("*", F.explode_outer("open").alias("step"))
+        go = lambda stay, on: F.when(F.col("ended"), stay).otherwise(on)
+        walks = moved.select("term_id", go(F.col("at"), F.col("step.parent")).alias("at"), go(F.col("chain"), F.array_prepend("chain", F.col("step.parent_name"))).alias("chain"), go(F.col("visited"), F.array_append("visited", F.col("at"))).alias("visited"), go(F.col("places"), F.array_append("places", F.col("step.place"))).alias("places"), "label", "ended")
+        walks = walks.withColumn("n", F.row_number().over(best)).where(F.col("n") <= max_paths).drop("n")
+        if depth % LEVELS == 0:
+            walks = durable(walks)
+            if walks.where("not ended").isEmpty():
+                break
     full = walks.select("term_id", "places", F.array_prepend("chain", F.col("label")).alias("path_parts"))
     once = full.groupBy("term_id", "path_parts").agg(F.min("places").alias("places"))
     return once.select("term_id", (F.row_number().over(W.partitionBy("term_id").orderBy("places")) - 1).alias("path_no"), "path_parts")

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arborlit.functions import text as X
-from arborlit.operators import documents, mentions, ontology, trees, vocabulary
-from arborlit.operators.latest import limit_first
+from arborlit.operators import classify, documents, incremental, mentions, metrics, ontology, trees, vocabulary
+from arborlit.operators.latest import batch_number, last_wins, limit_first
+from arborlit.sources import readers, remote, sinks
+from arborlit.sources.durable import durable
 
 KINDS = ("Chemical", "Disease")
 
@@ -62,7 +65,7 @@ def gene_trees(records: DataFrame, references: dict[str, DataFrame], docs: DataF
     (class_id, path_parts), ``types`` (gene_id, class_id), as the readers give
     them.  Records are read once and shared.
     """
-    genes = mentions.gene_mentions(mentions.mentions(limited(records, limit))).cache()
+    genes = durable(mentions.gene_mentions(mentions.mentions(limited(records, limit))))
     out = {}
     for kind in trees.known_approaches(approaches):
         paths = None
@@ -82,3 +85,102 @@ def merge_reference(docs: DataFrame, reference: DataFrame, limit: int | None = N
     wanted = limit_first(docs.where(X.first_filled("pmid") != ""), limit, ["ord"] if "ord" in docs.columns else ["pmid"])
     filled = trees.fill_blanks(docs, matching_docs(reference, wanted))
     return filled.drop("filled_cat", "filled_hard_category", "filled_format"), trees.fill_counts(filled)
+
+
+def fetch_documents(
+    spark: SparkSession,
+    search: DataFrame,
+    cache: str,
+    out: str,
+    fetch: Callable[[list[str]], str],
+    failed: str | None = None,
+    dates: DataFrame | None = None,
+    ids: DataFrame | None = None,
+    limit: int | None = None,
+    force: bool = False,
+    batch: int = 20,
+    every: int = 10,
+    **options,
+) -> DataFrame:
+    """Fetch what is missing, write the document table and the failed ids, and return the run's status (ok, failed, total).
+
+    What isn't in the cache is fetched in rounds of ``every`` batches; a round is
+    appended to the cache when it has ended, so a run that breaks off goes on where
+    the last whole round ended.  ``ids`` (say the failed ones of an earlier run,
+    ``readers.id_list``) names the ids to redo; ``force`` fetches all anew.
+    """
+    wanted = ids if ids is not None else last_wins(search.select("pmid", "ord"), ["pmid"], ["ord"])
+    wanted = durable(limit_first(wanted, limit, ["ord"] if "ord" in wanted.columns else ["pmid"]).select("pmid").distinct())
+    previous = readers.existing_output(spark, out)
+    pending = wanted if force else wanted.join(previous.where("fetch_status = 'ok'").select("pmid"), "pmid", "left_anti").join(readers.cached_records(spark, cache).select("pmid"), "pmid", "left_anti")
+    rounds = durable(batch_number(pending, batch * every, ["pmid"]))
+    got = None
+    for k in range(1, (rounds.agg(F.max("batch")).first()[0] or 0) + 1):
+        fetched = durable(remote.fetch_records(rounds.where(F.col("batch") == k).select("pmid"), fetch, batch=batch, **options))
+        sinks.append_cache(fetched.where("record is not null").select("pmid", "record"), cache)
+        got = fetched if got is None else got.unionByName(fetched)
+    done = durable(documents.build_documents(search, readers.cached_records(spark, cache), got, dates, previous, wanted, force=force))
+    sinks.write_documents(done, out)
+    if failed:
+        sinks.write_failed(done, failed)
+    return documents.run_status(done)
+
+
+def enrich_citations(docs: DataFrame, caches: dict[str, str], fetch: dict[str, Callable[[list[str]], dict]], **options) -> DataFrame:
+    """The citation table of documents; what the caches lack is fetched and appended to them first.
+
+    ``caches`` and ``fetch`` have ``metrics`` (citation_count,
+    relative_citation_ratio, nih_percentile by pmid), ``works`` (source_id by pmid)
+    and ``sources`` (display_name, two_yr_mean_citedness by source_id).
+    """
+    spark = docs.sparkSession
+    kinds = {"metrics": "STRUCT<citation_count: BIGINT, relative_citation_ratio: DOUBLE, nih_percentile: DOUBLE>", "works": "STRUCT<source_id: STRING>", "sources": "STRUCT<display_name: STRING, two_yr_mean_citedness: DOUBLE>"}
+    held: dict[str, DataFrame] = {}
+    for name, value in kinds.items():
+        wanted = metrics.work_sources(held["works"]) if name == "sources" else docs.where("fetch_status = 'ok'").select(F.col("pmid").alias("key"))
+        missing = durable(metrics.missing_keys(wanted, readers.key_values(spark, caches[name], value)))
+        if not missing.isEmpty():
+            new = durable(remote.fetch_values(missing, fetch[name], value, **options))
+            new.write.mode("append").option("ignoreNullFields", False).json(caches[name])
+        held[name] = readers.key_values(spark, caches[name], value)
+    return metrics.citation_table(docs, held["metrics"], held["works"], held["sources"])
+
+
+def predict_into(docs: DataFrame, targets: tuple[str, ...] = ("hard_category", "format"), limit: int | None = None, **options) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """``docs`` with <target>_predicted and <target>_predicted_confidence for every target, and the reports of the models.
+
+    Models are trained on all labelled documents; ``limit`` takes a sample of that
+    many documents to predict.  Documents that have a label, have no content or
+    aren't in the sample get a blank and null, as does a target with too few labels.
+    """
+    out, reports = docs, {}
+    asked = classify.sample(docs, limit) if limit else docs
+    for target in targets:
+        trained = classify.train(docs, target, **options)
+        if trained is None:
+            out = out.withColumn(f"{target}_predicted", F.lit("")).withColumn(f"{target}_predicted_confidence", F.lit(None).cast("double"))
+            continue
+        reports[target] = trained.report
+        found = last_wins(durable(classify.predict(trained, asked, target)), ["pmid"], [f"{target}_predicted"])
+        out = out.join(found, "pmid", "left").na.fill("", [f"{target}_predicted"])
+    return out, reports
+
+
+def split_bundles(tree: DataFrame, docs: DataFrame, path: str, split_all: bool = False) -> DataFrame:
+    """One bundle a bucket, named by its slug, with the bucket's tree and the documents that name a leaf of it; returns (bucket, slug, entries)."""
+    bucketed, trimmed = trees.split_tree(tree, docs, split_all)
+    sizes = durable(trees.bucket_sizes(bucketed))
+    for row in sizes.collect():  # top-level categories, some twenty
+        entries = trees.tree_entries(bucketed.where(F.col("bucket") == row.bucket), "mesh_id", "mesh_id")
+        sinks.write_bundle(entries, trimmed.where(F.col("bucket") == row.bucket).drop("bucket"), f"{path}/{row.slug}.json")
+    return sizes
+
+
+def upkeep_report(before: DataFrame, after: incremental.Enriched) -> DataFrame:
+    """What an incremental run would change (nothing is written): documents that get subjects, facts, the tree's entries, unknown terms."""
+    given = after.documents.where(X.first_filled("subjects") != "").join(before.where(X.first_filled("subjects") == "").select("pmid"), "pmid", "left_semi")
+    count = lambda df, name: df.agg(F.count("*").alias(name))
+    out = count(given, "documents")
+    for df, name in ((after.facts, "facts"), (after.tree, "tree_entries"), (after.unresolved, "unresolved")):
+        out = out.crossJoin(count(df, name))  # one row each
+    return out

@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """``df`` written to the folder in ``spark.checkpoint.dir`` and read from there.
+def folder(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``.
 
-    On a cluster the folder must be set; in local mode the warehouse is used where it isn't.
+    On a cluster it must be set; in local mode the warehouse is used where it isn't.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        path = sc.getConf().get("spark.checkpoint.dir")
-        if not path and not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        sc.setCheckpointDir(path or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints")
+    held = sc._jsc.sc().getCheckpointDir()
+    if held.isDefined():
+        return held.get()
+    path = sc.getConf().get("spark.checkpoint.dir")
+    if not path and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    sc.setCheckpointDir(path or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints")
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read from there."""
+    folder(df.sparkSession)
     return df.checkpoint(eager=True)

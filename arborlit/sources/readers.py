@@ -36,19 +36,22 @@ def search_results(spark: SparkSession, path: str, skip: int = -1) -> DataFrame:
 
     Commas separate if the name ends in .csv, else tabs; quotes are plain
     characters.  ``skip`` -1: leading lines that are blank or start with ``#`` are
-    skipped (later such lines are data).  Without a pmid column: an error.
+    skipped (later such lines are data).  Each file of a folder has the header of
+    the first one.  Without a pmid column: an error.
     """
     sep = "," if path.lower().endswith(".csv") else "\t"
-    lines = with_order(spark.read.text(path))
-    head = [r.value for r in lines.orderBy("ord").limit(PREAMBLE_LINES).select("value").collect()]
+    lines = spark.read.text(path)
+    head = [r.value for r in lines.limit(PREAMBLE_LINES).collect()]  # from the first file's beginning
     if skip < 0:
         skip = next((k for k, x in enumerate(head) if x.strip() and not x.startswith("#")), len(head))
     names = head[skip].rstrip("\r").split(sep) if skip < len(head) else []
     if "pmid" not in names:
         raise ValueError(f"{path} has no pmid column")
-    numbered = lines.withColumn("n", F.row_number().over(W.partitionBy("ord.file").orderBy("ord.line")))
+    # a file's rows follow its header line, the first that reads like this; the lines aren't numbered, so files stay split
+    ordered = with_order(lines)
+    begins = ordered.where(F.col("value") == head[skip]).groupBy("ord.file").agg(F.min("ord.line").alias("begin"))
     cells = F.split(F.regexp_replace("value", "\r$", ""), sep, -1)
-    rows = numbered.where((F.col("n") > skip + 1) & (F.trim("value") != "")).select(cells.alias("c"), "ord")
+    rows = ordered.join(begins, ordered["ord.file"] == begins["file"]).where((F.col("ord.line") > F.col("begin")) & (F.trim("value") != "")).select(cells.alias("c"), "ord")
     return rows.select(*(F.coalesce(F.get("c", F.lit(k)), F.lit("")).alias(n) for k, n in enumerate(names)), "ord")
 
 
