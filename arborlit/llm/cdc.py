@@ -2,7 +2,8 @@
 
 A gear hash runs over the bytes of a text: each step shifts the hash and adds
 the byte's code, so it depends on the last ``GEAR_BYTES`` bytes only and is
-computed here for all bytes at once by doubling.  A chunk ends where the hash has
+computed here for all bytes at once by doubling; a text is taken to follow
+``GEAR_BYTES`` zero bytes.  A chunk ends where the hash has
 ``strict`` zero bits, from ``normal`` bytes on where it has ``loose`` of them
 (normalised chunking), and at ``longest`` bytes at the latest.  An insertion
 moves boundaries near it only, so the chunks elsewhere keep their digests.
@@ -14,6 +15,7 @@ set, the containment of the one in the other.
 
 from __future__ import annotations
 
+from base64 import b64encode
 from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import sha256
@@ -113,7 +115,7 @@ def likeness(x: np.ndarray, y: np.ndarray) -> float:
 def fingerprint(docs: DataFrame, how: Chunking = Chunking()) -> DataFrame:
     """(doc_id, fingerprint) for each row of ``docs`` (doc_id bigint, text string).
 
-    A fingerprint is hexadecimal, 16 digits of digest and 4 of length a chunk, in
+    A fingerprint is base 64 of 8 bytes of digest and 2 of length a chunk, in
     digest order; equal texts have equal ones, null and empty texts the empty one.
     """
 
@@ -122,7 +124,7 @@ def fingerprint(docs: DataFrame, how: Chunking = Chunking()) -> DataFrame:
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
                 found = fingerprints([(x or "").encode() for x in part.column(1).to_pylist()], how)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x.tobytes().hex() for x in found], pa.string())], names=["doc_id", "fingerprint"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([b64encode(x.tobytes()).decode() for x in found], pa.string())], names=["doc_id", "fingerprint"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fingerprint string")
 
@@ -153,8 +155,12 @@ def edit_audit(docs: DataFrame, how: Chunking = Chunking()) -> DataFrame:
     count = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     cuts = sorted(set(rows.approxQuantile("doc_id", [k / count for k in range(1, count)], 1 / (8 * count)))) if count > 1 else []
-    part = F.when(F.col("doc_id").isNull(), -1).otherwise(F.size(F.filter(F.array(*map(F.lit, cuts)).cast("array<double>"), lambda c: c < F.col("doc_id"))))
-    placed = rows.withColumn("part", part)
+    # how many cuts lie below an id, by binary search; rows without id have no neighbours and lie anywhere
+    held = F.array(*map(F.lit, cuts)).cast("array<double>")
+    steps = F.array(*(F.lit(1 << k) for k in range(len(cuts).bit_length() - 1, -1, -1))) if cuts else F.array().cast("array<int>")
+    found = F.aggregate(steps, F.lit(0), lambda low, step: F.when(F.get(held, low + step - 1) < F.col("doc_id"), low + step).otherwise(low))
+    part = F.when(F.col("doc_id").isNull(), -1 - F.pmod(F.xxhash64("text"), F.lit(count))).otherwise(found)
+    placed = rows.withColumn("part", part.cast("int"))
     first = sorted(tuple(x) for x in placed.where("part >= 0").groupBy("part").agg(F.min("doc_id")).collect())  # a row for each range
     after = [(p, first[(k + 1) % len(first)][1]) for k, (p, _) in enumerate(first)]
     after = F.broadcast(spark.createDataFrame(after, "target int, doc_id long"))
@@ -175,8 +181,8 @@ def edit_audit(docs: DataFrame, how: Chunking = Chunking()) -> DataFrame:
                 pa.array([x[0] for x in told], pa.int64()),
                 pa.array([len(x[1]) for x in told], pa.int64()),
                 pa.array([sha256(x).hexdigest() for x in changed], pa.string()),
-                pa.array([x.tobytes().hex() for x, _ in own], pa.string()),
-                pa.array([x.tobytes().hex() for x in prints], pa.string()),
+                pa.array([b64encode(x.tobytes()).decode() for x, _ in own], pa.string()),
+                pa.array([b64encode(x.tobytes()).decode() for x in prints], pa.string()),
                 pa.array([likeness(x, y) for (x, _), y in zip(own, prints, strict=True)], pa.float64()),
                 pa.array([likeness(x, y if t[0] is not None else none) for (x, y), t in zip(own, told, strict=True)], pa.float64()),
             ],

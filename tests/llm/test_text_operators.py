@@ -475,6 +475,56 @@ def test_fingerprints(docs, rows, nothing):
     assert cdc.edit_audit(nothing).count() == 0
 
 
+def plain_chunks(data, how):
+    """A gear chunker that goes byte by byte; a text follows zero bytes."""
+    out, start, before = [], 0, bytes(cdc.GEAR_BYTES) + data
+    gear = [int(x) for x in cdc._GEAR]
+    while start < len(data):
+        end = min(start + how.longest, len(data))
+        for k in range(start + how.shortest - 1, end):
+            value = 0
+            for j in range(cdc.GEAR_BYTES):
+                value += gear[before[k + cdc.GEAR_BYTES - j]] << j
+            bits = how.strict if k + 1 - start < how.normal else how.loose
+            if (value & 0xFFFFFFFF) >> (32 - bits) == 0:
+                end = k + 1
+                break
+        out.append(data[start:end])
+        start = end
+    return out
+
+
+def plain_likeness(x, y):
+    if not x or not y:
+        return float(len(x) == len(y))
+    return sum(len(c) for c in x & y) / min(sum(map(len, x)), sum(map(len, y)))
+
+
+def test_fingerprints_match_a_plain_chunker(spark, docs, rows, sf_small):
+    """Chunks, fingerprints and likeness against loops over bytes, for odd rows and real texts."""
+    from base64 import b64decode
+
+    how = cdc.Chunking()
+    real = [(10**6 + r.doc_id, r.text[:1500]) for r in spark.read.parquet(f"{sf_small}/documents.parquet").where("text is not null").limit(60).collect()]
+    pairs = [(r[0], (r[1] or "")[:3000]) for r in rows] + real
+    frame = spark.createDataFrame(pairs, "doc_id long, text string").repartition(5)
+    ordered = sorted(p for p in pairs if p[0] is not None)
+    expected = Counter()
+    sets = lambda text: set(plain_chunks(text.encode(), how))
+    for k, (d, text) in enumerate(ordered):
+        following = ordered[(k + 1) % len(ordered)][1]
+        expected[(d, len(sets(text)), sum(map(len, sets(text))), round(plain_likeness(sets(text), sets(cdc.edited(text, following))), 9), round(plain_likeness(sets(text), sets(following)), 9))] += 1
+    got = Counter()
+    for r in cdc.edit_audit(frame, how).where("doc_id is not null").collect():
+        entries = np.frombuffer(b64decode(r.fingerprint), dtype=cdc.ENTRY)
+        assert (np.diff(entries["digest"].astype(object)) > 0).all()
+        got[(r.doc_id, len(entries), int(entries["length"].sum(dtype=np.int64)), round(r.near_edited, 9), round(r.near_next, 9))] += 1
+    assert got == expected
+    for text in (b"", b"a", b"ab" * 700, *(t.encode() for _, t in real[:5])):
+        starts, ends, _ = cdc.boundaries(np.frombuffer(bytes(cdc.GEAR_BYTES) + text, dtype=np.uint8), np.array([0, cdc.GEAR_BYTES, cdc.GEAR_BYTES + len(text)]), how)
+        assert sorted((a - cdc.GEAR_BYTES, b - cdc.GEAR_BYTES) for a, b in zip(starts.tolist(), ends.tolist(), strict=True) if a >= cdc.GEAR_BYTES) == [(a, b) for a, b in zip(np.cumsum([0, *map(len, plain_chunks(text, how))])[:-1].tolist(), np.cumsum([len(c) for c in plain_chunks(text, how)]).tolist(), strict=True)]
+
+
 def test_chunks_resist_shifts_and_context():
     how = cdc.Chunking()
     text = LONG.encode()[:20_000]
@@ -520,3 +570,69 @@ def test_toxicity(spark, docs, rows, nothing):
     assert [r.score for r in toxicity.score(texts.limit(2), None).collect()] == [0.0, 0.0]
     kept = {r.doc_id for r in toxicity.accepted(texts, model).collect()}
     assert kept == {d for d, r in got.items() if not r.predicted}
+
+
+def plain_logit(model, ids):
+    """The convolutional classifier's logit of one text, by loops."""
+    vectors = [sum(model.embedding[k][row[k]].astype(float) for k in range(toxicity.TABLES)) for row in ids]
+    pooled = []
+    for filters, bias in zip(model.filters, model.bias, strict=True):
+        for f in range(filters.shape[2]):
+            values = [sum(float(vectors[at + j] @ filters[j, :, f]) for j in range(len(filters)) if at + j < len(vectors)) + float(bias[f]) for at in range(len(vectors))]
+            pooled.append(max(0.0, *values) if values else 0.0)
+    return float(np.dot(pooled, model.out) + model.offset)
+
+
+def test_convolution_and_gradient_match_loops():
+    """The forward pass, one training step and the thresholds against plain loops and numerical derivatives."""
+    rng = np.random.default_rng(5)
+    texts = []
+    for k in range(25):
+        data = " ".join(f"w{x}" for x in rng.integers(0, 9, int(rng.integers(0, 7)))).encode()
+        ids, _ = toxicity.features(Block(np.zeros(1), np.frombuffer(data, dtype=np.uint8), np.array([0, len(data)])))
+        texts.append((ids, int(k % 3 == 0)))
+    size = {"dim": 3, "filters": 2, "batch": 1000}
+    first, after = toxicity.fit(texts, epochs=0, **size), toxicity.fit(texts, epochs=1, **size)
+    for model in (first, after):
+        whole = model.logits(np.concatenate([t for t, _ in texts]), np.array([len(t) for t, _ in texts]))
+        assert np.allclose(whole, [plain_logit(model, t) for t, _ in texts], atol=1e-5)
+    train = [(t, y) for k, (t, y) in enumerate(texts) if k % 5 != 4]
+    share = sum(y for _, y in train) / len(train)
+
+    def loss():
+        total = 0.0
+        for t, y in train:
+            z = plain_logit(first, t)
+            total += (0.5 / share if y else 0.5 / (1 - share)) * np.log1p(np.exp(-z if y else z))
+        return total / len(train)
+
+    def slope(array, at):
+        kept, step = array[at], 1e-3
+        array[at] = kept + step
+        high = loss()
+        array[at] = kept - step
+        low = loss()
+        array[at] = kept
+        return (high - low) / (2 * step)
+
+    moved = lambda g: -0.1 * g / np.sqrt(1e-6 + g * g)
+    for w, (a, b) in enumerate(zip(first.filters, after.filters, strict=True)):
+        for at in np.ndindex(a.shape):
+            g = slope(a, at)
+            assert abs(g) < 1e-3 or abs(b[at] - a[at] - moved(g)) < 2e-3, (w, at)
+    for k in range(len(first.out)):
+        g = slope(first.out, k)
+        assert abs(g) < 1e-3 or abs(after.out[k] - first.out[k] - moved(g)) < 2e-3
+    used = np.unique(np.concatenate([t[:, 0] for t, _ in train]))[:5]
+    for bucket in used:
+        g = np.array([slope(first.embedding, (0, bucket, d)) for d in range(3)])
+        step = -0.1 * g / np.sqrt(1e-6 + (g * g).mean())
+        assert np.abs(g).max() < 1e-3 or np.allclose(after.embedding[0, bucket] - first.embedding[0, bucket], step, atol=5e-3)
+    logits, truth = rng.normal(0, 1, 40), rng.integers(0, 2, 40).astype(np.float32)
+    best = toxicity._best_threshold(logits, truth)
+
+    def f1(cut):
+        told = logits >= cut
+        return 2 * (told & (truth == 1)).sum() / max(1, told.sum() + truth.sum())
+
+    assert f1(best) == max(f1(c) for c in logits)
