@@ -7,6 +7,7 @@ SQL says the same from the tables.
 
 from __future__ import annotations
 
+import json
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,8 +15,9 @@ from pyspark.sql import functions as F
 
 from arborlit.functions import text as X
 from arborlit.operators import classify, documents, explore, incremental, latest, mentions, metrics, rollup, trees, vocabulary
+from arborlit.plans import programs
 from arborlit.plans.queries import PLACES, load, places, query
-from arborlit.sources import readers, sinks
+from arborlit.sources import readers, remote, sinks
 from arborlit.sources import schemas as S
 from arborlit.sources.durable import folder
 
@@ -664,6 +666,98 @@ def tree_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread.select("term_id", "n", F.row_number().over(_by("at")).alias("place"))
 
 
+# ---- remote services, by fetchers that answer here
+
+
+def service(ids: list[str]) -> str:
+    """Answers as a records service: knows no id that ends in 9, and fails whole batches that hold an id that ends in 77."""
+    if any(x.endswith("77") for x in ids):
+        raise remote.FetchError.http(404)
+    return json.dumps({readers.WRAPPER: [{"pmid": x, "id": x, "year": "20" + x[-2:].zfill(2)} for x in ids if not x.endswith("9")]})
+
+
+def counts_service(ids: list[str]) -> dict:
+    return {x: {"citation_count": int(x) * 2} for x in ids if not x.endswith("9")}
+
+
+@query("""WITH b AS (SELECT c_custkey, c_custkey % 100 = 77 AS bad FROM customer)
+SELECT c_custkey::VARCHAR AS pmid, CASE WHEN bad OR c_custkey % 10 = 9 THEN '' ELSE c_custkey::VARCHAR END AS id, CASE WHEN bad THEN 'http_404' WHEN c_custkey % 10 = 9 THEN 'absent_from_response' ELSE '' END AS reason FROM b""")
+def fetched_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records from a service, a batch an id: found, absent, failed."""
+    (customer,) = load(spark, sf_dir, "customer")
+    found = remote.fetch_records(customer.select(F.col("c_custkey").cast("string").alias("pmid")), service, batch=1, tasks=4, tries=1)
+    return found.select("pmid", X.first_filled("record.id").alias("id"), "reason")
+
+
+@query("SELECT c_custkey::VARCHAR AS key, CASE WHEN c_custkey % 10 <> 9 THEN c_custkey * 2 ELSE -1 END AS citation_count FROM customer")
+def fetched_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics from a service; what it doesn't know is held as known to be absent."""
+    (customer,) = load(spark, sf_dir, "customer")
+    found = remote.fetch_values(customer.select(F.col("c_custkey").cast("string").alias("key")), counts_service, "STRUCT<citation_count: BIGINT>", tasks=4)
+    return found.select("key", F.coalesce("value.citation_count", F.lit(-1).cast("long")).alias("citation_count"))
+
+
+@query("""SELECT c_custkey::VARCHAR AS pmid, CASE WHEN c_custkey % 10 = 9 THEN 'failed' ELSE 'ok' END AS fetch_status, CASE WHEN c_custkey % 3 = 0 THEN 'cache' WHEN c_custkey % 10 = 9 THEN 'search' ELSE 'fetched' END AS source,
+c_name AS search_title_e FROM customer WHERE c_custkey <= 300 AND NOT (c_custkey % 10 = 9 AND c_custkey % 3 = 0) AND c_custkey % 100 <> 77""")
+def fetch_program(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole fetch: a cache that holds a third, rounds that are saved one by one, the written table read back."""
+    (customer,) = load(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    rows = customer.where("c_custkey <= 300 and not (c_custkey % 10 = 9 and c_custkey % 3 = 0) and c_custkey % 100 <> 77")
+    search = rows.select(k.cast("string").alias("pmid"), F.col("c_name").alias("title_e"), F.lit("j").alias("journal"), k.alias("ord"))
+    cache, out = scratch(spark, "cache.jsonl.gz"), scratch(spark, "docs.csv")
+    sinks.append_cache(rows.where("c_custkey % 3 = 0").select(k.cast("string").alias("pmid"), F.struct(k.cast("string").alias("id")).alias("record")), cache)
+    programs.fetch_documents(spark, search, cache, out, service, batch=20, every=4, tries=1)
+    return readers.existing_output(spark, out).select("pmid", "fetch_status", "source", "search_title_e")
+
+
+@query("SELECT c_custkey::VARCHAR AS pmid, CASE WHEN c_custkey % 10 = 9 THEN -1 ELSE c_custkey * 2 END AS citation_count, CASE WHEN c_custkey % 10 <> 9 THEN 'J S' || c_custkey % 7 ELSE '' END AS journal FROM customer WHERE c_custkey % 4 <> 0")
+def citation_program(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Citations: caches filled from services, two hops, a second run from the caches alone."""
+    (customer,) = load(spark, sf_dir, "customer")
+    docs = customer.select(F.col("c_custkey").cast("string").alias("pmid"), F.when(F.col("c_custkey") % 4 == 0, "failed").otherwise("ok").alias("fetch_status"))
+    caches = {name: scratch(spark, f"{name}.jsonl") for name in ("metrics", "works", "sources")}
+    fetch = {
+        "metrics": counts_service,
+        "works": lambda ids: {x: {"source_id": f"S{int(x) % 7}"} for x in ids if not x.endswith("9")},
+        "sources": lambda ids: {x: {"display_name": f"J {x}"} for x in ids},
+    }
+    programs.enrich_citations(docs, caches, fetch, tasks=4)
+    again = programs.enrich_citations(docs, caches, dict.fromkeys(fetch, lambda ids: {}))
+    return again.select("pmid", F.coalesce("citation_count", F.lit(-1).cast("long")).alias("citation_count"), X.first_filled("openalex_journal_name").alias("journal"))
+
+
+@query("SELECT event_id, user_id FROM (SELECT * FROM events ORDER BY event_id LIMIT 5) WHERE ts >= (SELECT ts FROM events ORDER BY event_id LIMIT 1 OFFSET 2) - INTERVAL 10 SECOND ORDER BY event_id LIMIT 1")
+def dispatched_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first listed run that began no more than ten seconds before a given moment."""
+    (events,) = load(spark, sf_dir, "events")
+    since = events.orderBy("event_id").offset(2).limit(1).first().ts
+    runs = events.select("event_id", "user_id", F.col("ts").alias("created_at"), F.col("event_id").alias("ord"))
+    return remote.recent_run(runs, F.lit(since).cast(events.schema["ts"].dataType)).select("event_id", "user_id")
+
+
+@query("""SELECT c_custkey, 'Update ' || 'x' AS message, c_name AS content, CASE WHEN c_custkey % 2 = 0 THEN 'sha' || c_custkey ELSE '' END AS sha FROM customer""")
+def file_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bodies that put files into a repository, read back."""
+    (customer,) = load(spark, sf_dir, "customer")
+    body = remote.file_payload("Update x", "main", F.col("c_name"), F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("sha"), F.col("c_custkey").cast("string"))))
+    rows = customer.select("c_custkey", F.from_json(body, "message STRING, content STRING, branch STRING, sha STRING").alias("b"))
+    return rows.select("c_custkey", "b.message", F.decode(F.unbase64("b.content"), "UTF-8").alias("content"), X.first_filled("b.sha").alias("sha"))
+
+
+@query("SELECT c_custkey::VARCHAR AS pmid, c_name AS title FROM customer WHERE c_custkey <= 50")
+def downloaded_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A result as one file, and a reference file that is fetched once: a second fetch changes nothing, a forced one does."""
+    (customer,) = load(spark, sf_dir, "customer")
+    path = sinks.download(customer.where("c_custkey <= 50").select(F.col("c_custkey").cast("string").alias("pmid"), F.col("c_name").alias("title")), scratch(spark, "result.csv"))
+    rows = readers.table(spark, path).drop("ord")
+    data = "".join(f"{r.pmid}\t{r.title}\n" for r in rows.collect()).encode()
+    kept = scratch(spark, "reference.tsv")
+    for chunks, force in (([b"old"], False), ([data[:10], data[10:]], True), ([b"never read"], False)):
+        remote.fetched_file(spark, kept, lambda c=chunks: iter(c), force)
+    return spark.read.csv(kept, sep="\t", schema="pmid STRING, title STRING")
+
+
 # ---- scalar functions
 
 

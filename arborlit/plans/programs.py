@@ -111,15 +111,15 @@ def fetch_documents(
     """
     wanted = ids if ids is not None else last_wins(search.select("pmid", "ord"), ["pmid"], ["ord"])
     wanted = durable(limit_first(wanted, limit, ["ord"] if "ord" in wanted.columns else ["pmid"]).select("pmid").distinct())
-    previous = readers.existing_output(spark, out)
-    pending = wanted if force else wanted.join(previous.where("fetch_status = 'ok'").select("pmid"), "pmid", "left_anti").join(readers.cached_records(spark, cache).select("pmid"), "pmid", "left_anti")
+    previous, held = readers.existing_output(spark, out), readers.cached_records(spark, cache)  # files as they are before this run
+    pending = wanted if force else wanted.join(previous.where("fetch_status = 'ok'").select("pmid"), "pmid", "left_anti").join(held.select("pmid"), "pmid", "left_anti")
     rounds = durable(batch_number(pending, batch * every, ["pmid"]))
     got = None
     for k in range(1, (rounds.agg(F.max("batch")).first()[0] or 0) + 1):
         fetched = durable(remote.fetch_records(rounds.where(F.col("batch") == k).select("pmid"), fetch, batch=batch, **options))
         sinks.append_cache(fetched.where("record is not null").select("pmid", "record"), cache)
         got = fetched if got is None else got.unionByName(fetched)
-    done = durable(documents.build_documents(search, readers.cached_records(spark, cache), got, dates, previous, wanted, force=force))
+    done = durable(documents.build_documents(search, held, got, dates, previous, wanted, force=force))
     sinks.write_documents(done, out)
     if failed:
         sinks.write_failed(done, failed)

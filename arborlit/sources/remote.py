@@ -12,7 +12,7 @@ import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arborlit.sources import schemas as S
@@ -98,3 +98,37 @@ def fetch_values(keys: DataFrame, fetch: Callable[[list[str]], dict], value: str
 
     rows = keys.select("key").distinct().repartition(tasks).mapInPandas(run, "key string, raw string")
     return rows.select("key", F.from_json("raw", value).alias("value"))
+
+
+def fetched_file(spark: SparkSession, path: str, open_source: Callable[[], Iterator[bytes]], force: bool = False) -> str:
+    """A reference file at ``path``, of any file system that Spark knows, fetched unless it is there; ``force`` fetches anew.
+
+    The bytes go to a file beside it first, which takes the name when it is
+    whole, so a fetch that breaks off leaves nothing behind that looks fetched.
+    """
+    fs = spark._jvm.org.apache.hadoop.fs
+    target, part = fs.Path(path), fs.Path(f"{path}.part")
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.exists(target) and not force:
+        return path
+    out = system.create(part, True)
+    try:
+        for chunk in open_source():
+            out.write(bytearray(chunk))
+    finally:
+        out.close()
+    system.delete(target, True)
+    system.rename(part, target)
+    return path
+
+
+def file_payload(message: str, branch: str, content: Column, sha: Column) -> Column:
+    """The JSON body that puts a text file into a repository: base 64 of UTF-8, and the sha of what it replaces, if any."""
+    body = F.struct(F.lit(message).alias("message"), F.base64(F.encode(content, "UTF-8")).alias("content"), F.lit(branch).alias("branch"), sha.alias("sha"))
+    return F.to_json(body)
+
+
+def recent_run(runs: DataFrame, since: Column, slack: int = 10, listed: int = 5) -> DataFrame:
+    """The first of the ``listed`` first runs (created_at, ord, ...) that began no more than ``slack`` seconds before ``since``; no row if none did."""
+    page = runs.orderBy("ord").limit(listed)
+    return page.where(F.col("created_at") >= since - F.make_interval(secs=F.lit(slack))).orderBy("ord").limit(1)

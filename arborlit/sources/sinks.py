@@ -48,6 +48,12 @@ def write_failed(documents: DataFrame, path: str, stamp: str | None = None) -> i
     return n
 
 
+def download(rows: DataFrame, path: str) -> str:
+    """A result as one CSV file with a header, for a user to take away; what is one file is written by one task."""
+    _csv(rows.coalesce(1), path, "overwrite")
+    return path
+
+
 PARALLEL = (("factors", "factor", "factor"), ("citations", "number_citations", "number_citations"), ("hard_category", "hard_category", "hard_category"), ("formats", "format", "format"))
 
 
