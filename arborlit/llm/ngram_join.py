@@ -43,6 +43,7 @@ from arborlit.llm.session import bounded_batches, durable, parts
 from arborlit.llm.textblocks import U64, blocks, mix, shingle_sets
 
 FLUSH_TOKENS = 1 << 20
+SALTS = 16
 TILE = 2048
 
 
@@ -223,9 +224,14 @@ def _postings(docs: DataFrame, width: int, percent: int, frequent: np.ndarray) -
 
 
 def _members(postings: DataFrame) -> DataFrame:
-    """(c, set_id): for each set that is the centre of a posting list, the sets of its lists, itself among them."""
+    """(c, set_id): for each set that is the centre of a posting list, the sets of its lists, itself among them.
+
+    A set can be in very many lists, so the join with weights is salted by list.
+    """
     weight = postings.groupBy("set_id").agg(F.sum("size").alias("weight"))
-    centre = postings.join(weight, "set_id").groupBy("sig").agg(F.max(F.struct("weight", "set_id")).alias("c"))
+    weight = weight.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    salted = postings.withColumn("salt", F.pmod(F.xxhash64("sig"), F.lit(SALTS)))
+    centre = salted.join(weight, ["set_id", "salt"]).groupBy("sig").agg(F.max(F.struct("weight", "set_id")).alias("c"))
     return postings.select("sig", "set_id").join(centre.select("sig", F.col("c.set_id").alias("c")), "sig").select("c", "set_id").distinct()
 
 
