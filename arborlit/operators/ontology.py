@@ -42,9 +42,6 @@ def dag_lineages(terms: DataFrame, wanted: DataFrame | None = None, max_paths: i
     walks = start.select("term_id", F.col("term_id").alias("at"), F.array("name").alias("chain"), F.array().cast("array<string>").alias("visited"), none.alias("places"), _label(F.col("namespace")).alias("label"), F.lit(False).alias("ended"))
     best = W.partitionBy("term_id").orderBy("places")
     for depth in range(1, max_depth + 1):
-        if depth == max_depth:
-            walks = walks.withColumn("ended", F.lit(True))
-            break
         # a walk's next steps come as one list, so a level is one join and one ranking
         known = walks.join(steps, "at", "left")
         open_ = F.when(F.col("ended"), F.array()).otherwise(F.filter(F.coalesce("steps", F.array()), lambda x: ~F.array_contains("visited", x["parent"])))
