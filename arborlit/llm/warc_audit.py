@@ -26,6 +26,7 @@ from arborlit.llm.session import durable
 
 FILE_IDS = 256
 FAN_BITS = 4
+FAN = 1 << FAN_BITS
 DEPTH = 2  # FILE_IDS slots are FAN ** DEPTH
 CRLF = "\r\n"
 START = b"WARC/1.1\r\n"
