@@ -80,3 +80,61 @@ shown AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY branch_score DESC, leaf) AS rank FROM shown)
 SELECT tree AS conv_id, leaf, rank::INTEGER AS rank, branch_score, sha256(formatted) AS formatted_sha256, loss FROM ranked WHERE rank <= 3
 """
+
+_LOWERED = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+
+# crc32 byte by byte, by a table made from its polynomial
+RESAMPLING = rf"""
+WITH RECURSIVE bits AS (
+    SELECT i::BIGINT AS i, i::BIGINT AS c, 0 AS k FROM range(256) t(i)
+    UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+tab AS MATERIALIZED (SELECT i, c AS t FROM bits WHERE k = 8),
+texts AS (
+    SELECT row_number() OVER () AS id, doc_id, true AS ours, text FROM documents
+    UNION ALL SELECT -row_number() OVER (), NULL, false, text FROM benchmark),
+w AS MATERIALIZED (SELECT id, doc_id, ours, [x FOR x IN regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')] AS w FROM texts),
+g AS MATERIALIZED (
+    SELECT id, ours, array_to_string(w[i:i + n - 1], ' ') AS f, count(*) AS k
+    FROM w, unnest(range(1, len(w) + 1)) a(i), unnest([1, 2, 3]) b(n) WHERE i + n - 1 <= len(w) GROUP BY ALL),
+crc AS (
+    SELECT f, hex(encode(f)) AS h, 4294967295::BIGINT AS c, 0 AS pos FROM (SELECT DISTINCT f FROM g)
+    UNION ALL
+    SELECT f, h, xor(c >> 8, t), pos + 1
+    FROM crc JOIN tab ON tab.i = xor(c & 255, (instr('0123456789ABCDEF', h[2 * pos + 1]) - 1) * 16 + instr('0123456789ABCDEF', h[2 * pos + 2]) - 1)
+    WHERE 2 * pos < len(h)),
+bucket AS MATERIALIZED (SELECT f, xor(c, 4294967295) % 10000 AS b FROM crc WHERE 2 * pos = len(h)),
+found AS MATERIALIZED (SELECT id, ours, b, sum(k)::BIGINT AS k FROM g JOIN bucket USING (f) GROUP BY ALL),
+sums AS (
+    SELECT i AS b, coalesce(sum(k) FILTER (WHERE ours), 0)::DOUBLE AS s, coalesce(sum(k) FILTER (WHERE NOT ours), 0)::DOUBLE AS t
+    FROM range(10000) r(i) LEFT JOIN found ON b = i GROUP BY i),
+gain AS (SELECT b, floor(1000 * ln((t + 1) * (sum(s) OVER () + 10000) / ((s + 1) * (sum(t) OVER () + 10000))))::BIGINT AS gain FROM sums),
+total AS (SELECT id, sum(k)::BIGINT AS n_features, sum(k * gain)::BIGINT AS weight FROM found JOIN gain USING (b) WHERE ours GROUP BY id),
+scored AS (
+    SELECT w.doc_id, len(w.w) >= 20 AS able, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+           (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('42:' || w.doc_id)[:8])::BIGINT::DOUBLE + 0.5) / 4294967296))))::BIGINT AS score
+    FROM w LEFT JOIN total USING (id) WHERE w.ours),
+placed AS (SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, doc_id) AS place, count(*) OVER (PARTITION BY able) AS n FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= 5 * n // 100 THEN place END AS rank FROM placed
+"""
+
+COLLOCATIONS = rf"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(p, '[^\x20\x09]+') AS w
+    FROM documents, unnest(regexp_split_to_array({_LOWERED}, '[.,;:!?\x0A-\x0D]')) t(p)),
+f AS MATERIALIZED (
+    SELECT lang, n AS width, array_to_string(w[i:i + n - 1], ' ') AS phrase, count(*) AS f
+    FROM pieces, unnest(range(1, len(w) + 1)) a(i), unnest([1, 2, 3, 4]) b(n) WHERE i + n - 1 <= len(w) GROUP BY ALL HAVING count(*) >= 30),
+total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+cuts AS (
+    SELECT lang, width, phrase, f AS a, k, array_to_string(string_split(phrase, ' ')[:k], ' ') AS x, array_to_string(string_split(phrase, ' ')[k + 1:], ' ') AS y
+    FROM f, unnest(range(1, width)) t(k) WHERE width > 1),
+scores AS (
+    SELECT cuts.*, x.f AS l, y.f AS r, 2000000 * a::HUGEINT // (x.f + y.f) AS score
+    FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = cuts.x JOIN f y ON y.lang = cuts.lang AND y.phrase = cuts.y),
+best AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+kept AS (
+    SELECT * FROM best b WHERE NOT EXISTS (
+        SELECT 1 FROM best o WHERE o.lang = b.lang AND o.width > b.width AND contains(' ' || o.phrase || ' ', ' ' || b.phrase || ' ') AND 100 * o.a::HUGEINT >= 80 * b.a::HUGEINT)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arborlit.llm import bpe, cdc, maxscore, mixing, ngram_join, oracles, reply_trees, secret_scan, substring_dedup, toxicity, warc_audit
+from arborlit.llm import bpe, cdc, collocations, importance, maxscore, mixing, ngram_join, oracles, reply_trees, secret_scan, substring_dedup, toxicity, warc_audit
 from arborlit.llm.session import durable
 
 
@@ -93,6 +93,16 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", gone.alias("n_removed"), F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 12 over all documents, towards the texts of the benchmark."""
+    return importance.resample(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 13 over all documents."""
+    return collocations.collocations(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
@@ -106,6 +116,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_byte_bpe": op8_byte_bpe,
         "op9_document_fingerprints": op9_document_fingerprints,
         "op10_substring_dedup": op10_substring_dedup,
+        "op12_importance_resampling": op12_importance_resampling,
+        "op13_collocations": op13_collocations,
     }
 
 
@@ -118,4 +130,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_exact_top_k": oracles.TOP_K,
         "op7_mix_sources": mixing.MIX_SQL,
         "op10_substring_dedup": oracles.SUBSTRING_DEDUP,
+        "op12_importance_resampling": oracles.RESAMPLING,
+        "op13_collocations": oracles.COLLOCATIONS,
     }
