@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from arborlit.functions import text as X
 from arborlit.operators.latest import last_wins, with_order
+from arborlit.sources import json_array
 from arborlit.sources import schemas as S
 
 PREAMBLE_LINES = 10_000
@@ -210,26 +211,38 @@ def id_list(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(X.strip("value").alias("pmid")).where("pmid <> ''")
 
 
-TREE = "ARRAY<STRUCT<mesh_id: STRING, gene_id: STRING, web_id: STRING, tree_id: STRING, `count(*)`: STRING, first: STRING>>"
+TREE_FIELDS = ("mesh_id", "gene_id", "web_id", "tree_id", "count(*)", "first")
 
 
-def bundle(spark: SparkSession, path: str, extra: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
-    """The tree and the docs of a bundle, with ``ord``; counts stay text.
+def bundle(spark: SparkSession, path: str, extra: tuple[str, ...] = (), split: int = json_array.SPLIT_BYTES) -> tuple[DataFrame, DataFrame]:
+    """The tree and the docs of a bundle, with ``ord``, ascending in their order; counts stay text.
 
-    A bundle is one JSON value, which one task parses: ingest it once and keep
-    Parquet.  ``extra``: more document fields to read, as strings.
+    Both arrays are read by ranges of ``split`` bytes, and filters of the id reach
+    the reader.  In a store that only Spark's readers know, a bundle is one value
+    that one task parses.  ``extra``: more document fields to read, as strings.
     """
     fields = dict.fromkeys((*S.BUNDLE_COLUMNS, *S.BLANK_BUNDLE_COLUMNS, "abstract", *extra))
-    docs = ", ".join(f"`{c}`: STRING" for c in fields)
-    read = spark.read.schema(f"tree {TREE}, docs ARRAY<STRUCT<{docs}>>").json(path, multiLine=True)
-    tree = read.select(F.posexplode("tree").alias("ord", "x")).select("ord", "x.*").withColumnRenamed("count(*)", "count").withColumnRenamed("first", "path")
-    return tree, read.select(F.posexplode("docs").alias("ord", "x")).select("ord", "x.*")
+    if json_array.readable(path):
+        tree, docs = json_array.read_arrays(spark, path, {"tree": list(TREE_FIELDS), "docs": list(fields)}, split)
+    else:
+        struct = lambda names: ", ".join(f"`{c}`: STRING" for c in names)
+        read = spark.read.schema(f"tree ARRAY<STRUCT<{struct(TREE_FIELDS)}>>, docs ARRAY<STRUCT<{struct(fields)}>>").json(path, multiLine=True)
+        tree, docs = (read.select(F.posexplode(c).alias("ord", "x")).select("ord", "x.*") for c in ("tree", "docs"))
+    return tree.withColumnRenamed("count(*)", "count").withColumnRenamed("first", "path"), docs
+
+
+def wanted_docs(docs: DataFrame, ids: DataFrame, most: int = 1000) -> DataFrame:
+    """The rows whose id is wanted: few ids are a filter, which reaches the reader of a bundle, more a semi-join."""
+    few = [r.pmid for r in ids.select("pmid").distinct().limit(most + 1).collect()]
+    if len(few) <= most:
+        return docs.where(F.col("pmid").isin(few))
+    return docs.join(ids.select("pmid").distinct(), "pmid", "left_semi")
 
 
 def matching_docs(docs: DataFrame, ids: DataFrame, fields: tuple[str, ...] = ("cat", "hard_category", "format")) -> DataFrame:
     """(pmid, fields) of the documents whose id is wanted and of which any field is filled, the last of each id."""
     any_filled = F.greatest(*((X.first_filled(c) != "") for c in fields))
-    found = docs.join(ids.select("pmid").distinct(), "pmid", "left_semi").where(any_filled)
+    found = wanted_docs(docs, ids).where(any_filled)
     return last_wins(found.select("pmid", *fields, "ord"), ["pmid"], ["ord"]).drop("ord")
 
 
