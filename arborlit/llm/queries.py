@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arborlit.llm import bpe, cdc, collocations, importance, maxscore, mixing, ngram_join, oracles, reply_trees, secret_scan, substring_dedup, toxicity, warc_audit
+from arborlit.llm import bpe, cdc, collocations, importance, maxscore, mixing, ngram_join, oracles, pii, reply_trees, secret_scan, substring_dedup, toxicity, warc_audit
 from arborlit.llm.session import durable
 
 
@@ -93,6 +93,13 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", gone.alias("n_removed"), F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 11 over all documents."""
+    found = pii.find(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    kinds = [pii.count_kind(F.col("base"), k).alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *kinds, F.sha2(pii.told(F.col("base")), 256).alias("base_sha256"), pii.told(F.col("spans")).alias("spans"))
+
+
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 12 over all documents, towards the texts of the benchmark."""
     return importance.resample(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -116,6 +123,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_byte_bpe": op8_byte_bpe,
         "op9_document_fingerprints": op9_document_fingerprints,
         "op10_substring_dedup": op10_substring_dedup,
+        "op11_personal_data": op11_personal_data,
         "op12_importance_resampling": op12_importance_resampling,
         "op13_collocations": op13_collocations,
     }

@@ -251,7 +251,7 @@ def test_cycles_repeats_and_nulls_in_trees(spark):
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_queries_match_sql(spark, sf_small, name):
     con = duckdb.connect()
-    for table in ("documents", "embeddings", "pages", "conversations"):
+    for table in ("documents", "embeddings", "pages", "conversations", "benchmark"):
         con.sql(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{sf_small}/{table}.parquet')")
     got, expected = queries.queries()[name](spark, sf_small).toPandas(), con.sql(queries.oracle_sql()[name]).df()
     columns = sorted(got.columns)
