@@ -32,6 +32,7 @@ from arborlit.llm.session import bounded_batches, durable, parts
 from arborlit.llm.textblocks import U64, Block, blocks, mix, prefix_sums, runs, span_hashes
 
 FLUSH_BYTES = 4 << 20
+BROADCAST_LANGS = 10_000
 WORD, SPACE, BREAK = 0, 1, 2
 _KIND = np.zeros(256, dtype=np.uint8)
 _KIND[[0x20, 0x09]] = SPACE
@@ -331,6 +332,7 @@ def collocations(docs: DataFrame, least: int = 30, longest: int = 4, cover: int
     frequent, totals = frequent_phrases(docs, least, longest, bits)
     candidates = durable(kept(scored(frequent), cover))
     placed = positions(candidates, [F.col("lang"), F.col("score").desc(), F.col("a").desc(), F.col("phrase")])
-    first = placed.groupBy("lang").agg(F.min("position").alias("first")).join(totals, "lang")
-    ranked = placed.join(first, "lang").withColumn("rank", F.col("position") - F.col("first") + 1)
+    first = durable(placed.groupBy("lang").agg(F.min("position").alias("first")).join(totals, "lang"))
+    few = first.count() <= BROADCAST_LANGS  # one language may have most rows, so they stay where they are unless languages are very many
+    ranked = placed.join(F.broadcast(first) if few else first, "lang").withColumn("rank", F.col("position") - F.col("first") + 1)
     return ranked.where(F.col("rank") <= top).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
