@@ -28,7 +28,8 @@ from arborlit.llm.session import bounded_batches
 from arborlit.llm.textblocks import U64, mix, text_parts
 
 NONE = np.int32(np.iinfo(np.int32).max)
-CACHE_PIECES = 120_000
+CACHE_BYTES = 32 << 20
+ENTRY_BYTES = 200  # of the dictionary and its objects, for each piece
 MATRIX_CELLS = 1 << 17
 LONG_PIECE = 1024
 
@@ -96,6 +97,7 @@ class Encoder:
         self.pairs = PairTable(ranks)
         self.bytes = np.array([ranks[bytes([k])] for k in range(256)], dtype=np.int32)
         self.known: dict[str, bytes] = {}
+        self.held = 0  # about how many bytes ``known`` takes
 
     def _merge(self, pieces: list[bytes]) -> Iterator[bytes]:
         """The ids of pieces of similar length, as little-endian 32-bit integers."""
@@ -162,8 +164,8 @@ class Encoder:
         put(np.arange(n - 1))
         while turns:
             r = heappop(turns)
-            places = np.unique(np.concatenate(waiting.pop(r)))
-            places = places[(token[places] >= 0) & (rank[places] == r)]
+            every = np.unique(np.concatenate(waiting.pop(r)))
+            every = places = every[(token[every] >= 0) & (rank[every] == r)]
             if not len(places):
                 continue
             overlaps = np.concatenate(([False], after[places[:-1]] == places[1:]))
@@ -196,25 +198,25 @@ class Encoder:
             again = np.concatenate((chosen, left[inside]))
             rank[again] = ranked(again)  # a place between two merges has both sides new
             put(again)
-            rest = places[(token[places] >= 0) & (rank[places] == r)]
-            put(rest)
+            put(every[(token[every] >= 0) & (rank[every] == r)])  # those that overlapped one that didn't go, too
         return token[token >= 0].astype("<u4").tobytes()
 
     def _pair(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         return self.pairs.find(left, right).astype(np.int64)
 
-    def learn(self, pieces: Iterable[str]) -> None:
-        """Encode pieces that aren't known yet."""
+    def learn(self, pieces: Iterable[str]) -> dict[str, bytes]:
+        """Encode pieces that aren't known yet; long ones are returned, not kept."""
         new: list[tuple[int, str, bytes]] = []
+        long: dict[str, bytes] = {}
         for piece in pieces:
             data = piece.encode()
             whole = self.ranks.get(data)
-            if whole is None and len(data) > LONG_PIECE:
-                self.known[piece] = self._merge_long(data)
-            elif whole is None:
-                new.append((len(data), piece, data))
+            if whole is not None:
+                self.keep(piece, whole.to_bytes(4, "little"))
+            elif len(data) > LONG_PIECE:
+                long[piece] = self._merge_long(data)
             else:
-                self.known[piece] = whole.to_bytes(4, "little")
+                new.append((len(data), piece, data))
         new.sort(key=lambda x: x[0])
         low = 0
         while low < len(new):
@@ -222,16 +224,22 @@ class Encoder:
             while high < len(new) and new[high][0] <= 2 * new[low][0] and (high - low + 1) * new[high][0] <= MATRIX_CELLS:
                 high += 1
             for (_, piece, _), ids in zip(new[low:high], self._merge([x[2] for x in new[low:high]]), strict=True):
-                self.known[piece] = ids
+                self.keep(piece, ids)
             low = high
+        return long
+
+    def keep(self, piece: str, ids: bytes) -> None:
+        self.known[piece] = ids
+        self.held += ENTRY_BYTES + 2 * len(piece) + len(ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit integers."""
         pieces = [self.split(text) for text in texts]
-        if len(self.known) > CACHE_PIECES:
+        if self.held > CACHE_BYTES:
             self.known.clear()
-        self.learn({piece for text in pieces for piece in text} - self.known.keys())
-        known = self.known.__getitem__
+            self.held = 0
+        long = self.learn({piece for text in pieces for piece in text} - self.known.keys())
+        known = (lambda x: long[x] if x in long else self.known[x]) if long else self.known.__getitem__
         return [b"".join(map(known, text)) for text in pieces]
 
 

@@ -450,6 +450,51 @@ def test_long_pieces_match_library():
     assert np.frombuffer(encoder.encode([text])[0], dtype="<u4").tolist() == library.encode_ordinary(text)
 
 
+def plain_bpe(ranks, piece):
+    parts = [piece[k : k + 1] for k in range(len(piece))]
+    while len(parts) > 1:
+        rank, k = min((ranks.get(a + b, 1 << 40), k) for k, (a, b) in enumerate(zip(parts, parts[1:], strict=False)))
+        if rank == 1 << 40:
+            break
+        parts[k : k + 2] = [parts[k] + parts[k + 1]]
+    return [ranks[x] for x in parts]
+
+
+def test_any_ranks_follow_the_rule():
+    """Both ways to merge, by tables whose ranks don't grow with the tokens' length."""
+    rng = np.random.default_rng(8)
+    done = 0
+    while done < 10_000:
+        letters = b"abc"[: int(rng.integers(1, 4))]
+        tokens = {bytes([k]) for k in range(256)}
+        pool = [bytes([c]) for c in letters]
+        for _ in range(int(rng.integers(1, 12))):
+            pool.append(pool[int(rng.integers(len(pool)))] + pool[int(rng.integers(len(pool)))])
+        tokens |= set(pool)
+        order = sorted(tokens)
+        ranks = dict(zip(order, rng.permutation(len(order)).tolist(), strict=True)) if done % 2 else {x: k for k, x in enumerate([*(bytes([c]) for c in range(256)), *(order[i] for i in rng.permutation(len(order)) if len(order[i]) > 1)])}
+        encoder = bpe.Encoder(ranks, ".+")
+        pieces = [bytes(rng.choice(list(letters), int(rng.integers(1, 70))).astype(np.uint8)) for _ in range(100)]
+        pieces += [letters[:1] * int(rng.integers(1, 90)) for _ in range(5)]
+        for piece, row in zip(pieces, encoder._merge(pieces), strict=True):
+            expected = plain_bpe(ranks, piece)
+            assert np.frombuffer(encoder._merge_long(piece), dtype="<u4").tolist() == expected, (ranks, piece)
+            assert np.frombuffer(row, dtype="<u4").tolist() == expected
+        done += len(pieces)
+    ranks = {bytes([k]): k for k in range(256)} | {b"aaa": 256, b"aa": 257}
+    assert np.frombuffer(bpe.Encoder(ranks, ".+")._merge_long(b"a" * 53), dtype="<u4").tolist() == plain_bpe(ranks, b"a" * 53)
+
+
+def test_cache_is_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 100_000)
+    encoder = bpe.Encoder({bytes([k]): k for k in range(256)} | {b"ab": 256}, "[a-z]+|[^a-z]")
+    rng = np.random.default_rng(9)
+    for k in range(300):
+        word = "".join(rng.choice(list("abc"), 3000 if k % 2 else 900))
+        assert len(encoder.encode([f"{word} {k} {word}"])[0]) > 0
+        assert sum(map(len, encoder.known)) < 200_000 and not any(len(x) > bpe.LONG_PIECE for x in encoder.known)
+
+
 def test_bpe_bounds(spark):
     with pytest.raises(Exception, match="outside the vocabulary"):
         bpe.decode(spark.createDataFrame([(1, 1, bytearray(b"\xff\xff\xff\x7f"))], "doc_id long, n_tokens long, ids binary"), {b"a": 0}).collect()
