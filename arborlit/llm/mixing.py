@@ -5,7 +5,8 @@ copies of the source as often as they fit, and of one more copy the documents
 whose hash is below a threshold.  The threshold is found digit by digit: sizes
 are summed by source and leading hash bits, the bucket that the budget ends in
 is refined by the next bits, and so on, so that after the last digit the
-documents taken are all those, in hash order, that fit the budget.  Nothing is
+documents taken are all those, in hash order, that fit the budget, and the next
+one if that lands nearer.  Nothing is
 sorted, and thresholds are nested: a larger budget takes a superset.
 """
 
@@ -94,9 +95,10 @@ def plan(sizes: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share:
         sums = inside.groupBy("source", F.shiftright("h", shift).alias("bucket")).agg(F.sum("size").alias("n"), F.first("before").alias("before"), F.first("rest").alias("rest"))
         order = W.partitionBy("source").orderBy("bucket")
         sums = sums.withColumn("upto", F.col("before") + F.sum("n").over(order))
-        over = sums.where("upto > rest").groupBy("source").agg(F.min(F.struct("bucket", (F.col("upto") - F.col("n")).alias("before"), "rest")).alias("b"))
-        bound = over.select("source", F.col("b.bucket").alias("prefix"), "b.before", "b.rest")
-    limits = bound.select(F.col("source").alias("s"), F.col("prefix").alias("limit"))
+        over = sums.where("upto > rest").groupBy("source").agg(F.min(F.struct("bucket", (F.col("upto") - F.col("n")).alias("before"), "rest", "upto")).alias("b"))
+        bound = over.select("source", F.col("b.bucket").alias("prefix"), "b.before", "b.rest", "b.upto")
+    nearer = F.col("upto") - F.col("rest") < F.col("rest") - F.col("before")
+    limits = bound.select(F.col("source").alias("s"), (F.col("prefix") + nearer.cast("long")).alias("limit"))
     sources = budget.join(limits, budget["source"].eqNullSafe(F.col("s")), "left").select("source", "source_size", "target", "whole", "limit")
     return Plan(durable(sources), small)
 
@@ -109,10 +111,11 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), s
     of its own, have ``weights`` in turn.  ``target`` is double, see
     :func:`targets`.  ``copies`` says how often the mix takes a document: at least
     floor(target / source_size) times, and once more if all documents of its
-    source with a hash up to its own fit what is left of the target.  So a
-    source's words stay below its target by less than the size of the documents
-    with the next hash.  Equal doc_ids share a hash and are taken together; a
-    source without words has copies 0.  Other columns are ignored; an empty
+    source with a hash up to its own fit what is left of the target, or, for the
+    first hash that doesn't fit, if the source's words come nearer to the target
+    with it than without.  So they miss it by half the size of the documents with
+    that hash at most, and no document is taken more than twice.  Equal doc_ids
+    share a hash and are taken together; a source without words has copies 0.  Other columns are ignored; an empty
     table gives an empty result; reruns agree, whatever the partitioning.
     """
     sizes = durable(sized(docs))
@@ -139,8 +142,12 @@ chosen AS (SELECT *, (SELECT arg_min(level, rank) FROM levels WHERE level * weig
 aims AS (SELECT source, source_size, CASE WHEN common IS NULL THEN most ELSE least(most, common * weight) END AS target FROM chosen),
 parts AS (
     SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole FROM aims),
-summed AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY h RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM sized)
-SELECT s.doc_id, s.size, p.source_size, p.target,
-       (s.size * (p.whole + CASE WHEN s.upto <= p.target - p.whole * p.source_size THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM summed s JOIN parts p ON s.source IS NOT DISTINCT FROM p.source
+summed AS (
+    SELECT *, sum(size) OVER (PARTITION BY source ORDER BY h RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto,
+           coalesce(sum(size) OVER (PARTITION BY source ORDER BY h RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW EXCLUDE GROUP), 0) AS below
+    FROM sized),
+left_over AS (SELECT s.*, p.source_size, p.target, p.whole, p.target - p.whole * p.source_size AS rest FROM summed s JOIN parts p ON s.source IS NOT DISTINCT FROM p.source)
+SELECT doc_id, size, source_size, target,
+       (size * (whole + CASE WHEN upto <= rest OR (below <= rest AND upto - rest < rest - below) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM left_over
 """

@@ -305,7 +305,7 @@ def chosen_documents(docs):
         for h in sorted(sums):
             upto += sums[h]
             if upto > rest:
-                limit = h
+                limit = h + (upto - rest < rest - (upto - sums[h]))
                 break
         for h, k in own:
             taken += [k] * (copies + (limit is not None and h < limit))
