@@ -7,6 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from arborlit.functions import text as X
+from arborlit.operators import intervals
+from arborlit.sources.durable import durable
 
 
 def leaf_paths(tree: DataFrame, first_only: bool = False) -> DataFrame:
@@ -38,16 +40,26 @@ def document_nodes(documents: DataFrame, tree: DataFrame, first_only: bool = Fal
     return leaves.join(paths, "leaf").select("path", "pmid").distinct()
 
 
-def hierarchy(tree: DataFrame, nodes: DataFrame, gene: str = "gene_id") -> DataFrame:
+def document_places(documents: DataFrame, tree: DataFrame, held: DataFrame, first_only: bool = False) -> DataFrame:
+    """Distinct (low, pmid): the numbers of the leaves that documents' subjects name; nothing is repeated for the nodes above."""
+    leaves = documents.select("pmid", F.explode(F.array_distinct(X.subjects_list("subjects"))).alias("leaf"))
+    return intervals.placed(leaves.join(leaf_paths(tree, first_only), "leaf").select("path", "pmid"), held).distinct()
+
+
+def hierarchy(tree: DataFrame, nodes: DataFrame, gene: str = "gene_id", held: DataFrame | None = None) -> DataFrame:
     """(path, parent_path, depth, name, documents, genes) for each node of the tree.
 
-    ``nodes`` has (path, pmid).  Counts are of distinct ids, never sums over
-    children.  The root isn't a row; its children have a blank parent.
+    ``nodes`` has (path, pmid), of each document the paths that it lies at; paths
+    above them may be there too, and change nothing.  Counts are of distinct ids,
+    by sums that add up along the hierarchy (:func:`intervals.distinct_below`).
+    The root isn't a row; its children have a blank parent.  ``held``: labels of a
+    hierarchy that has at least the tree's paths, say those of its vocabulary.
     """
-    rows = tree.where(X.first_filled("path") != "").select("path", F.col(gene).alias("g")).distinct()
-    genes = expanded(rows).groupBy("path").agg(F.count_distinct("g").alias("genes"))
-    documents = nodes.groupBy("path").agg(F.count_distinct("pmid").alias("documents"))
-    return with_place(genes.join(documents, "path", "left").withColumn("documents", F.coalesce("documents", F.lit(0).cast("long"))))
+    rows = tree.where(X.first_filled("path") != "").select("path", F.col(gene).alias("g"))
+    held = durable(intervals.labels(rows)) if held is None else held
+    genes, documents = intervals.distinct_below(rows, "g", held), intervals.distinct_below(nodes, "pmid", held)
+    counted = genes.withColumnRenamed("n", "genes").join(documents.withColumnRenamed("n", "documents"), "path", "left")
+    return with_place(counted.na.fill(0, ["documents"]))
 
 
 def with_place(rows: DataFrame) -> DataFrame:
@@ -83,6 +95,13 @@ def node_genes(tree: DataFrame, gene: str = "gene_id") -> DataFrame:
     return expanded(tree.where(X.first_filled("path") != "").select("path", F.col(gene).alias("gene")).distinct()).distinct()
 
 
+def cut_genes(cut: DataFrame, genes: DataFrame) -> DataFrame:
+    """(parent_path, genes): the distinct genes of ``genes`` (path, gene) at or below the ``cut`` nodes of each parent."""
+    paths = genes.select("path").distinct().select("path", F.explode(nodes_of("path")).alias("node"))
+    parents = paths.join(cut.select(F.col("path").alias("node"), "parent_path"), "node").select("path", "parent_path").distinct()
+    return genes.join(parents, "path").groupBy("parent_path").agg(F.count_distinct("gene").alias("genes"))
+
+
 def prune(nodes: DataFrame, genes: DataFrame, top: int, depth: int | None = None, focus: str = "", label: str = "more") -> DataFrame:
     """The children kept for each node below ``focus``, and a row for those left out.
 
@@ -103,7 +122,7 @@ def prune(nodes: DataFrame, genes: DataFrame, top: int, depth: int | None = None
     above = ranked.select("path", F.explode(nodes_of("parent_path")).alias("h")).join(hidden, "h", "left_semi").select("path").distinct()
     shown = shown.join(above, "path", "left_anti")
     cut = cut.join(above, "path", "left_anti")
-    gathered = cut.join(genes, "path").groupBy("parent_path").agg(F.count_distinct("gene").alias("genes"))
+    gathered = cut_genes(cut, genes)
     rest = cut.groupBy("parent_path").agg(F.count("*").alias("k"), F.max("documents").alias("documents")).join(gathered, "parent_path", "left")
     rest = rest.select("parent_path", F.lit(top + 1).alias("rank"), F.lit(None).cast("string").alias("path"), F.concat_ws(" ", F.col("k").cast("string"), F.lit(label)).alias("name"), "documents", F.coalesce("genes", F.lit(0).cast("long")).alias("genes"))
     return shown.select("parent_path", "rank", "path", "name", "documents", "genes").unionByName(rest)
@@ -121,9 +140,14 @@ def most_documents(nodes: DataFrame) -> DataFrame:
     return nodes.agg(F.max("documents").alias("documents"))
 
 
-def documents_of(documents: DataFrame, nodes: DataFrame, path: str, limit: int = 300) -> DataFrame:
-    """The documents under a node (blank: all), newest first: pmid, title, journal, date and link."""
-    rows = documents if path == "" else documents.join(nodes.where(F.col("path") == path).select("pmid"), "pmid", "left_semi")
+def documents_of(documents: DataFrame, nodes: DataFrame, path: str, limit: int = 300, held: DataFrame | None = None) -> DataFrame:
+    """The documents under a node (blank: all), newest first: pmid, title, journal, date and link.
+
+    ``nodes`` has (path, pmid) for every node; or, with the labels ``held``, (low,
+    pmid) for the places of documents only, of which a range is read.
+    """
+    chosen = nodes.where(F.col("path") == path) if held is None else intervals.below(nodes, held, path)
+    rows = documents if path == "" else documents.join(chosen.select("pmid"), "pmid", "left_semi")
     shown = rows.select("pmid", X.title_or_default("title_e").alias("title"), X.journal_head("journal").alias("journal"), X.shown_date(F.col("year"), F.col("month"), F.col("day")).alias("date"), X.document_url("pmid").alias("url"))
     return shown.orderBy(F.desc("date"), "pmid").limit(limit)
 

@@ -14,12 +14,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arborlit.functions import text as X
-from arborlit.operators import classify, documents, explore, incremental, latest, mentions, metrics, rollup, trees, vocabulary
+from arborlit.operators import classify, documents, explore, incremental, intervals, latest, mentions, metrics, rollup, trees, vocabulary
 from arborlit.plans import programs
 from arborlit.plans.queries import PLACES, load, places, query
 from arborlit.sources import readers, remote, sinks
 from arborlit.sources import schemas as S
-from arborlit.sources.durable import folder
+from arborlit.sources.durable import durable, folder
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -569,10 +569,52 @@ def node_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = places(spark, sf_dir)
     named = lineitem.select(F.col("l_orderkey").cast("string").alias("pmid"), F.col("l_suppkey").alias("term_id")).join(rows.select("term_id", "name"), "term_id").groupBy("pmid").agg(F.collect_list("name").alias("n"))
     tree = rows.select(X.path_text("path_parts").alias("path"), F.col("term_id").alias("ord"))
-    nodes = rollup.document_nodes(named.select("pmid", X.subjects_text("n").alias("subjects")), tree)
+    held = durable(intervals.labels(tree))
+    nodes = rollup.document_places(named.select("pmid", X.subjects_text("n").alias("subjects")), tree, held)
+    return rollup.documents_of(order_documents(orders), nodes, "ASIA", held=held)
+
+
+def order_documents(orders: DataFrame) -> DataFrame:
     day = lambda f: F.date_format("o_orderdate", f)
-    docs = orders.select(F.col("o_orderkey").cast("string").alias("pmid"), F.col("o_orderpriority").alias("title_e"), F.concat("o_orderstatus", F.lit("; x")).alias("journal"), day("yyyy").alias("year"), day("M").alias("month"), day("d").alias("day"))
-    return rollup.documents_of(docs, nodes, "ASIA")
+    return orders.select(F.col("o_orderkey").cast("string").alias("pmid"), F.col("o_orderpriority").alias("title_e"), F.concat("o_orderstatus", F.lit("; x")).alias("journal"), day("yyyy").alias("year"), day("M").alias("month"), day("d").alias("day"))
+
+
+# ---- a hierarchy of seven levels: parts by the digits of their keys
+
+
+def digit_path(key: str) -> Column:
+    return F.regexp_replace(F.lpad(F.col(key).cast("string"), 7, "0"), "(?<=.)(?=.)", ".")
+
+
+DIGITS = """digits AS (SELECT l_orderkey, l_suppkey, k, substr(lpad(l_partkey::VARCHAR, 7, '0'), 1, k) AS d FROM lineitem, range(1, 8) t(k))"""
+DOTTED = "array_to_string(string_split({0}, ''), '.')"
+
+
+@query(f"WITH {DIGITS}, n AS (SELECT DISTINCT d, k FROM digits) SELECT {DOTTED.format('d')} AS path, row_number() OVER (ORDER BY d) AS low, row_number() OVER (ORDER BY d) - 1 + (SELECT count(*) FROM n x WHERE starts_with(x.d, n.d)) AS high, k AS depth FROM n")
+def interval_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each node's number and the highest below it."""
+    (lineitem,) = load(spark, sf_dir, "lineitem")
+    return intervals.labels(lineitem.select(digit_path("l_partkey").alias("path"))).withColumn("depth", F.col("depth").cast("long"))
+
+
+@query(f"WITH {DIGITS} SELECT {DOTTED.format('d')} AS path, {DOTTED.format('substr(d, 1, k - 1)')} AS parent_path, k AS depth, d[k] AS name, count(DISTINCT l_orderkey) AS documents, count(DISTINCT l_suppkey) AS genes FROM digits GROUP BY d, k")
+def deep_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct documents and genes at every node of a deep hierarchy, from the leaves alone."""
+    (lineitem,) = load(spark, sf_dir, "lineitem")
+    rows = lineitem.select(digit_path("l_partkey").alias("path"), F.col("l_orderkey").alias("pmid"), F.col("l_suppkey").alias("gene_id"))
+    return rollup.hierarchy(rows.select("path", "gene_id"), rows.select("path", "pmid")).withColumn("depth", F.col("depth").cast("long"))
+
+
+@query("""WITH d AS (SELECT DISTINCT l_orderkey FROM lineitem WHERE starts_with(lpad(l_partkey::VARCHAR, 7, '0'), '00001'))
+SELECT o_orderkey::VARCHAR AS pmid, o_orderpriority AS title, o_orderstatus AS journal, strftime(o_orderdate, '%Y-%m-%d') AS date, 'https://pubmed.ncbi.nlm.nih.gov/' || o_orderkey || '/' AS url
+FROM orders JOIN d ON l_orderkey = o_orderkey ORDER BY date DESC, pmid LIMIT 300""")
+def deep_node_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest documents under a node of the fifth level: a range of a table that is stored in the order of the numbers."""
+    orders, lineitem = load(spark, sf_dir, "orders", "lineitem")
+    rows = lineitem.select(digit_path("l_partkey").alias("path"), F.col("l_orderkey").cast("string").alias("pmid"))
+    held, path = durable(intervals.labels(rows)), scratch(spark, "places")
+    intervals.placed(rows, held).distinct().orderBy("low", "pmid").write.parquet(path)
+    return rollup.documents_of(order_documents(orders), spark.read.parquet(path), "0.0.0.0.1", held=held)
 
 
 @query("""WITH k AS (SELECT n_regionkey, n_nationkey, n_nationkey * 3 + 1 AS d, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey DESC) AS rank FROM nation),

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arborlit.functions import text as X
-from arborlit.operators import classify, documents, explore, latest, mentions, metrics, ontology, rollup, trees, vocabulary
+from arborlit.operators import classify, documents, explore, intervals, latest, mentions, metrics, ontology, rollup, trees, vocabulary
 from arborlit.sources import schemas as S
 from arborlit.sources.durable import durable
 
@@ -221,11 +221,11 @@ def failed_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def node_table(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(nodes, their documents, the tree) of suppliers, parts being genes."""
-    place = latest.dimension(places(spark, sf_dir).select("term_id", X.path_text("path_parts").alias("path")))
-    rows = items(spark, sf_dir)
+    place = latest.dimension(durable(places(spark, sf_dir).select("term_id", X.path_text("path_parts").alias("path"))))
+    rows, held = items(spark, sf_dir), durable(intervals.labels(place))
     by_term = lambda c: rows.select("term_id", c).distinct().join(place, "term_id").drop("term_id")
-    tree, docs = by_term("gene_id"), rollup.expanded(by_term("pmid"))
-    return durable(rollup.hierarchy(tree, docs)), docs, tree  # a row a node, read several times
+    tree, docs = by_term("gene_id"), by_term("pmid")
+    return durable(rollup.hierarchy(tree, docs, held=held)), docs, tree  # a row a node, read several times
 
 
 NODES = f"""{PLACES}, flat AS (SELECT l_orderkey AS pmid, l_partkey AS gene, r_name, n_name, s_name FROM lineitem JOIN place ON l_suppkey = s_suppkey),
@@ -248,7 +248,7 @@ UNION ALL SELECT r.parent_path, 4, NULL, k || ' more', documents, g.genes FROM r
 def topk_children(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three children of each node to depth 2, and the rest as one."""
     nodes, _, tree = node_table(spark, sf_dir)
-    return rollup.prune(nodes, rollup.expanded(tree.withColumnRenamed("gene_id", "gene")), 3, 2)
+    return rollup.prune(nodes, tree.withColumnRenamed("gene_id", "gene"), 3, 2)
 
 
 @query(f"WITH {NODES} SELECT path, name, documents FROM nodes n WHERE NOT EXISTS (SELECT 1 FROM nodes c WHERE c.parent_path = n.path) ORDER BY documents DESC, path LIMIT 12")
