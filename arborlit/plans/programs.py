@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from arborlit.functions import text as X
 from arborlit.operators import classify, documents, incremental, mentions, metrics, ontology, trees, vocabulary
-from arborlit.operators.latest import batch_number, last_wins, limit_first
+from arborlit.operators.latest import last_wins, limit_first
 from arborlit.sources import readers, remote, sinks
 from arborlit.sources.durable import durable
 
@@ -92,42 +92,49 @@ def fetch_documents(
     search: DataFrame,
     cache: str,
     out: str,
-    fetch: Callable[[list[str]], str],
+    fetch: Callable[[list[str]], str] | DataFrame,
     failed: str | None = None,
     dates: DataFrame | None = None,
     ids: DataFrame | None = None,
     limit: int | None = None,
     force: bool = False,
-    batch: int = 20,
-    every: int = 10,
     **options,
 ) -> DataFrame:
     """Fetch what is missing, write the document table and the failed ids, and return the run's status (ok, failed, total).
 
-    What isn't in the cache is fetched in rounds of ``every`` batches; a round is
-    appended to the cache when it has ended, so a run that breaks off goes on where
-    the last whole round ended.  ``ids`` (say the failed ones of an earlier run,
-    ``readers.id_list``) names the ids to redo; ``force`` fetches all anew.
+    What isn't in the cache is fetched into a log beside it, task by task
+    (:func:`remote.fetch_into`), and appended to the cache when all is there; what
+    a run that broke off left in the log counts as held.  ``fetch`` may also be
+    answers on record (:func:`remote.recorded_records`).  ``ids`` (say the failed
+    ones of an earlier run, ``readers.id_list``) names the ids to redo; ``force``
+    fetches all anew.
     """
     wanted = ids if ids is not None else last_wins(search.select("pmid", "ord"), ["pmid"], ["ord"])
     wanted = durable(limit_first(wanted, limit, ["ord"] if "ord" in wanted.columns else ["pmid"]).select("pmid").distinct())
-    previous, held = readers.existing_output(spark, out), readers.cached_records(spark, cache)  # files as they are before this run
+    previous, log = readers.existing_output(spark, out), f"{cache}.log"
+    left = durable(remote.logged(spark, log).where("record is not null").select("pmid", "record"))  # by a run that broke off
+    if not left.isEmpty():
+        sinks.append_cache(left, cache)
+    held = readers.cached_records(spark, cache)  # files as they are before this run
+    sinks.remove(spark, log)
     pending = wanted if force else wanted.join(previous.where("fetch_status = 'ok'").select("pmid"), "pmid", "left_anti").join(held.select("pmid"), "pmid", "left_anti")
-    rounds = durable(batch_number(pending, batch * every, ["pmid"]))
-    got = None
-    for k in range(1, (rounds.agg(F.max("batch")).first()[0] or 0) + 1):
-        fetched = durable(remote.fetch_records(rounds.where(F.col("batch") == k).select("pmid"), fetch, batch=batch, **options))
-        sinks.append_cache(fetched.where("record is not null").select("pmid", "record"), cache)
-        got = fetched if got is None else got.unionByName(fetched)
+    pending = durable(pending)
+    if isinstance(fetch, DataFrame):
+        got = durable(remote.recorded_records(pending, fetch, **options))
+    else:
+        remote.fetch_into(log, pending, fetch, **options)
+        got = durable(remote.logged(spark, log))
     done = durable(documents.build_documents(search, held, got, dates, previous, wanted, force=force))
+    sinks.append_cache(got.where("record is not null").select("pmid", "record"), cache)
+    sinks.remove(spark, log)
     sinks.write_documents(done, out)
     if failed:
         sinks.write_failed(done, failed)
     return documents.run_status(done)
 
 
-def enrich_citations(docs: DataFrame, caches: dict[str, str], fetch: dict[str, Callable[[list[str]], dict]], **options) -> DataFrame:
-    """The citation table of documents; what the caches lack is fetched and appended to them first.
+def enrich_citations(docs: DataFrame, caches: dict[str, str], fetch: dict[str, Callable[[list[str]], dict] | DataFrame], **options) -> DataFrame:
+    """The citation table of documents; what the caches lack is fetched, or taken from answers on record, and appended to them first.
 
     ``caches`` and ``fetch`` have ``metrics`` (citation_count,
     relative_citation_ratio, nih_percentile by pmid), ``works`` (source_id by pmid)
@@ -140,7 +147,8 @@ def enrich_citations(docs: DataFrame, caches: dict[str, str], fetch: dict[str, C
         wanted = metrics.work_sources(held["works"]) if name == "sources" else docs.where("fetch_status = 'ok'").select(F.col("pmid").alias("key"))
         missing = durable(metrics.missing_keys(wanted, readers.key_values(spark, caches[name], value)))
         if not missing.isEmpty():
-            new = durable(remote.fetch_values(missing, fetch[name], value, **options))
+            source = fetch[name]
+            new = durable(remote.recorded_values(missing, source, value) if isinstance(source, DataFrame) else remote.fetch_values(missing, source, value, **options))
             new.write.mode("append").option("ignoreNullFields", False).json(caches[name])
         held[name] = readers.key_values(spark, caches[name], value)
     return metrics.citation_table(docs, held["metrics"], held["works"], held["sources"])

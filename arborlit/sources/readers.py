@@ -8,10 +8,10 @@ wins), rows carry ``ord``.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from arborlit.functions import text as X
+from arborlit.operators.carry import carry_down
 from arborlit.operators.latest import last_wins, with_order
 from arborlit.sources import json_array
 from arborlit.sources import schemas as S
@@ -157,14 +157,14 @@ def gene_groups(spark: SparkSession, path: str) -> DataFrame:
 def pathway_outline(spark: SparkSession, path: str) -> DataFrame:
     """(class_id, path_parts) of an indented outline: A and B headings, then C lines with a five-digit id.
 
-    Headings are carried down by windows over line numbers; an outline is one
-    small file.  A new A forgets B; lines without text are no headings.
+    Headings are carried down from range to range of lines.  A new A forgets B;
+    lines without text are no headings.
     """
     line = with_order(spark.read.text(path)).withColumn("depth", F.substring("value", 1, 1)).where("depth in ('A', 'B', 'C', 'D')")
     line = line.withColumn("rest", X.strip(X.strip_tags(X.strip(F.substring("value", 2, 1 << 30))))).where("rest <> ''")
-    order = W.orderBy("ord")
-    line = line.withColumn("a", F.last(F.when(F.col("depth") == "A", F.col("rest")), ignorenulls=True).over(order)).withColumn("section", F.sum((F.col("depth") == "A").cast("int")).over(order))
-    line = line.withColumn("b", F.last(F.when(F.col("depth") == "B", F.col("rest")), ignorenulls=True).over(W.partitionBy("section").orderBy("ord")))
+    heading = lambda depth: F.when(F.col("depth") == depth, F.col("rest"))
+    below_a = F.when(F.col("depth").isin("A", "B"), F.struct(heading("B").alias("b")))  # of an A: nothing
+    line = carry_down(line, {"a": heading("A"), "below_a": below_a}, ["ord"]).withColumn("b", F.col("below_a.b"))
     found = line.where("depth = 'C'").withColumn("class_id", F.regexp_extract("rest", r"^(\d{5})\s+(.+)", 1)).where("class_id <> ''")
     name = X.strip_trailing_note(F.regexp_extract("rest", r"^(\d{5})\s+(.+)", 2))
     parts = F.filter(F.array("a", "b", name), lambda x: x.isNotNull() & (x != ""))

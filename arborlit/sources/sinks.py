@@ -29,6 +29,12 @@ def append_cache(records: DataFrame, path: str) -> None:
     records.write.mode("append").option("compression", "gzip").json(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if it's there."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def write_facts(facts: DataFrame, path: str, append: bool = False) -> None:
     _csv(facts.select(*S.FACT_COLUMNS), path, "append" if append else "overwrite")
 
@@ -43,8 +49,7 @@ def write_failed(documents: DataFrame, path: str, stamp: str | None = None) -> i
         for target in (path, copy):
             failed.orderBy("pmid").write.mode("overwrite").text(target)
     else:
-        where = spark._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        remove(spark, path)
     return n
 
 
