@@ -339,6 +339,31 @@ def dag_lineages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ontology.dag_lineages(terms).select("term_id", X.path_text("path_parts").alias("path"))
 
 
+GRAPH = """e AS (SELECT o_orderkey AS t, p.place, CASE p.place WHEN 0 THEN o_orderkey // 3 WHEN 1 THEN o_orderkey // 2 ELSE o_orderkey * 2 END AS parent
+    FROM orders, (VALUES (0), (1), (2)) p(place) WHERE p.place < 2 OR o_orderkey % 1000 = 507),
+known AS (SELECT e.* FROM e JOIN orders ON o_orderkey = e.parent)"""
+
+
+@query(f"""WITH RECURSIVE {GRAPH},
+w AS (SELECT o_orderkey AS t, o_orderkey AS cur, [o_orderkey] AS chain, []::BIGINT[] AS visited, []::INTEGER[] AS places, 0 AS depth, false AS ended FROM orders
+    UNION ALL
+    SELECT t, cur, chain, visited, places, depth, ended FROM (
+        SELECT w.t, coalesce(k.parent, w.cur) AS cur, CASE WHEN k.parent IS NULL THEN chain ELSE list_prepend(k.parent, chain) END AS chain,
+               CASE WHEN k.parent IS NULL THEN visited ELSE list_append(visited, w.cur) END AS visited,
+               CASE WHEN k.parent IS NULL THEN places ELSE list_append(places, k.place) END AS places, depth + 1 AS depth, k.parent IS NULL AS ended
+        FROM w LEFT JOIN known k ON k.t = w.cur AND NOT w.ended AND NOT list_contains(w.visited, k.parent) WHERE depth < 25
+        QUALIFY row_number() OVER (PARTITION BY w.t ORDER BY CASE WHEN k.parent IS NULL THEN places ELSE list_append(places, k.place) END) <= 8)),
+done AS (SELECT DISTINCT t, 'Gene Ontology.' || array_to_string(chain, '.') AS path FROM w WHERE depth = 25)
+SELECT t::VARCHAR AS term_id, path FROM done""")
+def graph_lineages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first eight chains of every order in a graph of orders: each lies below two others, so walks meet again, and some lie on cycles."""
+    (orders,) = load(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    parents = F.array(F.expr("o_orderkey div 3"), F.expr("o_orderkey div 2"), F.when(k % 1000 == 507, k * 2))
+    terms = orders.select(k.cast("string").alias("term_id"), k.cast("string").alias("name"), F.lit("").alias("namespace"), F.transform(F.array_compact(parents), lambda p: p.cast("string")).alias("parents"))
+    return ontology.dag_lineages(terms).select("term_id", X.path_text("path_parts").alias("path"))
+
+
 @query("""SELECT page_id, trim(regexp_extract(html, '(?is)<title>(.*?)</title>', 1)) AS title, length(regexp_replace(html, '<[^>]*>', '', 'g'))::INTEGER AS text_chars FROM pages""")
 def html_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Titles and the length of the text without tags."""
