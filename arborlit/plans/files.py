@@ -494,11 +494,16 @@ def synced_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- incremental upkeep
 
 
-def upkeep(spark: SparkSession, sf_dir: str) -> incremental.Enriched:
-    """Orders of which every other one has subjects; terms of even number are in the tree, the others in the vocabulary, every fifth nowhere."""
+def upkeep_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of which every other one has subjects."""
     (orders,) = load(spark, sf_dir, "orders")
     done = F.col("o_orderkey") % 2 == 0
-    docs = orders.select(F.col("o_orderkey").cast("string").alias("pmid"), F.when(done, "old | ").otherwise("").alias("subjects"), F.col("o_orderkey").alias("ord"))
+    return orders.select(F.col("o_orderkey").cast("string").alias("pmid"), F.when(done, "old | ").otherwise("").alias("subjects"), F.col("o_orderkey").alias("ord"))
+
+
+def upkeep(spark: SparkSession, sf_dir: str) -> incremental.Enriched:
+    """Subjects for the orders that have none; terms of even number are in the tree, the others in the vocabulary, every fifth nowhere."""
+    docs = upkeep_documents(spark, sf_dir)
     known = term_places(spark, sf_dir).withColumn("k", F.substring("term_id", 2, 9).cast("int"))
     tree = known.where("k % 2 = 0").select(F.col("term_id").alias("mesh_id"), X.path_text("path_parts").alias("path"), F.lit(1000).cast("long").alias("n"), "web_id", "tree_id", F.col("k").alias("ord"))
     rest = known.where("k % 2 = 1 and k % 5 <> 0").select("term_id", "branch_index", "name", "path_parts", "tree_id", "web_id")
