@@ -54,24 +54,39 @@ def role_of(name: Column) -> Column:
     return out
 
 
-def paths(nodes: DataFrame) -> DataFrame:
-    """(tree, leaf, node, up): for every leaf all nodes up to its root, ``up`` steps above it.
+def climb(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """Steps of 1, 2, 4, ... parents (tree, node, above, sum), and the leaves (tree, node) that reach a root.
 
-    ``nodes`` has tree, node and parent, each (tree, node) once and neither null.
-    A node is a root if its parent is null or not in the tree.  Nodes on cycles and
-    nodes below cycles reach no root and are on no path.  Other columns are
-    ignored; an empty table gives an empty result.
+    ``sum`` adds up ``score`` from a node to the last below ``above``.  ``nodes`` has
+    tree, node, parent and score, each (tree, node) once, none of these but the
+    parent null; an empty table gives empty ones.
     """
-    step = durable(nodes.join(nodes.select("tree", F.col("node").alias("parent")), ["tree", "parent"], "left_semi").select("tree", "node", F.col("parent").alias("above")))
+    parents = nodes.select("tree", F.col("node").alias("parent"))
+    step = durable(nodes.join(parents, ["tree", "parent"], "left_semi").select("tree", "node", F.col("parent").alias("above"), F.col("score").alias("sum")))
     inner = step.select("tree", F.col("above").alias("node")).distinct()
     leaves = nodes.select("tree", "node").join(inner, ["tree", "node"], "left_anti")
     steps, most = [], nodes.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
     while (1 << len(steps)) < most and not step.isEmpty():
         steps.append(step)
-        on = step.select("tree", F.col("node").alias("above"), F.col("above").alias("top"))
-        step = durable(step.join(on, ["tree", "above"]).select("tree", "node", F.col("top").alias("above")))
+        on = step.select("tree", F.col("node").alias("above"), F.col("above").alias("top"), F.col("sum").alias("more"))
+        step = durable(step.join(on, ["tree", "above"]).select("tree", "node", F.col("top").alias("above"), (F.col("sum") + F.col("more")).alias("sum")))
     if (1 << len(steps)) >= most:  # more steps than a tree has nodes: only a cycle has so many
         leaves = leaves.join(step.select("tree", "node"), ["tree", "node"], "left_anti")
+    return steps, durable(leaves)
+
+
+def totals(nodes: DataFrame, steps: list[DataFrame], leaves: DataFrame) -> DataFrame:
+    """(tree, leaf, branch_score, depth): one row a leaf climbs to its root by the largest steps first."""
+    at = leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0.0).alias("score"), F.lit(0).cast("long").alias("depth"))
+    for k in range(len(steps) - 1, -1, -1):
+        on = at.join(steps[k], ["tree", "node"], "left")
+        at = on.select("tree", "leaf", F.coalesce("above", "node").alias("node"), (F.col("score") + F.coalesce("sum", F.lit(0.0))).alias("score"), (F.col("depth") + F.when(F.col("above").isNotNull(), 1 << k).otherwise(0)).alias("depth"))
+    root = nodes.select("tree", "node", F.col("score").alias("own"))
+    return at.join(root, ["tree", "node"]).select("tree", "leaf", (F.col("score") + F.col("own")).alias("branch_score"), "depth")
+
+
+def paths(steps: list[DataFrame], leaves: DataFrame) -> DataFrame:
+    """(tree, leaf, node, up): for each of ``leaves`` (tree, node) all nodes up to its root, ``up`` steps above it, by the steps of :func:`climb`."""
     reached = durable(leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("up")))
     for k in range(len(steps) - 1, -1, -1):
         further = reached.join(steps[k], ["tree", "node"]).select("tree", "leaf", F.col("above").alias("node"), (F.col("up") + (1 << k)).alias("up"))
@@ -86,19 +101,23 @@ def branches(nodes: DataFrame, top: int | None = None) -> DataFrame:
     the sum of its messages' scores (null: 0); ties go to the smaller leaf.
     ``turn`` counts from 0 at the root; null roles and texts come out empty.  Rows
     with a null tree or node are left out; of rows that repeat a (tree, node) the
-    least by parent, role, text and score stays, nulls first.  Nodes that reach no
-    root are left out, see :func:`paths`.  Other columns are ignored; an empty
-    table gives an empty result.
+    least by parent, role, text and score stays, nulls first.  A node is a root if
+    its parent is null or not in the tree; nodes on cycles and below cycles reach
+    none and are on no branch.  Leaves are scored and ranked before the chosen ones'
+    branches are laid out.  Other columns are ignored; an empty table gives an
+    empty result.
     """
     rest = F.struct("parent", "role", "text", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))
     nodes = nodes.where("tree is not null and node is not null").groupBy("tree", "node").agg(F.min(rest).alias("r"))
     nodes = durable(nodes.select("tree", "node", "r.parent", "r.role", "r.text", "r.score"))
-    found = paths(nodes.select("tree", "node", "parent")).join(nodes.select("tree", "node", "role", "text", "score"), ["tree", "node"])
-    total = found.groupBy("tree", "leaf").agg(F.sum("score").alias("branch_score"), F.max("up").alias("depth"))
+    steps, leaves = climb(nodes)
+    total = totals(nodes, steps, leaves)
     total = total.withColumn("rank", F.row_number().over(W.partitionBy("tree").orderBy(F.desc("branch_score"), "leaf")))
     if top is not None:
-        total = total.where(F.col("rank") <= top)
-    return found.drop("score").join(total, ["tree", "leaf"]).select("tree", "leaf", "rank", "branch_score", (F.col("depth") - F.col("up")).alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+        total = durable(total.where(F.col("rank") <= top))
+        leaves = total.select("tree", F.col("leaf").alias("node"))
+    found = paths(steps, leaves).join(nodes.select("tree", "node", "role", "text"), ["tree", "node"])
+    return found.join(total, ["tree", "leaf"]).select("tree", "leaf", "rank", "branch_score", (F.col("depth") - F.col("up")).alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
 
 
 def format_branches(turns: DataFrame, learn: str = "assistant") -> DataFrame:

@@ -389,3 +389,19 @@ def test_pipeline_as_a_whole(spark, sf_small):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, sf_small)
         assert empty.count() == 0
+
+
+def test_only_chosen_branches_are_laid_out(spark, monkeypatch):
+    """A spine of 2000 nodes with a leaf at each: all leaves are ranked, three branches are laid out."""
+    n = 2000
+    rows = [(1, k, k - 1 if k else None, "user", None, 1.0 if k % 2 else -0.5) for k in range(n)] + [(1, n + k, k, "user", None, float(k * 7919 % 101)) for k in range(n)]
+    nodes = spark.createDataFrame(rows, "tree long, node long, parent long, role string, text string, score double")
+    made = []
+    monkeypatch.setattr(reply_trees, "durable", lambda df, f=reply_trees.durable: made.append(f(df)) or made[-1])
+    got = reply_trees.branches(nodes, top=3).select("leaf", "rank", "branch_score").distinct().orderBy("rank").collect()
+    spine = [0.0]
+    for k in range(n):
+        spine.append(spine[-1] + rows[k][5])
+    best = sorted(((-(spine[k + 1] + rows[n + k][5]), n + k) for k in range(n)))[:3]
+    assert [(r.branch_score, r.leaf) for r in got] == [(-s, leaf) for s, leaf in best]
+    assert sum(df.count() for df in made) < 70_000 and max(df.count() for df in made) <= 3 * (n + 1)
