@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arborlit.functions import text as X
+from arborlit.operators import pages, textindex
 from arborlit.plans import programs
 from arborlit.plans.files import MENTIONS, UPKEEP, annotated, document_rows, scratch, upkeep, upkeep_documents
 from arborlit.plans.queries import PLACES, load, places, query
@@ -135,3 +136,24 @@ def upserted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     for number in range(4):
         upsert.merge_batch(events.where(F.col("event_id") % 4 == (number * 3) % 4).select("user_id", "event_id", "event_type"), number, target, ["user_id"], ["event_id"], 16)
     return upsert.latest_version(spark, target).select("user_id", "event_id", "event_type")
+
+
+@query("SELECT 'long' AS asked, doc_id FROM documents WHERE contains(lower(text), 'wh of the') OR contains(lower(source), 'wh of the') UNION ALL SELECT 'source', doc_id FROM documents WHERE contains(lower(source), 'rc1') UNION ALL SELECT 'short', doc_id FROM documents WHERE contains(lower(source), '7') UNION ALL SELECT 'both', doc_id FROM documents WHERE contains(lower(text), 'src') OR contains(lower(source), 'src')")
+def indexed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Searches of all documents' texts and sources through an index of trigrams; a query of one character is a scan."""
+    (documents,) = load(spark, sf_dir, "documents")
+    path = scratch(spark, "index")
+    textindex.build(documents.select("doc_id", "text", "source"), ["text", "source"], path, ["doc_id"])
+    asked = {"long": (" WH of the ", None), "source": ("rc1", ["source"]), "short": ("7", ["source"]), "both": ("src", ["text", "source"])}
+    return reduce(DataFrame.unionByName, [textindex.search(spark, path, q, columns).rows.select(F.lit(name).alias("asked"), "doc_id") for name, (q, columns) in asked.items()])
+
+
+@query("""WITH n AS (SELECT c_custkey, c_name, row_number() OVER (ORDER BY c_custkey % 2 = 0, c_custkey) AS k FROM customer)
+SELECT 'one' AS asked, k AS number, c_custkey FROM n WHERE k BETWEEN 26 AND 50 UNION ALL SELECT 'last', k, c_custkey FROM n WHERE k > (SELECT (count(*) - 1) // 25 * 25 FROM n)""")
+def stored_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second and the last page of all customers in natural order, from a table that is stored in that order."""
+    (customer,) = load(spark, sf_dir, "customer")
+    path, k = scratch(spark, "sorted"), F.col("c_custkey")
+    label = F.concat(F.when(k % 2 == 0, "n").otherwise("N "), k.cast("string"))
+    pages.store(customer.select("c_custkey", label.alias("label")), path, pages.natural("label", ties=["c_custkey"]), folder_pages=10)
+    return reduce(DataFrame.unionByName, [pages.page(spark, path, n).select(F.lit(name).alias("asked"), "number", "c_custkey") for name, n in (("one", 1), ("last", 1 << 30))])
