@@ -157,3 +157,19 @@ def stored_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.concat(F.when(k % 2 == 0, "n").otherwise("N "), k.cast("string"))
     pages.store(customer.select("c_custkey", label.alias("label")), path, pages.natural("label", ties=["c_custkey"]), folder_pages=10)
     return reduce(DataFrame.unionByName, [pages.page(spark, path, n).select(F.lit(name).alias("asked"), "number", "c_custkey") for name, n in (("one", 1), ("last", 1 << 30))])
+
+
+@query("""WITH b AS (SELECT event_id, event_type, user_id, n FROM events, (VALUES (0), (1)) t(n) WHERE event_id % 3 <> 2 OR n = 0)
+SELECT event_id, n, event_id || '-' || n AS id, user_id AS who, event_type AS deep, CASE WHEN event_id % 2 = 0 THEN 2 ELSE 0 END AS listed FROM b WHERE event_id % 7 <> 0""")
+def response_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of response bodies with fields that no schema names, written and read back as variants; every seventh body is broken."""
+    (events,) = load(spark, sf_dir, "events")
+    more = lambda n: F.struct(F.concat(F.col("event_id").cast("string"), F.lit(f"-{n}")).alias("id"), F.struct("user_id", F.struct(F.col("event_type").alias("deep")).alias("in")).alias("new field"), F.when(F.col("event_id") % 2 == 0, F.array(F.lit(1), F.lit(2))).alias("list"))
+    shape = F.col("event_id") % 3
+    body = F.when(shape == 0, F.to_json(F.struct(F.array(more(0), more(1)).alias(readers.WRAPPER)))).when(shape == 1, F.to_json(F.array(more(0), more(1)))).otherwise(F.to_json(more(0)))
+    body = F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("{"), body)).otherwise(body)
+    path = scratch(spark, "records")
+    events.select("event_id", F.posexplode(readers.response_variants(body)).alias("n", "record")).write.parquet(path)
+    r = F.col("record")
+    get = lambda where, kind: F.try_variant_get(r, where, kind)
+    return spark.read.parquet(path).select("event_id", "n", readers.variant_id(r).alias("id"), get("$['new field'].user_id", "long").alias("who"), get("$['new field'].in.deep", "string").alias("deep"), F.greatest(F.size(get("$.list", "array<int>")), F.lit(0)).alias("listed"))

@@ -254,6 +254,37 @@ def response_records(raw: Column) -> Column:
     return F.when(F.ltrim(raw).startswith("["), F.from_json(raw, many)).when(raw.contains(f'"{WRAPPER}"'), F.coalesce(wrapped, F.array().cast(many))).otherwise(F.array(one))
 
 
+def response_variants(raw: Column) -> Column:
+    """The records of a response body as variants, every field kept: a wrapper object with a list, a bare list, or one object; none of anything else."""
+    value = F.try_parse_json(raw)
+    none = F.array().cast("array<variant>")
+    inside = F.try_variant_get(value, f"$.{WRAPPER}", "variant")
+    kind = F.schema_of_variant(value)
+    many = lambda v: F.coalesce(F.try_variant_get(v, "$", "array<variant>"), none)
+    return F.when(value.isNull(), none).when(kind.startswith("ARRAY"), many(value)).when(kind.startswith("OBJECT") & inside.isNotNull(), many(inside)).when(kind.startswith("OBJECT"), F.array(value)).otherwise(none)
+
+
+def variant_id(record: Column) -> Column:
+    """A record's pmid, else its id, as text; null if it has none."""
+    return F.coalesce(*(X.blank_to_null(F.try_variant_get(record, f"$.{k}", "string")) for k in ("pmid", "id")))
+
+
+def as_record(record: Column) -> Column:
+    """A variant as the struct that the document table is built from; its other fields stay in the variant."""
+    return F.from_json(F.to_json(record), S.RECORD)
+
+
+def cached_variants(spark: SparkSession, path: str) -> DataFrame:
+    """(pmid, record) of a cache of JSON lines (pmid, record), the last line of each id, every field of a record kept; bad lines and null records go."""
+    if not exists(spark, path):
+        return empty(spark, "pmid STRING, record VARIANT")
+    line = with_order(spark.read.text(path)).select(F.try_parse_json("value").alias("v"), "ord").where("v is not null")
+    # a variant can't be compared, so it travels beside the order, not within it
+    rows = line.select(F.try_variant_get("v", "$.pmid", "string").alias("pmid"), F.try_variant_get("v", "$.record", "variant").alias("record"), "ord").where("pmid is not null and pmid <> ''")
+    last = rows.groupBy("pmid").agg(F.max_by("record", "ord").alias("record"))
+    return last.where("record is not null and not is_variant_null(record)")
+
+
 def result_table(spark: SparkSession, path: str, result_format: str = "csv") -> DataFrame:
     """What a registered result shows: a bundle's tree or docs, or a CSV without its empty lines."""
     if result_format in ("json-tree", "json-docs"):
