@@ -80,7 +80,7 @@ def totals(nodes: DataFrame, steps: list[DataFrame], leaves: DataFrame) -> DataF
     at = leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0.0).alias("score"), F.lit(0).cast("long").alias("depth"))
     for k in range(len(steps) - 1, -1, -1):
         on = at.join(steps[k], ["tree", "node"], "left")
-        at = on.select("tree", "leaf", F.coalesce("above", "node").alias("node"), (F.col("score") + F.coalesce("sum", F.lit(0.0))).alias("score"), (F.col("depth") + F.when(F.col("above").isNotNull(), 1 << k).otherwise(0)).alias("depth"))
+        at = durable(on.select("tree", "leaf", F.coalesce("above", "node").alias("node"), (F.col("score") + F.coalesce("sum", F.lit(0.0))).alias("score"), (F.col("depth") + F.when(F.col("above").isNotNull(), 1 << k).otherwise(0)).alias("depth")))
     root = nodes.select("tree", "node", F.col("score").alias("own"))
     return at.join(root, ["tree", "node"]).select("tree", "leaf", (F.col("score") + F.col("own")).alias("branch_score"), "depth")
 
@@ -113,9 +113,8 @@ def branches(nodes: DataFrame, top: int | None = None) -> DataFrame:
     steps, leaves = climb(nodes)
     total = totals(nodes, steps, leaves)
     total = total.withColumn("rank", F.row_number().over(W.partitionBy("tree").orderBy(F.desc("branch_score"), "leaf")))
-    if top is not None:
-        total = durable(total.where(F.col("rank") <= top))
-        leaves = total.select("tree", F.col("leaf").alias("node"))
+    total = durable(total if top is None else total.where(F.col("rank") <= top))
+    leaves = total.select("tree", F.col("leaf").alias("node"))
     found = paths(steps, leaves).join(nodes.select("tree", "node", "role", "text"), ["tree", "node"])
     return found.join(total, ["tree", "leaf"]).select("tree", "leaf", "rank", "branch_score", (F.col("depth") - F.col("up")).alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
 

@@ -404,4 +404,4 @@ def test_only_chosen_branches_are_laid_out(spark, monkeypatch):
         spine.append(spine[-1] + rows[k][5])
     best = sorted(((-(spine[k + 1] + rows[n + k][5]), n + k) for k in range(n)))[:3]
     assert [(r.branch_score, r.leaf) for r in got] == [(-s, leaf) for s, leaf in best]
-    assert sum(df.count() for df in made) < 70_000 and max(df.count() for df in made) <= 3 * (n + 1)
+    assert sum(df.count() for df in made) < 100_000 and max(df.count() for df in made) <= 3 * (n + 1)  # all paths would be 2,003,000 rows
