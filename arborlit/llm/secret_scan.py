@@ -137,39 +137,49 @@ def _term(count: Column) -> Column:
 
 def hot_window(run: Column, rule: EntropyRule) -> Column:
     """The first and last starts of windows of ``run`` whose entropy reaches the threshold: struct(low, high), low -1 if none."""
-    return bound(F.transform(F.split(run, ""), F.ascii), lambda codes: _hot_window(codes, rule))
 
+    def numbered(codes: Column) -> Column:
+        """Characters as places in the run's own alphabet, so that counts are as few as it has characters."""
+        return bound(F.array_distinct(codes), lambda alphabet: bound(F.transform(codes, lambda c: F.array_position(alphabet, c).cast("int")), lambda places: _hot_window(places, F.size(alphabet), rule)))
 
-def _hot_window(codes: Column, rule: EntropyRule) -> Column:
+    return bound(F.transform(F.split(run, ""), F.ascii), numbered)
+
+
+def _hot_window(codes: Column, size: Column, rule: EntropyRule) -> Column:
+    """``codes``: from 1 to ``size``."""
     w = rule.window
     # counts of characters by code, and the sum of c * log2(c), of the first window
     first = F.slice(codes, 1, w)
-    total = F.aggregate(F.array_distinct(first), F.lit(0.0), lambda s, c: s + _term(F.size(F.filter(first, lambda x: x == c))))
     most = F.lit(w * (log2(w) - rule.bits) + 1e-9)
-
-    def put(counts: Column, code: Column, value: Column) -> Column:
-        return F.concat(F.slice(counts, 1, code), F.array(value), F.slice(counts, code + 2, 127 - code))
-
-    counts = F.aggregate(first, F.array_repeat(F.lit(0), 128), lambda s, c: put(s, c, F.element_at(s, c + 1) + 1))
-    start = F.struct(counts.alias("counts"), total.alias("total"), F.when(total <= most, 0).otherwise(-1).alias("low"), F.when(total <= most, 0).otherwise(-1).alias("high"))
-
-    def step(s: Column, k: Column) -> Column:
-        gone, came = F.element_at(codes, k), F.element_at(codes, k + w)
-        n = F.element_at(s["counts"], gone + 1)
-        left = put(s["counts"], gone, n - 1)
-        m = F.element_at(left, came + 1)
-        total = s["total"] - _term(n) + _term(n - 1) - _term(m) + _term(m + 1)
-        hot = total <= most
-        return F.struct(
-            put(left, came, m + 1).alias("counts"),
-            total.alias("total"),
-            F.when(hot & (s["low"] < 0), k).otherwise(s["low"]).alias("low"),
-            F.when(hot, k).otherwise(s["high"]).alias("high"),
-        )
-
-    alone = F.struct(F.when(total <= most, 0).otherwise(-1).alias("low"), F.when(total <= most, 0).otherwise(-1).alias("high"))
-    slid = F.aggregate(F.sequence(F.lit(1), F.size(codes) - w), start, step, lambda s: F.struct(s["low"].alias("low"), s["high"].alias("high")))
-    return F.when(F.size(codes) > w, slid).otherwise(alone)
+    begin = F.transform(F.sequence(F.lit(1), size), lambda c: F.size(F.filter(first, lambda x: x == c)))
+    when_hot = lambda total: F.when(total <= most, 0).otherwise(-1)
+
+    def slid(counts: Column) -> Column:
+        total = F.aggregate(counts, F.lit(0.0), lambda s, c: s + _term(c))
+        start = F.struct(counts.alias("counts"), total.alias("total"), when_hot(total).alias("low"), when_hot(total).alias("high"))
+
+        def step(s: Column, k: Column) -> Column:
+            """The window that begins at ``k`` (from 0); one character goes, one comes, and nothing is worked out twice."""
+            return bound(F.struct(F.element_at(codes, k).alias("gone"), F.element_at(codes, k + w).alias("came")), lambda x: bound(changed(s, x), lambda t: told(s, x, t, k)))
+
+        def changed(s: Column, x: Column) -> Column:
+            n, m = F.element_at(s["counts"], x["gone"]), F.element_at(s["counts"], x["came"])
+            return F.when(x["gone"] == x["came"], s["total"]).otherwise(s["total"] - _term(n) + _term(n - 1) - _term(m) + _term(m + 1))
+
+        def told(s: Column, x: Column, total: Column, k: Column) -> Column:
+            held = F.when(x["gone"] == x["came"], s["counts"]).otherwise(F.transform(s["counts"], lambda c, i: c - (i + 1 == x["gone"]).cast("int") + (i + 1 == x["came"]).cast("int")))
+            return F.struct(
+                held.alias("counts"),
+                total.alias("total"),
+                F.when((total <= most) & (s["low"] < 0), k).otherwise(s["low"]).alias("low"),
+                F.when(total <= most, k).otherwise(s["high"]).alias("high"),
+            )
+
+        alone = F.struct(when_hot(total).alias("low"), when_hot(total).alias("high"))
+        last = F.aggregate(F.sequence(F.lit(1), F.size(codes) - w), start, step, lambda s: F.struct(s["low"].alias("low"), s["high"].alias("high")))
+        return F.when(F.size(codes) > w, last).otherwise(alone)
+
+    return bound(begin, slid)
 
 
 def judge(rule: EntropyRule, earlier: tuple[EntropyRule, ...], allowed: tuple[str, ...]) -> Callable[[Column], Column]:
