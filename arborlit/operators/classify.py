@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arborlit.functions import text as X
+from arborlit.sources.durable import durable
 
 LEAST_LABELLED = 20
 
@@ -63,17 +64,30 @@ def train(documents: DataFrame, target: str, seed: int = 42, iterations: int = 2
     if sizes["count"].sum() < LEAST_LABELLED:
         return None
     rows = rows.withColumn("__test", F.pmod(F.xxhash64("pmid", F.lit(seed)), F.lit(5)) == 0)
-    fit, test = rows.where("not __test"), rows.where("__test")
+    fit = rows.where("not __test")
     weights = fit.groupBy("__label").count().toPandas()
     weights = [(r.__getitem__("__label"), float(weights["count"].sum() / (len(weights) * r["count"]))) for _, r in weights.iterrows()]
-    fit = fit.join(F.broadcast(documents.sparkSession.createDataFrame(weights, "__label string, __weight double")), "__label")
+    class_weights = documents.sparkSession.createDataFrame(weights, "__label string, __weight double")
     index = StringIndexer(inputCol="__label", outputCol="__index", handleInvalid="keep", stringOrderType="alphabetAsc").fit(fit)
-    stages = [*features(vocabulary), index, LogisticRegression(featuresCol="__features", labelCol="__index", weightCol="__weight", maxIter=iterations, family="multinomial", regParam=1e-4), IndexToString(inputCol="prediction", outputCol="__predicted", labels=[*index.labels, "__unknown"])]
-    model = Pipeline(stages=stages).fit(fit)
-    judged = model.transform(test.withColumn("__weight", F.lit(1.0))).select("__label", "__predicted")
+    texts, others = _in_two(features(vocabulary))
+    counted = Pipeline(stages=texts).fit(fit)
+    # texts are split once more, and then only their counts are read: by the weights, each of the iterations and the report
+    held = durable(counted.transform(rows).select("pmid", "__label", "__test", "__subjects", "__counts"))
+    weighed = index.transform(held.where("not __test").join(class_weights, "__label"))
+    logistic = LogisticRegression(featuresCol="__features", labelCol="__index", weightCol="__weight", maxIter=iterations, family="multinomial", regParam=1e-4)
+    learned = Pipeline(stages=[*others, logistic]).fit(weighed)
+    named = IndexToString(inputCol="prediction", outputCol="__predicted", labels=[*index.labels, "__unknown"])
+    judged = named.transform(learned.transform(held.where("__test"))).select("__label", "__predicted")
+    model = PipelineModel([*counted.stages, *learned.stages[:-1], index, learned.stages[-1], named])
     return Trained(model, list(index.labels), report(judged))
 
 
+def _in_two(stages: list) -> tuple[list, list]:
+    """The stages up to the counts of words, and those after."""
+    at = next(k for k, s in enumerate(stages) if s.hasParam("outputCol") and s.getOutputCol() == "__counts") + 1
+    return stages[:at], stages[at:]
+
+
 def predict(trained: Trained, documents: DataFrame, target: str) -> DataFrame:
     """``documents`` without a label but with content: pmid, the predicted class and its confidence, to 3 places."""
     rows = has_content(prepared(documents)).where(X.first_filled(target) == "").withColumn("__label", F.lit(trained.labels[0])).withColumn("__weight", F.lit(1.0))
