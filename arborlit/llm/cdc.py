@@ -117,6 +117,8 @@ def fingerprint(docs: DataFrame, how: Chunking = Chunking()) -> DataFrame:
 
     A fingerprint is base 64 of 8 bytes of digest and 2 of length a chunk, in
     digest order; equal texts have equal ones, null and empty texts the empty one.
+    Null ids stay, repeated rows are rows of their own, other columns are ignored,
+    an empty table gives an empty result.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -62,7 +62,9 @@ class Plan:
     def copies(self, docs: DataFrame) -> DataFrame:
         """(row, source_size, target, copies): each row of ``docs`` (doc_id, source, ...) whole, as a struct, and how often the mix takes it.
 
-        Whatever other columns the rows have, their names can't clash.
+        Whatever other columns the rows have, their names can't clash.  Rows of a
+        source that the plan doesn't have are left out; null and repeated ids and
+        repeated rows are rows of their own; an empty table gives an empty result.
         """
         held = docs.select(F.struct("*").alias("row"), F.col("source").cast("string").alias("source"), hash60(F.col("doc_id")).alias("h"))
         extra = F.when(F.col("h") < F.col("limit"), 1).otherwise(0)
@@ -83,7 +85,12 @@ def sized(docs: DataFrame) -> DataFrame:
 
 
 def plan(sizes: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: float = 1.5, cap: float = 2.0) -> Plan:
-    """What to take of each source of ``sizes`` (doc_id, source, size)."""
+    """What to take of each source of ``sizes`` (doc_id, source, size).
+
+    A null source is one of its own; null ids share a hash, as repeated ones do, and
+    are taken together; repeated rows count as often as they are there; other columns
+    are ignored; an empty table gives an empty plan.
+    """
     hashed = sizes.select("source", "size", hash60(F.col("doc_id")).alias("h"))
     budget = durable(targets(hashed.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap))
     small = budget.count() <= BROADCAST_SOURCES

@@ -273,7 +273,11 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
 
 
 def accepted(docs: DataFrame, model: Model | None) -> DataFrame:
-    """The rows of ``docs``, all columns, that :func:`score` doesn't predict to be toxic."""
+    """The rows of ``docs``, all columns, that :func:`score` doesn't predict to be toxic.
+
+    A null text counts as empty; null and repeated ids and repeated rows are rows
+    like others; an empty table gives an empty result; without a model all rows stay.
+    """
     bounded_batches(docs.sparkSession)
     shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
 
