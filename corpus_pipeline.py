@@ -19,7 +19,11 @@ VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that a classifier trained on the labelled ones doesn't reject."""
+    """Documents that a classifier trained on the labelled ones doesn't reject.
+
+    Null texts count as empty; null and repeated ids and repeated rows are judged like
+    others; without labels nothing is rejected; an empty table stays empty.
+    """
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.accepted(docs, model)
 
@@ -49,13 +53,22 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
+    """Each document as often as the mix takes it.
+
+    Null texts have no words and are taken with their source's whole copies; a null
+    source is one of its own; rows that share an id, or have none, are taken together;
+    columns come out as they are, whatever their names; an empty table stays empty.
+    """
     taken = mixing.plan(durable(mixing.sized(docs))).copies(docs)
     return taken.where("copies > 0").select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select("row.*")
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids, decoded_sha256): every text's tokens, and the digest of what they decode to."""
+    """(doc_id, n_tokens, ids, decoded_sha256): every text's tokens, and the digest of what they decode to.
+
+    Null texts count as empty and have no tokens; null and repeated ids and repeated
+    rows come out as rows of their own; an empty table gives an empty result.
+    """
     ranks = bpe.read_ranks(VOCABULARY)
     encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded=True)
     return encoded.select("doc_id", "n_tokens", "ids", F.sha2("data", 256).alias("decoded_sha256"))
