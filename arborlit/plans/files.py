@@ -311,15 +311,19 @@ def documents_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest.complete(ids, rows).select("pmid", "fetch_status", "failure_reason")
 
 
-def built_bundle(spark: SparkSession, sf_dir: str) -> str:
-    """A bundle of the documents with status ok, their order status as subject and metrics for some."""
+def bundle_contents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The tree, and the documents with status ok, their order status as subject and metrics for some."""
     docs = document_rows(spark, sf_dir)
     subjects = docs.where("cast(pmid as long) % 5 <> 0").select("pmid", F.array("journal", F.lit("All")).alias("names"))
     (customer,) = load(spark, sf_dir, "customer")
     citations = customer.select(F.col("c_custkey").cast("string").alias("pmid"), F.col("c_custkey").alias("citation_count"), F.lit(None).cast("double").alias("relative_citation_ratio"), F.lit(1.5).alias("nih_percentile"), F.lit(2.25).alias("openalex_2yr_mean_citedness"))
     counted = trees.tree_entries(trees.term_tree(items_as_terms(spark, sf_dir), places(spark, sf_dir)), "term_id", "mesh_id")
+    return counted, documents.bundle_documents(docs, subjects, citations)
+
+
+def built_bundle(spark: SparkSession, sf_dir: str) -> str:
     path = scratch(spark, "bundle.json")
-    sinks.write_bundle(counted, documents.bundle_documents(docs, subjects, citations), path)
+    sinks.write_bundle(*bundle_contents(spark, sf_dir), path)
     return path
 
 

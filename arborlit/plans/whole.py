@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arborlit.functions import text as X
-from arborlit.operators import pages, textindex
+from arborlit.operators import intervals, pages, textindex
 from arborlit.plans import programs
-from arborlit.plans.files import MENTIONS, UPKEEP, annotated, document_rows, scratch, upkeep, upkeep_documents
+from arborlit.plans.files import DOCUMENT_ROWS, MENTIONS, UPKEEP, annotated, bundle_contents, document_rows, scratch, upkeep, upkeep_documents
 from arborlit.plans.queries import PLACES, load, places, query
-from arborlit.sources import readers, sinks
+from arborlit.sources import json_array, readers, sinks
 from arborlit.streaming import upsert
 
 
@@ -173,3 +173,18 @@ def response_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = F.col("record")
     get = lambda where, kind: F.try_variant_get(r, where, kind)
     return spark.read.parquet(path).select("event_id", "n", readers.variant_id(r).alias("id"), get("$['new field'].user_id", "long").alias("who"), get("$['new field'].in.deep", "string").alias("deep"), F.greatest(F.size(get("$.list", "array<int>")), F.lit(0)).alias("listed"))
+
+
+@query(f"""WITH {PLACES}, {DOCUMENT_ROWS},
+t AS (SELECT s_suppkey::VARCHAR AS id, path, count(*) AS n, max(tree_id) AS tree_id FROM lineitem JOIN place ON l_suppkey = s_suppkey GROUP BY s_suppkey, path)
+SELECT 'tree' AS kind, row_number() OVER (ORDER BY n DESC, path, tree_id) AS place, id, path AS value FROM t
+UNION ALL SELECT 'docs', row_number() OVER (ORDER BY pmid), pmid, title_e FROM docs WHERE NOT lost
+UNION ALL SELECT 'citations', row_number() OVER (ORDER BY pmid), '', coalesce(c_custkey::VARCHAR, '') FROM docs LEFT JOIN customer ON c_custkey = o_orderkey WHERE NOT lost""")
+def bundle_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A bundle written by many tasks as a folder, its arrays read back in their order."""
+    path = scratch(spark, "parts")
+    sinks.write_bundle_parts(*bundle_contents(spark, sf_dir), path)
+    tree, docs = readers.bundle(spark, path, split=1 << 16)
+    (cited,) = json_array.read_arrays(spark, path, {"citations": ["number_citations"]}, 1 << 16)
+    shown = (("tree", tree, "mesh_id", "path"), ("docs", docs, "pmid", "title_e"), ("citations", cited.withColumn("none", F.lit("")), "none", "number_citations"))
+    return reduce(DataFrame.unionByName, [intervals.numbered(df, ["ord"], "place").select(F.lit(kind).alias("kind"), "place", F.col(a).alias("id"), F.col(b).alias("value")) for kind, df, a, b in shown])

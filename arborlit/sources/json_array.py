@@ -28,6 +28,7 @@ from pyspark.sql.types import StringType, StructType
 
 SPLIT_BYTES = 32 << 20
 BATCH_ROWS = 2000
+FILE_BITS = 42  # of ``ord``: the place in a file
 SLACK = 4096  # the longest white space and key that may lie across the edge of two ranges
 _S = rb"[\x20\t\r\n]*"
 _KEY = rb"\"[^\"\x20\t\r\n,:\]}]"
@@ -132,6 +133,7 @@ class Range(InputPartition):
     end: int
     low: int
     high: int
+    file: int
 
 
 class JsonArrayReader(DataSourceReader):
@@ -152,7 +154,7 @@ class JsonArrayReader(DataSourceReader):
                 self.wanted[f.attribute[0]] = frozenset(x for x in values if x is not None)
 
     def partitions(self) -> list[Range]:
-        return [Range(path, begin, end, low, min(end, low + self.split)) for path, begin, end in self.extent for low in range(begin, end, self.split)]
+        return [Range(path, begin, end, low, min(end, low + self.split), k) for k, (path, begin, end) in enumerate(self.extent) for low in range(begin, end, self.split)]
 
     def read(self, part: Range | None) -> Iterator[pa.RecordBatch]:
         if part is None:  # there are no partitions
@@ -166,7 +168,7 @@ class JsonArrayReader(DataSourceReader):
                     continue
                 record = json.loads(data, parse_int=str, parse_float=str, parse_constant=str)
                 if all(cell(record.get(n)) in values for n, values in self.wanted.items()):
-                    yield tuple(at if n == "ord" else cell(record.get(n)) for n in self.names)
+                    yield tuple((part.file << FILE_BITS) + at if n == "ord" else cell(record.get(n)) for n in self.names)
 
         found = rows()
         while held := list(islice(found, BATCH_ROWS)):
@@ -188,7 +190,7 @@ class JsonArraySource(DataSource):
 
 
 def read_arrays(spark: SparkSession, path: str, columns: dict[str, list[str]], split: int = SPLIT_BYTES) -> list[DataFrame]:
-    """The records of some arrays of a bundle (a file, or a folder of such files): for each field its columns as text, and ``ord``, ascending in file order.
+    """The records of some arrays of a bundle (a file, or a folder of such files): for each field its columns as text, and ``ord``, ascending by file name and place.
 
     Fields that a record lacks are null, other fields are left out, and the last of
     repeated ones counts.  Records are objects without arrays of objects in them,

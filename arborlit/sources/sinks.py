@@ -6,8 +6,11 @@ ended, so a run that fails leaves nothing half written.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
 from datetime import UTC, datetime
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,6 +87,40 @@ def write_bundle(tree: DataFrame, documents: DataFrame, path: str, **options) ->
     bundle_row(tree, documents, **options).write.mode("overwrite").text(path)
 
 
+def write_bundle_parts(tree: DataFrame, documents: DataFrame, path: str, order: tuple[str, ...] = ("pmid",), merged: bool = False, files: int | None = None) -> None:
+    """The arrays of :func:`write_bundle` as a folder of JSON files, each an object with some of an array's records, in order from file to file.
+
+    Any number of tasks write it, none holds more than a batch, and
+    ``readers.bundle`` reads it as it reads the one file.  ``order``'s columns are
+    compared as text.  An array without records has no file.
+    """
+    spark = tree.sparkSession
+    place = lambda no, n, keys, record: [F.lit(no).alias("no"), F.struct(n.alias("n"), F.array(*keys).alias("keys")).alias("place"), F.to_json(record, {"ignoreNullFields": "false"}).alias("json")]
+    columns = [c for c in documents.columns if c != "ord"]
+    names, keys = ["tree", "docs"], [F.col(c).cast("string") for c in order]
+    rows = tree.select(*place(0, -X.count_value("count(*)").cast("long"), [F.col("first"), F.col("tree_id")], F.struct(*tree.columns)))
+    rows = rows.unionByName(documents.select(*place(1, F.lit(0).cast("long"), keys, F.struct(*columns))))
+    for name, column, key in (*PARALLEL, *((("categories", "cat", "cat"),) if merged else ())):
+        if column in columns:
+            rows = rows.unionByName(documents.select(*place(len(names), F.lit(0).cast("long"), keys, F.struct(F.col(column).alias(key)))))
+            names.append(name)
+
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            out = []
+            for no, record in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                begin = "{" if last is None else "], "
+                out.append(f", {record}" if no == last else f"{begin}{json.dumps(names[no])}: [{record}")
+                last = no
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
+        if last is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(["]}"])], names=["value"])
+
+    dealt = rows.repartitionByRange(files or int(spark.conf.get("spark.sql.shuffle.partitions")), "no", "place").sortWithinPartitions("no", "place")
+    dealt.select("no", "json").mapInArrow(lines, "value string").write.mode("overwrite").text(path)
+
+
 def write_split(tree: DataFrame, documents: DataFrame, path: str) -> None:
     """Tree entries and documents, each partitioned by the slug of their bucket."""
     for name, df in (("tree", tree), ("docs", documents)):

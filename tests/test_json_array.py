@@ -93,3 +93,24 @@ def test_folders_numbers_and_what_is_missing(spark, tmp_path):
     (tmp_path / "broken" / "x.json").write_text('{"docs": [{"pmid": "1"}, {"pmid": tru}]}')
     with pytest.raises(Exception, match="JSON"):
         json_array.read_arrays(spark, str(tmp_path / "broken"), {"docs": ["pmid"]})[0].collect()
+
+
+@pytest.mark.parametrize("files", [1, 7])
+def test_a_bundle_written_by_many_tasks(spark, tmp_path, files):
+    """Each file is JSON; together they hold the arrays of the one-file bundle, in order."""
+    from arborlit.sources import sinks
+
+    value = made(60)
+    tree = spark.createDataFrame([(t["mesh_id"], t["web_id"], t["tree_id"], str(t["count(*)"]), t["first"]) for t in value["tree"]], "mesh_id string, web_id string, tree_id string, `count(*)` string, first string")
+    docs = spark.createDataFrame([(d["pmid"], d["title_e"], d.get("cat"), "1.5") for d in value["docs"]], "pmid string, title_e string, cat string, factor string")
+    sinks.write_bundle_parts(tree, docs, str(tmp_path / "p"), merged=True, files=files)
+    parts = [json.loads(p.read_text()) for p in sorted((tmp_path / "p").glob("part-*")) if p.stat().st_size]
+    joined = {}
+    for part in parts:
+        for name, records in part.items():
+            joined.setdefault(name, []).extend(records)
+    assert joined["docs"] == [{"pmid": d["pmid"], "title_e": d["title_e"], "cat": d.get("cat"), "factor": "1.5"} for d in sorted(value["docs"], key=lambda d: d["pmid"])]
+    assert [t["mesh_id"] for t in joined["tree"]] == [t["mesh_id"] for t in sorted(value["tree"], key=lambda t: -t["count(*)"])]
+    assert joined["factors"] == [{"factor": "1.5"}] * 60 and len(joined["categories"]) == 60 and set(joined) == {"tree", "docs", "factors", "categories"}
+    got = readers.bundle(spark, str(tmp_path / "p"), split=500)[1].orderBy("ord").collect()
+    assert [(r.pmid, r.title_e) for r in got] == [(d["pmid"], d["title_e"]) for d in joined["docs"]]
