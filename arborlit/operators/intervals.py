@@ -20,8 +20,10 @@ def numbered(df: DataFrame, order: list[Column | str], name: str = "number") ->
 
     Rows are sorted by ranges and written once; a row's place is that in its
     partition plus the sizes of the partitions before, one number a partition.
+    Without an ``order`` rows are in it already, as those of a bundle's arrays are.
     """
-    sorted_rows = durable(df.orderBy(*order).withColumns({"__part": F.spark_partition_id(), "__place": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}))
+    placed_rows = df.orderBy(*order) if order else df
+    sorted_rows = durable(placed_rows.withColumns({"__part": F.spark_partition_id(), "__place": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}))
     before = W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
     offsets = sorted_rows.groupBy("__part").count().select("__part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__before"))
     return sorted_rows.join(F.broadcast(offsets), "__part").select(*df.columns, (F.col("__before") + F.col("__place") + 1).alias(name))  # a row a partition

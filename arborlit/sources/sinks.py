@@ -11,6 +11,7 @@ from collections.abc import Iterator
 from datetime import UTC, datetime
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,26 +89,31 @@ def write_bundle(tree: DataFrame, documents: DataFrame, path: str, **options) ->
 
 
 def write_bundle_parts(tree: DataFrame, documents: DataFrame, path: str, order: tuple[str, ...] = ("pmid",), merged: bool = False, files: int | None = None) -> None:
-    """The arrays of :func:`write_bundle` as a folder of JSON files, each an object with some of an array's records, in order from file to file.
+    """The arrays of :func:`write_bundle` as a folder of JSON files, each an object with some records of some arrays, in order from file to file.
 
     Any number of tasks write it, none holds more than a batch, and
     ``readers.bundle`` reads it as it reads the one file.  ``order``'s columns are
-    compared as text.  An array without records has no file.
+    compared as text.  A file holds a range of documents, so what the parallel arrays
+    say of them too.  An array without records is in no file.
     """
     spark = tree.sparkSession
-    place = lambda no, n, keys, record: [F.lit(no).alias("no"), F.struct(n.alias("n"), F.array(*keys).alias("keys")).alias("place"), F.to_json(record, {"ignoreNullFields": "false"}).alias("json")]
+    record = lambda v: F.to_json(v, {"ignoreNullFields": "false"})
     columns = [c for c in documents.columns if c != "ord"]
-    names, keys = ["tree", "docs"], [F.col(c).cast("string") for c in order]
-    rows = tree.select(*place(0, -X.count_value("count(*)").cast("long"), [F.col("first"), F.col("tree_id")], F.struct(*tree.columns)))
-    rows = rows.unionByName(documents.select(*place(1, F.lit(0).cast("long"), keys, F.struct(*columns))))
-    for name, column, key in (*PARALLEL, *((("categories", "cat", "cat"),) if merged else ())):
-        if column in columns:
-            rows = rows.unionByName(documents.select(*place(len(names), F.lit(0).cast("long"), keys, F.struct(F.col(column).alias(key)))))
-            names.append(name)
+    given = [x for x in (*PARALLEL, *((("categories", "cat", "cat"),) if merged else ())) if x[1] in columns]
+    names = ["tree", "docs", *(x[0] for x in given)]
+    keys = [f"key{k}" for k in range(max(2, len(order)))]
+    keyed = lambda values: [(values[k] if k < len(values) else F.lit("")).alias(c) for k, c in enumerate(keys)]
+    none = lambda df, cols: F.lit(None).cast(df.select(F.struct(*cols)).schema[0].dataType)
+    rows = tree.select(F.lit(0).alias("no"), (-X.count_value("count(*)")).cast("long").alias("n"), *keyed([F.col("first"), F.col("tree_id")]), F.struct(*tree.columns).alias("t"), none(documents, columns).alias("d"))
+    rows = rows.unionByName(documents.select(F.lit(1).alias("no"), F.lit(0).cast("long").alias("n"), *keyed([F.col(c).cast("string") for c in order]), none(tree, tree.columns).alias("t"), F.struct(*columns).alias("d")))
+    of_document = F.array(record(F.col("d")), *(record(F.struct(F.col("d")[column].alias(key))) for _, column, key in given))
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
         for batch in batches:
+            if batch.num_rows and last is not None and pc.all(pc.equal(batch.column(0), last)).as_py():  # the array goes on
+                yield pa.RecordBatch.from_arrays([pc.binary_join_element_wise(", ", batch.column(1), "")], names=["value"])
+                continue
             out = []
             for no, record in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 begin = "{" if last is None else "], "
@@ -117,8 +123,10 @@ def write_bundle_parts(tree: DataFrame, documents: DataFrame, path: str, order:
         if last is not None:
             yield pa.RecordBatch.from_arrays([pa.array(["]}"])], names=["value"])
 
-    dealt = rows.repartitionByRange(files or int(spark.conf.get("spark.sql.shuffle.partitions")), "no", "place").sortWithinPartitions("no", "place")
-    dealt.select("no", "json").mapInArrow(lines, "value string").write.mode("overwrite").text(path)
+    # documents are worked out and dealt once; the arrays part within their ranges
+    dealt = rows.repartitionByRange(files or int(spark.conf.get("spark.sql.shuffle.partitions")), "no", "n", *keys)
+    parted = dealt.select("no", "n", *keys, F.posexplode(F.when(F.col("no") == 0, F.array(record(F.col("t")))).otherwise(of_document)).alias("at", "json")).withColumn("no", F.col("no") + F.col("at")).sortWithinPartitions("no", "n", *keys)
+    parted.select("no", "json").mapInArrow(lines, "value string").write.mode("overwrite").text(path)
 
 
 def write_split(tree: DataFrame, documents: DataFrame, path: str) -> None:
