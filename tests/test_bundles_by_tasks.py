@@ -4,9 +4,25 @@ from __future__ import annotations
 
 import json
 
+import pytest
+
+from arborlit.plans import files
 from arborlit.sources import sinks
 
 
+@pytest.fixture
+def ungathered(monkeypatch):
+    def gathered(*_, **__):
+        raise AssertionError("a bundle in one row")
+
+    monkeypatch.setattr(sinks, "bundle_row", gathered)
+
+
+@pytest.mark.parametrize("query", [files.bundle_tree, files.bundle_docs, files.approach_trees, files.result_tables])
+def test_queries_gather_no_bundle(spark, ungathered, sf_small, query):
+    assert query(spark, sf_small).count() > 0
+
+
 def test_arrays_lie_beside_their_documents(spark, tmp_path):
     """A file has what the parallel arrays say of its documents; a tree's entries go before."""
     tree = spark.createDataFrame([("D1", "w", "t", "5", "b"), ("D2", "w", "t", "12", "a")], "mesh_id string, web_id string, tree_id string, `count(*)` string, first string")
