@@ -175,12 +175,12 @@ def predict_into(docs: DataFrame, targets: tuple[str, ...] = ("hard_category", "
 
 
 def split_bundles(tree: DataFrame, docs: DataFrame, path: str, split_all: bool = False) -> DataFrame:
-    """One bundle a bucket, named by its slug, with the bucket's tree and the documents that name a leaf of it; returns (bucket, slug, entries)."""
-    bucketed, trimmed = trees.split_tree(tree, docs, split_all)
+    """One bundle a bucket, a folder named by its slug, with the bucket's tree and the documents that name a leaf of it; returns (bucket, slug, entries)."""
+    bucketed, trimmed = (durable(x) for x in trees.split_tree(tree, docs, split_all))
     sizes = durable(trees.bucket_sizes(bucketed))
     for row in sizes.collect():  # top-level categories, some twenty
         entries = trees.tree_entries(bucketed.where(F.col("bucket") == row.bucket), "mesh_id", "mesh_id")
-        sinks.write_bundle(entries, trimmed.where(F.col("bucket") == row.bucket).drop("bucket"), f"{path}/{row.slug}.json")
+        sinks.write_bundle_parts(entries, trimmed.where(F.col("bucket") == row.bucket).drop("bucket"), f"{path}/{row.slug}.json")
     return sizes
 
 
