@@ -42,7 +42,9 @@ from arborlit.llm.components import components
 from arborlit.llm.session import bounded_batches, durable, parts
 from arborlit.llm.textblocks import U64, blocks, mix, shingle_sets
 
-FLUSH_TOKENS = 1 << 20
+FLUSH_TOKENS = 1 << 19
+BLOCK_BYTES = 1 << 18  # hashing takes some ten arrays of eight bytes for each byte of a block
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 TILE = 2048
 
 
@@ -109,7 +111,7 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> np.nda
 
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[int, np.ndarray]]:
-    for block in blocks(batches):
+    for block in blocks(batches, size=BLOCK_BYTES):
         yield from zip(block.ids.tolist(), shingle_sets(block, width), strict=True)
 
 
@@ -183,7 +185,7 @@ def _postings(docs: DataFrame, width: int, percent: int, frequent: np.ndarray) -
             ids.append(key)
             sizes.append(len(tokens))
             size += len(found)
-            if size >= FLUSH_TOKENS // 2:
+            if size >= FLUSH_TOKENS:
                 yield flush()
                 held, ids, sizes, seen, size = [], [], [], set(), 0
         if held:
@@ -345,7 +347,7 @@ class Joined:
 def _join(docs: DataFrame, width: int, percent: int, frequent_df: int) -> Joined:
     if not 60 <= percent <= 100:
         raise ValueError("percent must be from 60 to 100")
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, BATCH_ROWS, BATCH_BYTES)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
