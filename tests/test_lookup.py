@@ -43,6 +43,33 @@ def test_only_candidates_are_read(spark, index):
         textindex.search(spark, path, "needle", ["id"])
 
 
+def test_the_index_lists_rows_by_runs(spark, index):
+    """A trigram has a row for each run of rows and not for each row that holds it; the lists say what trigrams() says."""
+    rows, path = index
+    held, table = spark.read.parquet(f"{path}/places"), spark.read.parquet(f"{path}/rows")
+    listed = held.select("field", "gram", F.explode("offsets").alias("k"), "base").select("field", "gram", (F.col("base") + F.col("k")).alias("number"))
+    plain = table.select(F.lit("title").alias("field"), F.explode(textindex.trigrams(F.col("title"))).alias("gram"), "number").unionByName(table.select(F.lit("kind").alias("field"), F.explode(textindex.trigrams(F.col("kind"))).alias("gram"), "number"))
+    assert listed.exceptAll(plain).isEmpty() and plain.exceptAll(listed).isEmpty()
+    assert held.count() < plain.count() // 10
+    assert [r.id for r in table.orderBy("number").collect()] == sorted(r[0] for r in rows)
+
+
+def test_an_empty_table_has_an_index(spark, tmp_path):
+    textindex.build(spark.createDataFrame([], "id int, title string"), ["title"], str(tmp_path), ["id"])
+    assert textindex.search(spark, str(tmp_path), "needle").rows.count() == 0
+
+
+def test_runs_of_texts_and_many_characters():
+    import numpy as np
+
+    assert textindex._runs(np.array([3, 4, 5, 1 << 33, (1 << 33) + 40000, 2]), np.array([1, 5 << 20, 1, 1, 1, 1])) == [(0, 1), (1, 2), (2, 3), (3, 4), (4, 5), (5, 6)]
+    assert textindex._runs(np.arange(0), np.arange(0)) == [] and textindex._runs(np.arange(9), np.ones(9)) == [(0, 9)]
+    many = "".join(chr(k) for k in (*range(0x20, 0xD800), *range(0x10000, 0x90000)))
+    texts = ["", "ab", "a\0\0\0", many, "aaaa", many[5:900] * 2, "é\U0001f600x"]
+    found = [x for grams, at in textindex._held(texts) for x in zip(textindex._utf8(grams).to_pylist(), at.tolist(), strict=True)]
+    assert sorted(found) == sorted({(t[i : i + 3], k) for k, t in enumerate(texts) for i in range(len(t) - 2)})
+
+
 def test_trigrams(spark):
     rows = spark.createDataFrame([("aBcab",), ("é\U0001f600x",), ("ab",), ("",), (None,)], "t string").select(textindex.trigrams(F.col("t")).alias("g")).collect()
     assert [sorted(r.g) for r in rows] == [["abc", "bca", "cab"], ["é\U0001f600x"], [], [], []]
