@@ -54,15 +54,22 @@ def known_approaches(asked: str, known: tuple[str, ...] = ("groups", "pathways",
     return names
 
 
-def gene_tree(genes: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+def gene_counts(genes: DataFrame) -> DataFrame:
+    """(gene_id, k): how many documents mention a gene."""
+    return genes.select("pmid", "gene_id").distinct().groupBy("gene_id").agg(F.count("*").alias("k"))
+
+
+def gene_tree(genes: DataFrame, classes: DataFrame, counts: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """The tree (gene_id, path, n, web_id, tree_id), n counting documents, and each document's leaf names (pmid, names).
 
     ``genes`` has pmid and gene_id.  Names are ordered by gene, class and path.
+    Documents are counted by gene before classes are joined (``counts``, if at
+    hand), so that a gene of many classes doesn't repeat its documents for the tree.
     """
-    pairs = genes.select("pmid", "gene_id").distinct()
-    rows = pairs.join(classes.withColumn("path", X.path_text("path_parts")), "gene_id")
+    pairs, placed = genes.select("pmid", "gene_id").distinct(), classes.withColumn("path", X.path_text("path_parts"))
     order = F.struct("class_id", "web_id", "tree_id")
-    tree = rows.groupBy("gene_id", "path").agg(F.count("*").alias("n"), F.max(order).alias("o")).select("gene_id", "path", "n", "o.web_id", "o.tree_id")
+    tree = (gene_counts(genes) if counts is None else counts).join(placed, "gene_id").groupBy("gene_id", "path").agg(F.sum("k").alias("n"), F.max(order).alias("o")).select("gene_id", "path", "n", "o.web_id", "o.tree_id")
+    rows = pairs.join(placed, "gene_id")
     name = F.element_at("path_parts", -1)
     seen = rows.groupBy("pmid", name.alias("name")).agg(F.min(F.struct("gene_id", "class_id", "path")).alias("o"))
     names = seen.groupBy("pmid").agg(F.sort_array(F.collect_list(F.struct("o", "name"))).alias("s")).select("pmid", F.col("s.name").alias("names"))

@@ -12,7 +12,7 @@ from arborlit.functions import text as X
 from arborlit.operators import classify, documents, incremental, mentions, metrics, ontology, trees, vocabulary
 from arborlit.operators.latest import last_wins, limit_first
 from arborlit.sources import readers, remote, sinks
-from arborlit.sources.durable import durable
+from arborlit.sources.durable import durable, stored
 
 KINDS = ("Chemical", "Disease")
 
@@ -65,15 +65,15 @@ def gene_trees(records: DataFrame, references: dict[str, DataFrame], docs: DataF
     (class_id, path_parts), ``types`` (gene_id, class_id), as the readers give
     them.  Records are read once and shared.
     """
-    genes = durable(mentions.gene_mentions(mentions.mentions(limited(records, limit))))
-    out = {}
+    genes = stored(mentions.gene_mentions(mentions.mentions(limited(records, limit))))
+    counts, out = durable(trees.gene_counts(genes)), {}
     for kind in trees.known_approaches(approaches):
         paths = None
         if kind == "terms":
-            paths = ontology.dag_lineages(references["ontology"], references["terms"].join(genes.select("gene_id").distinct(), "gene_id", "left_semi").select(F.col("class_id").alias("term_id")))
+            paths = ontology.dag_lineages(references["ontology"], references["terms"].join(counts, "gene_id", "left_semi").select(F.col("class_id").alias("term_id")))
         elif kind == "pathways":
             paths = references["outline"]
-        tree, names = trees.gene_tree(genes, trees.gene_classes(kind, references[kind], paths, organism))
+        tree, names = trees.gene_tree(genes, trees.gene_classes(kind, references[kind], paths, organism), counts)
         out[kind] = Built(genes, trees.tree_entries(trees.ordered_tree(tree, "gene_id"), "gene_id", "gene_id"), trees.gene_documents(docs, genes, names))
     return out
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -25,3 +27,10 @@ def durable(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read from there."""
     folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """As :func:`durable`, in columns: for rows of which later steps read a few columns only."""
+    path = f"{folder(df.sparkSession)}/stored-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
