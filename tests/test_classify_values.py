@@ -113,3 +113,50 @@ def test_predictions_and_report_are_those_values(rows, trained):
         chosen, support = sum(b == r.label for _, b in held), sum(a == r.label for a, _ in held)
         assert r.support == support and r.precision == pytest.approx(right / chosen if chosen else 0) and r.recall == pytest.approx(right / support if support else 0)
     assert sum(a == b for a, b in held) / len(held) > 0.8
+
+
+@pytest.mark.parametrize("size", [5, 40, 8000])
+def test_vocabulary_is_that_of_a_plain_count_and_pairs_out_of_reach_are_not_shuffled(spark, monkeypatch, size):
+    """The most frequent words and pairs in two texts at least; only pairs of words more frequent than the last of ``size`` words are counted."""
+    rng = np.random.default_rng(5)
+    words = ["Éclair", "l", "42", "gène", "_x", "THE", *(f"w{k}" for k in range(40))]
+    texts = [" ".join(rng.choice(words, p=(p := 1 / np.arange(1, len(words) + 1)) / p.sum()) for _ in range(rng.integers(0, 60))) for _ in range(600)] + ["", "once only-once"]
+    stop, often, within = set(StopWordsRemover.loadDefaultStopWords("english")), Counter(), Counter()
+    terms = {}
+    for text in texts:
+        w = [x for x in re.findall(r"\b\w\w+\b", text.lower()) if x not in stop]
+        terms[text] = Counter(w + [f"{a} {b}" for a, b in zip(w, w[1:], strict=False)])
+        often.update(terms[text])
+        within.update(set(terms[text]))
+    want = sorted((t for t in often if within[t] >= 2), key=lambda t: (-often[t], " " in t, t))[:size]
+    frequent = []
+    monkeypatch.setattr(classify, "_pairs", lambda known, most, f=classify._pairs: frequent.append(most) or f(known, most))
+    rows = spark.createDataFrame([(x,) for x in texts], "__text string").repartition(5)
+    counts = classify.word_counts(rows, size)
+    assert counts.vocabulary == want
+    assert frequent[0] < size
+    for r in counts.transform(rows).collect():
+        got = {want[k]: n for k, n in zip(r["__counts"].indices.tolist(), r["__counts"].values.tolist(), strict=True)}
+        assert got == {t: n for t, n in terms[r["__text"]].items() if t in set(want)}
+
+
+def test_two_classes_have_the_minimum_of_the_softmax_and_no_class_of_unknown_labels(spark, rows):
+    docs = spark.createDataFrame([r for r in rows if r[4] != "cell"], "pmid string, title_e string, abstract string, subjects string, hard_category string")
+    model = classify.train(docs, "hard_category").model
+    logistic = next(s for s in model.stages if s.hasParam("regParam"))
+    assert logistic.numClasses == 2
+    done = model.transform(classify.prepared(docs).withColumn("__label", F.col("hard_category")).withColumn("__weight", F.lit(1.0)))
+    done = done.withColumn("__test", F.pmod(F.xxhash64("pmid", F.lit(42)), F.lit(5)) == 0)
+    got = {r.pmid: r for r in done.select("pmid", "__test", "__label", vector_to_array("__features").alias("x"), vector_to_array("probability").alias("p")).collect()}
+    fit = [r for r in got.values() if r["__label"] and not r["__test"]]
+    x, y = np.array([r.x for r in fit]), np.array([r["__label"] == "gene" for r in fit]).astype(int)
+    w = len(y) / (2 * np.bincount(y)[y])
+    mean = (w[:, None] * x).sum(0) / w.sum()
+    std = np.sqrt((w[:, None] * (x - mean) ** 2).sum(0) / (w.sum() - (w**2).sum() / w.sum()))
+    c, b = logistic.coefficients.toArray() / 2 * np.array([[-1], [1]]), logistic.intercept / 2 * np.array([-1, 1])
+    p = np.exp(x @ c.T + b)
+    p /= p.sum(1, keepdims=True)
+    np.testing.assert_allclose([r.p for r in fit], p, atol=1e-9)
+    p[np.arange(len(y)), y] -= 1
+    g = p * w[:, None] / w.sum()
+    assert abs(g.T @ x + 1e-4 * c * std**2).max() < 1e-3 and abs(g.sum(0)).max() < 1e-3  # of the softmax with a vector for each class
